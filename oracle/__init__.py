@@ -4,7 +4,8 @@ from __future__ import annotations
 
 
 def statements() -> dict[str, str]:
-    from oracle import analytics
+    from oracle import analytics, jobs, quality
     from oracle.star import with_tables
 
-    return {name: with_tables(body) for name, body in analytics.SQL.items()}
+    bodies = {**analytics.SQL, **quality.SQL, **jobs.SQL}
+    return {name: with_tables(body, jobs.EXTRA) for name, body in bodies.items()}

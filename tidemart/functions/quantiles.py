@@ -1,10 +1,10 @@
 """Exact interpolated quantiles that never gather the column in one task.
 
-The built-in exact ``percentile`` keeps a histogram of every distinct value in
-one buffer.  Here the distinct values are counted in parallel, the range is cut
-into a fixed number of slots, a running count over those few slots finds the
-slots that hold the wanted ranks, and only those slots are ranked value by
-value.  DECIMAL input bounds a slot: width / step distinct values.
+The built-in exact ``percentile`` merges a map of every distinct value into one
+buffer.  Here values are counted in parallel and cut into slots by an
+order-preserving function of the value alone; a running count over the slots
+finds the few that hold the wanted ranks, and only those are ranked value by
+value.
 """
 
 from __future__ import annotations
@@ -14,54 +14,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS = 1024
+# 64 slots per power of two: a slot spans about 1 % of its values, and all
+# doubles together fall into fewer than 300,000 slots.
+SLOTS_PER_OCTAVE = 64
+ZERO_GAP = 100_000
+
+
+def slot_of(v: Column) -> Column:
+    """A slot number that never decreases when the value grows."""
+    size = F.floor(F.log2(F.abs(v)) * SLOTS_PER_OCTAVE) + ZERO_GAP
+    return F.when(v == 0, 0).when(v > 0, size).otherwise(-size).cast("int")
 
 
 def exact_quantiles(df: DataFrame, value: Column, probs: Sequence[float]) -> DataFrame:
     """One row with columns q0, q1, ... for ``probs``; NULL over an empty input."""
     counts = (
         df.select(value.cast("double").alias("v"))
-        .where(F.col("v").isNotNull())
+        .where("v is not null")
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("slot", slot_of(F.col("v")))
     )
-    span = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("rows"))
-    width = (span.select("hi").scalar() - span.select("lo").scalar()) / SLOTS
-    slot = F.least(
-        F.lit(SLOTS - 1),
-        F.coalesce(F.floor(F.try_divide(F.col("v") - span.select("lo").scalar(), width)), F.lit(0)),
-    ).cast("int")
-    slotted = counts.withColumn("slot", slot)
-
-    # At most SLOTS rows pass through the single-partition running sum.
-    by_slot = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slotted.groupBy("slot")
-        .agg(F.sum("n").alias("slot_rows"))
-        .withColumn("before", F.coalesce(F.sum("slot_rows").over(by_slot), F.lit(0)))
+    # Slots are few by construction, so one task may run over them.
+    everything = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slots = (
+        counts.groupBy("slot")
+        .agg(F.sum("n").alias("size"))
+        .select(
+            "slot",
+            F.sum("size").over(so_far).alias("end"),
+            (F.sum("size").over(so_far) - F.col("size")).alias("start"),
+            F.sum("size").over(everything).alias("total"),
+        )
     )
-    rows = span.select("rows").scalar()
-    ranks = []
-    for p in probs:
-        at = (rows - 1).cast("double") * F.lit(float(p))
-        ranks += [F.floor(at), F.ceil(at)]
-    inside = lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("slot_rows"))
-    hit = inside(ranks[0])
-    for r in ranks[1:]:
-        hit = hit | inside(r)
-    wanted = offsets.where(hit).select("slot", "before")
+
+    def rank(p: float) -> Column:
+        return (F.col("total") - 1).cast("double") * F.lit(float(p))
+
+    def holds(p: float) -> Column:
+        return (F.col("start") <= F.ceil(rank(p))) & (F.floor(rank(p)) < F.col("end"))
+
+    hit = holds(probs[0])
+    for p in probs[1:]:
+        hit = hit | holds(p)
+    wanted = F.broadcast(slots.where(hit).select("slot", "start", "total"))  # two slots per probability at most
 
     in_slot = Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        slotted.join(F.broadcast(wanted), "slot")  # at most two slots per probability
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_slot))
-        .withColumn("first", F.col("upto") - F.col("n"))
+        counts.join(wanted, "slot")
+        .withColumn("upto", F.col("start") + F.sum("n").over(in_slot))
+        .withColumn("since", F.col("upto") - F.col("n"))
     )
+
+    def at(r: Column) -> Column:
+        return F.max(F.when((F.col("since") <= r) & (r < F.col("upto")), F.col("v")))
+
     out = []
     for i, p in enumerate(probs):
-        lo, hi = ranks[2 * i], ranks[2 * i + 1]
-        at = (rows - 1).cast("double") * F.lit(float(p))
-        pick = lambda r: F.max(F.when((F.col("first") <= r) & (r < F.col("upto")), F.col("v")))
-        low, high = pick(lo), pick(hi)
-        out.append((low + (high - low) * (at - lo)).alias(f"q{i}"))
+        low, high = at(F.floor(rank(p))), at(F.ceil(rank(p)))
+        part = F.max(rank(p) - F.floor(rank(p)))
+        out.append((low + (high - low) * part).alias(f"q{i}"))
     return placed.agg(*out)

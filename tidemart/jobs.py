@@ -1 +1,578 @@
-JOBS = {}
+"""Registered queries of the event path: sourcing, landing, incremental load.
+
+They run the real jobs over the given tables: events are derived from orders and
+line items (or taken from ``events``), landed by the stream, loaded by the
+merges, and the resulting table is returned.  A session builds each folder once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemart.operators import bulk, curated, facts, incremental, snapshots, timeline
+from tidemart.operators.merge import KeyedTable
+from tidemart.operators.validation import checked, is_iso8601, schema_drift
+from tidemart.schemas import KEYS, TOPICS
+from tidemart.session import shared_dir
+from tidemart.sources import lake
+from tidemart.sources.projection import SourceTables
+from tidemart.sources.relational import derived_tables
+from tidemart.sources.star import Star
+from tidemart.streaming import landing
+from tidemart.streaming.ingest import STORED, Load, deduplicated
+
+AS_OF = "2001-12-05 00:00:00"
+
+
+def as_of() -> Column:
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as DOUBLE, for results that leave the engine."""
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+
+class Pipeline:
+    """The folders of one session and source directory, built on first use."""
+
+    _known: dict[tuple[str, str], "Pipeline"] = {}
+
+    def __init__(self, spark: SparkSession, directory: str):
+        self.spark, self.directory = spark, directory
+        self.base = shared_dir(spark, "pipeline")
+
+    @classmethod
+    def of(cls, spark: SparkSession, directory: str) -> "Pipeline":
+        key = (spark.sparkContext.applicationId, directory)
+        if key not in cls._known:
+            cls._known[key] = cls(spark, directory)
+        return cls._known[key]
+
+    @cached_property
+    def tables(self):
+        return derived_tables(self.spark, self.directory)
+
+    def land(self, messages: str, name: str, checkpoint: str, **options) -> str:
+        """Land a message log; the same checkpoint never lands a message again."""
+        target = f"{self.base}/{name}"
+        stream = landing.file_messages(self.spark, messages)
+        written = F.lit(AS_OF).cast("timestamp")
+        landing.start_landing(
+            stream, target, f"{self.base}/_landing/{checkpoint}", written_at=written, **options
+        ).awaitTermination()
+        return target
+
+    # ---- orders and line items as events ---------------------------------------------
+    @cached_property
+    def order_messages(self) -> str:
+        path = f"{self.base}/messages/orders"
+        timeline.as_messages(timeline.all_envelopes(self.tables, as_of()), as_of()).write.parquet(path)
+        return path
+
+    @cached_property
+    def order_zone(self) -> str:
+        """The events landed twice, as an at-least-once source may deliver them."""
+        for delivery in ("first", "again"):
+            zone = self.land(self.order_messages, "orders", f"orders-{delivery}", grain="month", spread=1)
+        return f"{zone}/raw"
+
+    @cached_property
+    def details(self) -> str:
+        path, stamp = f"{self.base}/reference", as_of()
+        customers = snapshots.customer_details(self.tables["customers"], stamp)
+        products = snapshots.product_details(self.tables["products"], self.tables["translation"], stamp)
+        snapshots.write_snapshot(customers, path, "customer_details", AS_OF[:10])
+        snapshots.write_snapshot(products, path, "product_details", AS_OF[:10])
+        return path
+
+    @cached_property
+    def load(self) -> Load:
+        load = Load(
+            self.spark,
+            self.order_zone,
+            f"{self.base}/warehouse",
+            customer_details=snapshots.read_latest(self.spark, self.details, "customer_details"),
+            product_details=snapshots.read_latest(self.spark, self.details, "product_details"),
+            files_per_batch=10_000,
+            as_of=as_of(),
+        )
+        load.run()
+        return load
+
+    def raw(self, topic: str) -> DataFrame:
+        return lake.raw_topic(self.spark, self.order_zone, topic)
+
+    # ---- the events table as messages, every 50th malformed ------------------------------
+    def click_messages(self) -> DataFrame:
+        e = SourceTables(self.spark, self.directory).read("events")
+        stamp = F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T"))
+        fields = {
+            "event_id": F.concat(F.lit("E"), F.col("event_id").cast("string")),
+            "event_type": F.col("event_type"),
+            "schema_version": F.lit("1.0"),
+            "event_ts": stamp,
+            "source_system": F.lit("clicks"),
+            "order_id": F.col("user_id").cast("string"),
+            "channel": F.lit("web"),
+        }
+
+        def text(payload: Column, ts: Column = stamp, leave_out: tuple[str, ...] = ()) -> Column:
+            body = {**fields, "event_ts": ts, "payload": payload}
+            return F.to_json(F.struct(*[c.alias(n) for n, c in body.items() if n not in leave_out])).cast("binary")
+
+        payload = F.from_json("props", "k bigint")
+        flaw = F.when(F.col("event_id") % 50 == 0, F.floor(F.col("event_id") / 50) % 7)
+        value = (
+            F.when(flaw == 0, F.lit(None).cast("binary"))
+            .when(flaw == 1, F.unhex(F.lit("7BFF7D")))
+            .when(flaw == 2, F.lit("not json").cast("binary"))
+            .when(flaw == 3, F.lit("[1]").cast("binary"))
+            .when(flaw == 4, text(payload, leave_out=("order_id", "payload")))
+            .when(flaw == 5, text(F.lit(5)))
+            .when(flaw == 6, text(payload, F.lit("bad")))
+            .otherwise(text(payload))
+        )
+        return e.select(
+            F.col("user_id").cast("string").cast("binary").alias("key"),
+            value.alias("value"),
+            F.lit("click_events").alias("topic"),
+            F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+        )
+
+    @cached_property
+    def click_log(self) -> str:
+        path = f"{self.base}/messages/clicks"
+        self.click_messages().write.parquet(path)
+        return path
+
+    @cached_property
+    def click_zone(self) -> str:
+        return self.land(self.click_log, "clicks", "clicks", spread=1)
+
+
+Job = Callable[[SparkSession, str], DataFrame]
+JOBS: dict[str, Job] = {}
+
+
+def job(fn: Callable[[Pipeline], DataFrame]) -> Callable[[Pipeline], DataFrame]:
+    JOBS[fn.__name__] = lambda spark, sf_dir: fn(Pipeline.of(spark, sf_dir))
+    return fn
+
+
+# ---- event sourcing ------------------------------------------------------------------------
+
+
+@job
+def order_item_rollup(p: Pipeline) -> DataFrame:
+    return plain(timeline.order_item_rollup(p.tables["items"]))
+
+
+def _flat(events: DataFrame) -> DataFrame:
+    return plain(events.select(*[c for c in events.columns if c != "payload"], "payload.*"))
+
+
+for _builder in timeline.BUILDERS:
+    JOBS[_builder.__name__] = lambda spark, sf_dir, build=_builder: _flat(build(Pipeline.of(spark, sf_dir).tables))
+
+
+@job
+def event_timeline(p: Pipeline) -> DataFrame:
+    return timeline.event_timeline(p.tables).drop("payload")
+
+
+@job
+def build_envelope(p: Pipeline) -> DataFrame:
+    """Envelopes read back from their JSON text."""
+    value = F.from_json("value", f"{lake.ENVELOPE}, payload string")
+    return timeline.all_envelopes(p.tables, as_of()).select("topic", "key", value.alias("v")).select(
+        "topic", "key", "v.*"
+    ).drop("payload")
+
+
+@job
+def customer_details_snapshot(p: Pipeline) -> DataFrame:
+    return snapshots.read_latest(p.spark, p.details, "customer_details")
+
+
+@job
+def product_details_snapshot(p: Pipeline) -> DataFrame:
+    return snapshots.read_latest(p.spark, p.details, "product_details")
+
+
+@job
+def bulk_dim_customer(p: Pipeline) -> DataFrame:
+    return bulk.bulk_dim_customer(p.tables)
+
+
+@job
+def bulk_dim_seller(p: Pipeline) -> DataFrame:
+    return bulk.bulk_dim_seller(p.tables)
+
+
+@job
+def bulk_dim_product(p: Pipeline) -> DataFrame:
+    return bulk.bulk_dim_product(p.tables)
+
+
+@job
+def bulk_fact_order_events(p: Pipeline) -> DataFrame:
+    return bulk.bulk_fact_order_events(p.tables, as_of())
+
+
+@job
+def bulk_fact_payments(p: Pipeline) -> DataFrame:
+    return plain(bulk.bulk_fact_payments(p.tables, as_of()))
+
+
+@job
+def bulk_fact_delivery_events(p: Pipeline) -> DataFrame:
+    return plain(bulk.bulk_fact_delivery_events(p.tables, as_of()))
+
+
+@job
+def bulk_fact_reviews(p: Pipeline) -> DataFrame:
+    return plain(bulk.bulk_fact_reviews(p.tables, as_of()))
+
+
+@job
+def bulk_fact_order_items(p: Pipeline) -> DataFrame:
+    return plain(bulk.bulk_fact_order_items(p.tables))
+
+
+@job
+def full_reload(p: Pipeline) -> DataFrame:
+    """Rows per mart after loading everything twice."""
+    path = f"{p.base}/reloaded"
+    for _ in range(2):
+        bulk.full_reload(p.tables, path, as_of())
+    names = list(bulk.bulk_marts(p.tables, as_of()))
+    counts = [p.spark.read.parquet(f"{path}/{n}").agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(n)) for n in names]
+    return curated.stack(counts)
+
+
+@job
+def dim_date_build(p: Pipeline) -> DataFrame:
+    return bulk.dim_date_build(p.tables)
+
+
+# ---- raw landing ---------------------------------------------------------------------------------
+
+
+@job
+def validate_envelope(p: Pipeline) -> DataFrame:
+    return checked(p.click_messages()).select("offset", "error_reason")
+
+
+@job
+def iso8601_check(p: Pipeline) -> DataFrame:
+    """Verdicts on the event times of ``events`` written in nine shapes."""
+    e = SourceTables(p.spark, p.directory).read("events")
+    second = F.substring(F.col("ts").cast("string"), 1, 19)
+    t_form, shape = F.replace(second, F.lit(" "), F.lit("T")), F.col("event_id") % 9
+    text = (
+        F.when(shape == 0, t_form)
+        .when(shape == 1, second)
+        .when(shape == 2, F.concat(t_form, F.lit("Z")))
+        .when(shape == 3, F.concat(t_form, F.lit("+00:00")))
+        .when(shape == 4, F.substring(second, 1, 10))
+        .when(shape == 5, F.concat(t_form, F.lit(".25")))
+        .when(shape == 6, F.replace(second, F.lit("-"), F.lit("/")))
+        .when(shape == 7, F.concat(F.substring(second, 1, 5), F.lit("19-45")))
+        .otherwise(F.lit("soon"))
+    )
+    return e.select("event_id", is_iso8601(text).alias("valid"))
+
+
+@job
+def raw_landing(p: Pipeline) -> DataFrame:
+    """What the landing stream wrote to the raw zone, with its partition."""
+    lines = p.spark.read.schema("value string, topic string, dt date, hour int").text(f"{p.click_zone}/raw")
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return lines.select(
+        field("event_id").alias("event_id"),
+        field("channel").alias("unknown_field_kept"),
+        field("_kafka_offset").cast("bigint").alias("offset"),
+        field("_contract_version").alias("contract"),
+        "topic",
+        "dt",
+        "hour",
+    )
+
+
+@job
+def dead_letter(p: Pipeline) -> DataFrame:
+    schema = "error_reason string, original_payload string, _kafka_offset bigint, topic string, dt date, hour int"
+    records = p.spark.read.schema(schema).json(f"{p.click_zone}/raw_dead_letter")
+    return records.select("error_reason", F.col("_kafka_offset").alias("offset"), "topic", "dt", "hour")
+
+
+@job
+def at_least_once_commit(p: Pipeline) -> DataFrame:
+    """Lines in the raw zone before and after a restart on the same checkpoint."""
+    count = lambda: p.spark.read.text(f"{p.click_zone}/raw").agg(F.count(F.lit(1)).alias("lines"))
+    path = f"{p.base}/restart"
+    count().withColumn("run", F.lit("first")).write.mode("overwrite").parquet(f"{path}/first")
+    p.land(p.click_log, "clicks", "clicks", spread=1)
+    return p.spark.read.parquet(f"{path}/first").unionByName(count().withColumn("run", F.lit("restarted")))
+
+
+@job
+def raw_lake_audit(p: Pipeline) -> DataFrame:
+    """Rows and rows lacking metadata per topic; file counts depend on the run."""
+    return lake.audit(p.spark, p.order_zone).select("topic", "rows", "rows_without_metadata")
+
+
+@job
+def raw_lake_inventory(p: Pipeline) -> DataFrame:
+    return lake.audit(p.spark, p.order_zone)
+
+
+@job
+def streaming_dedupe(p: Pipeline) -> DataFrame:
+    """The twice-landed payments as a stream without repeated event ids."""
+    out = f"{p.base}/deduplicated-{shared_dir(p.spark, 'x')[-12:]}"
+    stream = lake.raw_topic_stream(p.spark, p.order_zone, "payment_events")
+    query = (
+        deduplicated(stream, "36500 days")  # the log replays years of history
+        .select("event_id", "order_id", "event_type")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}/_checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{out}/rows")
+    )
+    query.awaitTermination()
+    return p.spark.read.parquet(f"{out}/rows")
+
+
+@job
+def message_schema_drift(p: Pipeline) -> DataFrame:
+    """Unknown and absent optional fields over the valid messages."""
+    valid = checked(p.click_messages()).where("error_reason is null")
+    return (
+        schema_drift(valid)
+        .groupBy(
+            F.array_join("unknown_fields", ",").alias("unknown_fields"),
+            F.array_join("missing_fields", ",").alias("missing_fields"),
+            "major_changed",
+        )
+        .agg(F.count(F.lit(1)).alias("messages"))
+    )
+
+
+# ---- incremental load --------------------------------------------------------------------------------
+
+
+def _all_raw(p: Pipeline) -> DataFrame:
+    return curated.stack(
+        [
+            lake.with_source_file(p.raw(t)).select("topic", "dt", "hour", "event_id", "_source_file", lake.ingest_ts().alias("_ingest_ts"))
+            for t in TOPICS
+        ]
+    )
+
+
+@job
+def raw_json_scan(p: Pipeline) -> DataFrame:
+    return _all_raw(p).groupBy("topic", "dt", "hour").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@job
+def source_file_partition_extract(p: Pipeline) -> DataFrame:
+    """Partition values read from the path text agree with the partition columns."""
+    parts = lake.with_path_parts(_all_raw(p))
+    same = (F.col("_path_dt") == F.col("dt")) & (F.col("_path_hour") == F.col("hour"))
+    return parts.groupBy("topic").agg(F.count(F.lit(1)).alias("lines"), F.count_if(same).alias("agreeing"))
+
+
+@job
+def ingest_ts_resolve(p: Pipeline) -> DataFrame:
+    """First readable of three stamps, over ``events`` with some of them broken."""
+    e = SourceTables(p.spark, p.directory).read("events")
+    text, n = F.substring(F.col("ts").cast("string"), 1, 19), F.col("event_id")
+    later = lambda h: F.substring((F.col("ts") + F.make_dt_interval(hours=F.lit(h))).cast("string"), 1, 19)
+    stamps = e.select(
+        "event_id",
+        F.when(n % 2 == 0, text).otherwise(F.lit("broken")).alias("_kafka_ingest_ts"),
+        F.when(n % 3 == 0, later(1)).alias("_raw_file_ts"),
+        F.when(n % 5 == 0, later(2)).alias("ingestion_hint_ts"),
+    )
+    return stamps.select("event_id", lake.ingest_ts().cast("timestamp_ntz").alias("ingest_ts")).where("ingest_ts is not null")
+
+
+LAST = incremental.Progress(date(1998, 3, 1), 0)
+
+
+@job
+def bootstrap_batch(p: Pipeline) -> DataFrame:
+    """Whole files a first run admits, per partition (the files depend on the run)."""
+    admitted = incremental.admit_bootstrap(incremental.files_of(_all_raw(p)))
+    return admitted.groupBy("dt", "hour").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
+
+
+@job
+def newer_partition_filter(p: Pipeline) -> DataFrame:
+    newer = p.raw("order_events").where(incremental.newer_hours(LAST))
+    return newer.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@job
+def same_partition_unseen_files(p: Pipeline) -> DataFrame:
+    """The last hour's files, none of which another topic's reader has seen."""
+    raw = _all_raw(p)
+    here = raw.where("topic = 'order_events'")
+    seen = raw.where("topic = 'payment_events'").select("_source_file")
+    unseen = incremental.unseen_in_last_hour(here, LAST, seen)
+    return unseen.groupBy("topic", "dt", "hour").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@job
+def ingest_window_filter(p: Pipeline) -> DataFrame:
+    e = SourceTables(p.spark, p.directory).read("events").withColumn("_ingest_ts", F.col("ts"))
+    newest = e.agg(F.max("ts").alias("t")).scalar()
+    return incremental.within_window(e, 24 * 60, newest).select("event_id", "ts")
+
+
+@job
+def checkpoint_advance(p: Pipeline) -> DataFrame:
+    return incremental.advanced(_all_raw(p).where("topic = 'order_events'")).select("last_dt", "last_hour")
+
+
+@job
+def dim_customer_build(p: Pipeline) -> DataFrame:
+    details = snapshots.read_latest(p.spark, p.details, "customer_details")
+    return facts.dim_customer(p.raw("order_events"), details)
+
+
+@job
+def dim_seller_build(p: Pipeline) -> DataFrame:
+    return facts.dim_seller(p.raw("inventory_events"))
+
+
+@job
+def dim_product_build(p: Pipeline) -> DataFrame:
+    details = snapshots.read_latest(p.spark, p.details, "product_details")
+    return facts.dim_product(p.raw("inventory_events"), details).select("product_id", "product_category_name", "product_weight_g")
+
+
+@job
+def fact_order_events_build(p: Pipeline) -> DataFrame:
+    return facts.fact_order_events(p.raw("order_events"), as_of())
+
+
+@job
+def fact_payments_build(p: Pipeline) -> DataFrame:
+    return plain(facts.fact_payments(p.raw("payment_events"), as_of()))
+
+
+@job
+def fact_delivery_events_build(p: Pipeline) -> DataFrame:
+    return plain(facts.fact_delivery_events(p.raw("delivery_events"), as_of()))
+
+
+@job
+def fact_reviews_build(p: Pipeline) -> DataFrame:
+    return plain(facts.fact_reviews(p.raw("review_events"), as_of()))
+
+
+@job
+def fact_order_items_build(p: Pipeline) -> DataFrame:
+    return plain(facts.fact_order_items(p.raw("inventory_events")))
+
+
+def _stored(name: str) -> Job:
+    return lambda spark, sf_dir: plain(Pipeline.of(spark, sf_dir).load.table(name).read())
+
+
+for _name in ("fact_order_events", "fact_payments", "fact_delivery_events", "fact_reviews", "fact_order_items"):
+    JOBS[f"upsert_{_name}"] = _stored(_name)
+
+
+def _stored_dim(name: str) -> Job:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        dim = Pipeline.of(spark, sf_dir).load.table(name).read()
+        return dim.drop("updated_at")
+
+    return run
+
+
+for _name in ("dim_customer", "dim_seller", "dim_product"):
+    JOBS[f"upsert_{_name}"] = _stored_dim(_name)
+
+
+@job
+def dimension_type1_update(p: Pipeline) -> DataFrame:
+    """Two merges into a customer dimension: new values replace, NULL does not."""
+    path = shared_dir(p.spark, "type1")
+    table = KeyedTable(p.spark, path, KEYS["dim_customer"], STORED["dim_customer"], dated=False)
+    source = SourceTables(p.spark, p.directory).read("customer")
+    k = F.col("c_custkey")
+
+    def batch(rows: DataFrame, city: Column, state: Column) -> DataFrame:
+        none = F.lit(None).cast("string")
+        return rows.select(
+            F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
+            none.alias("customer_unique_id"),
+            city.cast("string").alias("customer_city"),
+            state.cast("string").alias("customer_state"),
+            none.alias("customer_zip_prefix"),
+        )
+
+    first = batch(source.where(k % 2 == 0), F.when(k % 4 == 0, F.lit("old city")), F.lit("old"))
+    second = batch(source.where(k % 3 == 0), F.when(k % 5 == 0, F.lit("new city")), F.lit("new"))
+    table.merge_dimension(first, F.lit("2001-01-01 00:00:00").cast("timestamp_ntz"))
+    table.merge_dimension(second, F.lit("2001-01-02 00:00:00").cast("timestamp_ntz"))
+    return table.read().select("customer_id", "customer_city", "customer_state", "created_at", "updated_at")
+
+
+@job
+def idempotent_new_rows(p: Pipeline) -> DataFrame:
+    payments = Star.projected(p.spark, p.directory).fact_payments
+    held = payments.where("payment_sequential = 1")
+    return incremental.new_rows(payments, held, ["event_id"]).select("event_id", "order_id")
+
+
+@job
+def seller_backfill(p: Pipeline) -> DataFrame:
+    """Items whose seller was removed for every third order get the order's seller."""
+    s = Star.projected(p.spark, p.directory)
+    number = F.substring("order_id", 2, 20).cast("bigint")
+    items = s.fact_order_items.withColumn("seller_id", F.when(number % 3 != 0, F.col("seller_id")))
+    return facts.backfill_sellers(items, s.fact_order_events).select("order_id", "order_item_id", "seller_id")
+
+
+@job
+def run_metrics(p: Pipeline) -> DataFrame:
+    runs = p.load.quality_runs()
+    names = ("rows_in", "rows_out", "null_violations", "duplicate_violations", "schema_violations")
+    return runs.groupBy("dataset_name", "status").agg(*[F.sum(n).alias(n) for n in names])
+
+
+@job
+def staging_events_clean(p: Pipeline) -> DataFrame:
+    return curated.staging_events_clean([p.raw(t) for t in TOPICS])
+
+
+@job
+def loaded_star_revenue(p: Pipeline) -> DataFrame:
+    """Category revenue over the event-loaded warehouse, end to end."""
+    from tidemart.plans.sales import category_revenue
+
+    return category_revenue(Star(p.spark, lambda name: p.load.table(name).read()))
+
+
+@job
+def mart_refresh(p: Pipeline) -> DataFrame:
+    """A stored payment mart after recomputing one of its months."""
+    path = shared_dir(p.spark, "mart")
+    star = Star.projected(p.spark, p.directory)
+    curated.write_mart(curated.mart_payment_mix(star), path)
+    curated.refresh_mart(star, curated.mart_payment_mix, path, ["1998-03"])
+    return p.spark.read.parquet(path).drop("event_month")

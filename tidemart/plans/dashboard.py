@@ -190,31 +190,20 @@ def active_alerts(s: Star) -> DataFrame:
 @plan
 def box_plot_summary(s: Star) -> DataFrame:
     """Five-number summary with the 1.5 x IQR fences of each metric."""
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return statistics.descriptive_stats_all(s).select(
+    stats = statistics.descriptive_stats_all(s)
+    lower, upper = statistics.fences(stats)
+    return stats.select(
         "metric",
         F.col("min_val").alias("min"),
         "q1",
         "median",
         "q3",
         F.col("max_val").alias("max"),
-        round4(F.col("q1") - reach).alias("lower_fence"),
-        round4(F.col("q3") + reach).alias("upper_fence"),
+        round4(lower).alias("lower_fence"),
+        round4(upper).alias("upper_fence"),
     )
 
 
-@plan
-def price_outliers(s: Star) -> DataFrame:
-    """Order items priced outside the 1.5 x IQR fences."""
-    fences = statistics.stats_price(s).select(
-        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"),
-    )
-    price = F.col("price").cast("double")
-    lo, hi = fences.select("lo").scalar(), fences.select("hi").scalar()
-    return s.fact_order_items.where((price < lo) | (price > hi)).select("order_id", "order_item_id", price.alias("price"))
-
-
 @plan
 def whatif_projection(s: Star) -> DataFrame:
     """Projected effect of the default scenario on the baseline."""

@@ -80,16 +80,15 @@ def describe(df: DataFrame, column: str, label: str) -> DataFrame:
         F.min(v).cast("double").alias("min_val"),
         F.max(v).cast("double").alias("max_val"),
     )
-    q = lambda i: round4(quartiles.select(f"q{i}").scalar())
-    return basics.select(
+    return basics.withColumn("q", quartiles.select(F.struct("q0", "q1", "q2")).scalar()).select(
         F.lit(label).alias("metric"),
         "n",
         "mean",
-        q(1).alias("median"),
+        round4(F.col("q.q1")).alias("median"),
         "stddev",
         "min_val",
-        q(0).alias("q1"),
-        q(2).alias("q3"),
+        round4(F.col("q.q0")).alias("q1"),
+        round4(F.col("q.q2")).alias("q3"),
         "max_val",
     )
 
@@ -127,6 +126,41 @@ def descriptive_stats_all(s: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, [fn(s) for fn in DESCRIBED])
 
 
+def fences(stats: DataFrame) -> list[Column]:
+    """Edges 1.5 x IQR beyond the quartiles."""
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    return [(F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi")]
+
+
+def outliers(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Rows of ``df`` whose column lies outside its fences."""
+    v = F.col(column).cast("double")
+    edges = describe(df, column, label)
+    edges = edges.select(F.struct(*fences(edges))).scalar()
+    return df.withColumn("edges", edges).where((v < F.col("edges.lo")) | (v > F.col("edges.hi"))).drop("edges")
+
+
+@plan
+def price_outliers(s: Star) -> DataFrame:
+    return outliers(s.fact_order_items, "price", "Price").select(
+        "order_id", "order_item_id", F.col("price").cast("double").alias("price")
+    )
+
+
+@plan
+def freight_outliers(s: Star) -> DataFrame:
+    return outliers(s.fact_order_items, "freight_value", "Freight").select(
+        "order_id", "order_item_id", F.col("freight_value").cast("double").alias("freight_value")
+    )
+
+
+@plan
+def payment_outliers(s: Star) -> DataFrame:
+    return outliers(s.approved, "payment_value", "Payment Value").select(
+        "event_id", F.col("payment_value").cast("double").alias("payment_value")
+    )
+
+
 # ---- what-if -------------------------------------------------------------------
 
 

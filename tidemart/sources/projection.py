@@ -9,6 +9,7 @@ that does not use the seller.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +32,14 @@ class SourceTables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._read:  # listing and footer reading happen once
+            self._read[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._read[name]
 
+    @cached_property
     def item_rows(self) -> DataFrame:
         """Line items with one row per (order, line); the smallest row wins.
 
@@ -49,6 +54,7 @@ class SourceTables:
             .select("l_orderkey", "l_linenumber", *[F.col(f"r.{c}").alias(c) for c in rest])
         )
 
+    @cached_property
     def primary_seller(self) -> DataFrame:
         first = F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey"))
         return (
@@ -58,6 +64,7 @@ class SourceTables:
             .select("l_orderkey", F.concat(F.lit("S"), F.col("f.l_suppkey").cast("string")).alias("seller_id"))
         )
 
+    @cached_property
     def order_rows(self) -> DataFrame:
         k = "o_orderkey"
         buy = f"({k}*37)%24"
@@ -77,8 +84,9 @@ class SourceTables:
             F.expr(late).alias("delay_h"),
         )
 
+    @cached_property
     def orders_with_seller(self) -> DataFrame:
-        orders, prim = self.order_rows(), self.primary_seller()
+        orders, prim = self.order_rows, self.primary_seller
         return orders.join(prim, orders.k == prim.l_orderkey, "left").drop("l_orderkey")
 
 
@@ -158,11 +166,11 @@ def distinct_days(df: DataFrame, *stamps: str) -> DataFrame:
 
 
 def dim_date(s: SourceTables) -> DataFrame:
-    return calendar(distinct_days(s.order_rows(), "purchase_ts", "approved_ts", "deliv_ts", "est_ts"))
+    return calendar(distinct_days(s.order_rows, "purchase_ts", "approved_ts", "deliv_ts", "est_ts"))
 
 
 def fact_order_events(s: SourceTables) -> DataFrame:
-    o = s.orders_with_seller()
+    o = s.orders_with_seller
     status = (
         F.when(F.expr("k%20=0"), "canceled")
         .when(F.col("o_orderstatus") == "O", "created")
@@ -199,7 +207,7 @@ def fact_order_events(s: SourceTables) -> DataFrame:
 
 
 def fact_payments(s: SourceTables) -> DataFrame:
-    o = s.order_rows().withColumn(
+    o = s.order_rows.withColumn(
         "s", F.explode(F.when(F.expr("k%5=0"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
     )
     o = o.withColumn("event_ts", F.coalesce("approved_ts", "purchase_ts"))
@@ -222,7 +230,7 @@ def fact_payments(s: SourceTables) -> DataFrame:
 
 
 def fact_delivery_events(s: SourceTables) -> DataFrame:
-    o = s.orders_with_seller()
+    o = s.orders_with_seller
 
     def rows(prefix: str, kind: str, state: str, ts: str, delay: Column) -> DataFrame:
         return o.where(F.col(ts).isNotNull()).select(
@@ -246,7 +254,7 @@ def fact_delivery_events(s: SourceTables) -> DataFrame:
 
 
 def fact_reviews(s: SourceTables) -> DataFrame:
-    o = s.orders_with_seller().where("deliv_ts is not null and k%4<>0")
+    o = s.orders_with_seller.where("deliv_ts is not null and k%4<>0")
     o = o.withColumn("created", plus_hours("deliv_ts", "k%72"))
     return o.select(
         F.concat(F.lit("rv-"), "order_id").alias("event_id"),
@@ -266,7 +274,7 @@ def fact_reviews(s: SourceTables) -> DataFrame:
 
 
 def fact_order_items(s: SourceTables) -> DataFrame:
-    items, orders = s.item_rows(), s.order_rows().select("k", "order_id", "purchase_ts")
+    items, orders = s.item_rows, s.order_rows.select("k", "order_id", "purchase_ts")
     return items.join(orders, items.l_orderkey == orders.k).select(
         "order_id",
         F.col("l_linenumber").alias("order_item_id"),
