@@ -142,7 +142,7 @@ select topic, order_id as key, event_id, event_type, '1.0' as schema_version, {i
   {iso(AS_OF)} as ingestion_hint_ts, 'marketplace' as source_system,
   case topic when 'payment_events' then 'order_payments' when 'review_events' then 'order_reviews'
     when 'inventory_events' then 'order_items' else 'orders' end as source_table,
-  order_id, customer_id, seller_id
+  sha256('trace|' || event_id) as trace_id, order_id, customer_id, seller_id
 from e_all""",
     "customer_details_snapshot": f"""
 select customer_id, customer_unique_id, {pick(STATES, 'customer_unique_id', 'state')} as state,

@@ -88,15 +88,16 @@ class KeyedTable:
         return F.coalesce(F.date_format("event_date", "yyyy-MM"), F.lit("none"))
 
     def merge(self, batch: DataFrame) -> int:
-        """Upsert ``batch`` (one row per key) and return the published version."""
+        """Upsert ``batch`` (one row per key) and return its number of rows."""
         now = self.version()
         parts = self.parts(now)
         # The batch feeds the key lookup, the rewrite and the month list.
         rows = batch.withColumn(MONTH, self._month()).persist()
         try:
-            months = {r[MONTH] for r in rows.select(MONTH).distinct().collect()}
-            if not months:
-                return now
+            sizes = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
+            if not sizes:
+                return 0
+            months = set(sizes)
             searched = {p for p in parts if p[0] in months} if self.fixed_key_date else parts
             keys = rows.select(*self.keys)
             touched: set[str] = set()
@@ -124,7 +125,7 @@ class KeyedTable:
         # A touched month may have lost its last row to another month.
         written = months | (touched & self._months_on_disk(now + 1))
         self._publish(now + 1, kept | {(m, now + 1) for m in written})
-        return now + 1
+        return sum(sizes.values())
 
     def _months_on_disk(self, version: int) -> set[str]:
         jvm = self.spark._jvm

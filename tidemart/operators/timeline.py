@@ -193,7 +193,7 @@ def build_envelope(events: DataFrame, hint_ts: Column) -> DataFrame:
         F.replace(hint_ts.cast("string"), F.lit(" "), F.lit("T")).alias("ingestion_hint_ts"),
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         table.alias("source_table"),
-        F.sha2(F.concat(F.lit("trace|"), "event_id"), 224).alias("trace_id"),
+        F.sha2(F.concat(F.lit("trace|"), "event_id"), 256).alias("trace_id"),
         order_id.alias("order_id"),
         "customer_id",
         "seller_id",
