@@ -140,9 +140,17 @@ TABLES: dict[str, str] = {
 }
 
 
-def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
+SUBSETS = ("made", "paid", "arrived", "timed", "made_paid", "sold", "newest_made", "trips")
+
+
+def over_stored(body: str) -> str:
+    """``body`` over a star schema that exists as tables."""
+    return with_tables(body, known={name: TABLES[name] for name in SUBSETS})
+
+
+def with_tables(body: str, extra: dict[str, str] | None = None, known: dict[str, str] | None = None) -> str:
     """Prefix ``body`` with the tables it names, in dependency order."""
-    known = {**TABLES, **(extra or {})}
+    known = {**TABLES, **(extra or {})} if known is None else known
     needed: set[str] = set()
 
     def visit(sql: str) -> None:
@@ -153,4 +161,7 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
 
     visit(body)
     ctes = [f"{name} as ({known[name]})" for name in known if name in needed]
-    return "with " + ",\n".join(ctes) + "\n" + body.strip() if ctes else body.strip()
+    body = body.strip()
+    if ctes:
+        return "with " + ",\n".join(ctes) + "\n" + body
+    return "with " + body[1:] if body.startswith(",") else body

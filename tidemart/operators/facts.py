@@ -110,18 +110,16 @@ def fact_order_items(raw: DataFrame) -> DataFrame:
 
 def backfill_sellers(items: DataFrame, order_events: DataFrame) -> DataFrame:
     """Fill missing sellers from the order's events, then drop rows still without one."""
-    known = (
-        order_events.where("order_id is not null and seller_id is not null")
+    named = items.where("seller_id <> ''")
+    missing = items.where("seller_id is null or seller_id = ''").drop("seller_id")
+    # Only the orders in question are looked up in the event history.
+    sellers = (
+        order_events.where("seller_id is not null")
+        .join(missing.select("order_id").distinct(), "order_id", "left_semi")
         .groupBy("order_id")
-        .agg(F.min_by("seller_id", F.struct("event_ts", "event_id")).alias("order_seller"))
-    )
-    filled = F.coalesce(F.nullif(F.col("seller_id"), F.lit("")), "order_seller")
-    return (
-        items.join(known, "order_id", "left")
-        .withColumn("seller_id", filled)
-        .drop("order_seller")
-        .where("seller_id is not null")
+        .agg(F.min_by("seller_id", F.struct("event_ts", "event_id")).alias("seller_id"))
     )
+    return named.unionByName(missing.join(sellers, "order_id").select(*items.columns))
 
 
 # ---- dimensions ------------------------------------------------------------------
@@ -157,17 +155,25 @@ def _enriched(from_events: DataFrame, details: DataFrame | None, key: str) -> Da
     return latest_by(both, [key], ("known",)).select(key, *names)
 
 
+def customers_from_details(details: DataFrame) -> DataFrame:
+    return details.where("customer_id <> ''").select(
+        "customer_id",
+        "customer_unique_id",
+        F.col("city").alias("customer_city"),
+        F.col("state").alias("customer_state"),
+        *_blank(["customer_zip_prefix"]),
+    )
+
+
+def products_from_details(details: DataFrame) -> DataFrame:
+    return details.where("product_id <> ''").select(
+        "product_id", F.col("product_category").alias("product_category_name"), *_blank(PRODUCT_SIZES, "int")
+    )
+
+
 def dim_customer(raw: DataFrame, details: DataFrame | None = None) -> DataFrame:
     events = _ids(raw, "customer_id", "customer_id").select("customer_id", *_blank(CUSTOMER_ATTRIBUTES))
-    if details is not None:
-        details = details.where("customer_id <> ''").select(
-            "customer_id",
-            "customer_unique_id",
-            F.col("city").alias("customer_city"),
-            F.col("state").alias("customer_state"),
-            *_blank(["customer_zip_prefix"]),
-        )
-    return _enriched(events, details, "customer_id")
+    return _enriched(events, None if details is None else customers_from_details(details), "customer_id")
 
 
 def dim_seller(raw: DataFrame) -> DataFrame:
@@ -178,8 +184,4 @@ def dim_product(raw: DataFrame, details: DataFrame | None = None) -> DataFrame:
     events = _ids(raw, "payload.product_id", "product_id").select(
         "product_id", *_blank(["product_category_name"]), *_blank(PRODUCT_SIZES, "int")
     )
-    if details is not None:
-        details = details.where("product_id <> ''").select(
-            "product_id", F.col("product_category").alias("product_category_name"), *_blank(PRODUCT_SIZES, "int")
-        )
-    return _enriched(events, details, "product_id")
+    return _enriched(events, None if details is None else products_from_details(details), "product_id")

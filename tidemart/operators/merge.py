@@ -82,6 +82,17 @@ class KeyedTable:
         return self._read(self.parts()).drop("version", MONTH)
 
     # ---- writing ---------------------------------------------------------------------
+    def _write(self, rows: DataFrame, version: int) -> None:
+        spread = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_month))
+        (
+            rows.repartition(MONTH, spread)
+            .sortWithinPartitions(MONTH, *self.keys)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(MONTH)
+            .parquet(f"{self.path}/data/version={version}")
+        )
+
     def _month(self) -> Column:
         if not self.dated:
             return F.lit(NO_MONTH)
@@ -110,15 +121,7 @@ class KeyedTable:
             if touched:
                 stale = self._read({p for p in parts if p[0] in touched})
                 out = stale.select(*columns).join(keys, self.keys, "left_anti").select(*columns).unionByName(out)
-            spread = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_month))
-            (
-                out.repartition(MONTH, spread)
-                .sortWithinPartitions(MONTH, *self.keys)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy(MONTH)
-                .parquet(f"{self.path}/data/version={now + 1}")
-            )
+            self._write(out, now + 1)
         finally:
             rows.unpersist()
         kept = {p for p in parts if p[0] not in touched}
@@ -127,6 +130,20 @@ class KeyedTable:
         self._publish(now + 1, kept | {(m, now + 1) for m in written})
         return sum(sizes.values())
 
+    def compact(self, most: int = 8) -> list[str]:
+        """Rewrite months that consist of more than ``most`` appends as one version."""
+        now = self.version()
+        parts = self.parts(now)
+        count: dict[str, int] = {}
+        for month, _ in parts:
+            count[month] = count.get(month, 0) + 1
+        crowded = {m for m, n in count.items() if n > most}
+        if crowded:
+            rows = self._read({p for p in parts if p[0] in crowded}).drop("version")
+            self._write(rows, now + 1)
+            self._publish(now + 1, {p for p in parts if p[0] not in crowded} | {(m, now + 1) for m in crowded})
+        return sorted(crowded)
+
     def _months_on_disk(self, version: int) -> set[str]:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/version={version}")

@@ -226,9 +226,9 @@ def project_scenario(
     impact = F.col("sla_revenue") + F.col("freight_savings") + F.col("repeat_revenue") + F.col("aov_revenue")
     parts = ("new_on_time_pct", "sla_revenue", "freight_savings", "repeat_revenue", "aov_revenue")
     return gains.select(
-        *[round4(F.col(c)).alias(c) for c in parts],
-        round4(impact).alias("total_impact"),
-        round4(F.when(F.col("revenue") > 0, 100 * impact / F.col("revenue"))).alias("impact_pct"),
+        *parts,
+        impact.alias("total_impact"),
+        F.when(F.col("revenue") > 0, 100 * impact / F.col("revenue")).alias("impact_pct"),
     )
 
 

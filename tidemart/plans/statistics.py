@@ -141,24 +141,28 @@ def outliers(df: DataFrame, column: str, label: str) -> DataFrame:
 
 
 @plan
-def price_outliers(s: Star) -> DataFrame:
-    return outliers(s.fact_order_items, "price", "Price").select(
-        "order_id", "order_item_id", F.col("price").cast("double").alias("price")
+def metric_outliers(s: Star) -> DataFrame:
+    """Rows below and above the fences, per metric."""
+    sources = (
+        (s.fact_order_items, "price", "Price"),
+        (s.fact_order_items, "freight_value", "Freight"),
+        (s.timed, "delivery_delay_hours", "Delivery Delay (h)"),
+        (s.fact_reviews, "review_score", "Review Score"),
+        (s.approved, "payment_value", "Payment Value"),
     )
 
-
-@plan
-def freight_outliers(s: Star) -> DataFrame:
-    return outliers(s.fact_order_items, "freight_value", "Freight").select(
-        "order_id", "order_item_id", F.col("freight_value").cast("double").alias("freight_value")
-    )
-
-
-@plan
-def payment_outliers(s: Star) -> DataFrame:
-    return outliers(s.approved, "payment_value", "Payment Value").select(
-        "event_id", F.col("payment_value").cast("double").alias("payment_value")
-    )
+    def one(df: DataFrame, column: str, label: str) -> DataFrame:
+        stats = describe(df, column, label)
+        edges = stats.select(F.struct(*fences(stats))).scalar()
+        v = F.col(column).cast("double")
+        return df.withColumn("edges", edges).agg(
+            F.lit(label).alias("metric"),
+            n_rows().alias("n"),
+            F.count_if(v < F.col("edges.lo")).alias("below"),
+            F.count_if(v > F.col("edges.hi")).alias("above"),
+        )
+
+    return reduce(DataFrame.unionByName, [one(*source) for source in sources])
 
 
 # ---- what-if -------------------------------------------------------------------

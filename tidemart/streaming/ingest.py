@@ -80,18 +80,33 @@ class Load:
     def dimensions(self, topic: str, raw: DataFrame) -> dict[str, DataFrame]:
         dims = {}
         if topic != "inventory_events":
-            details = self.customer_details if topic == "order_events" else None
-            dims["dim_customer"] = X.dim_customer(raw, details)
+            dims["dim_customer"] = X.dim_customer(raw)
         else:
-            dims["dim_product"] = X.dim_product(raw, self.product_details)
+            dims["dim_product"] = X.dim_product(raw)
         if topic != "payment_events":
             dims["dim_seller"] = X.dim_seller(raw)
         return dims
 
+    def sideload(self) -> None:
+        """Merge the side-loaded attributes once per run, not once per batch.
+
+        A known value is never replaced by NULL, so the ids that batches bring
+        later leave these attributes alone.
+        """
+        if self.customer_details is not None:
+            rows = X.customers_from_details(self.customer_details).dropDuplicates(["customer_id"])
+            self.table("dim_customer").merge_dimension(rows, self.now())
+        if self.product_details is not None:
+            rows = X.products_from_details(self.product_details).dropDuplicates(["product_id"])
+            self.table("dim_product").merge_dimension(rows, self.now())
+
     def fact(self, topic: str, raw: DataFrame) -> DataFrame:
-        if topic == "inventory_events":
-            return X.backfill_sellers(X.fact_order_items(raw), self.table("fact_order_events").read())
-        return getattr(X, FACT_OF[topic])(raw, self.now())
+        if topic != "inventory_events":
+            return getattr(X, FACT_OF[topic])(raw, self.now())
+        items = X.fact_order_items(raw)
+        if raw.where("seller_id is null or seller_id = ''").isEmpty():
+            return items  # nothing to look up, so the event history is not opened
+        return X.backfill_sellers(items, self.table("fact_order_events").read())
 
     def process(self, topic: str):
         def run(batch: DataFrame, batch_id: int) -> None:
@@ -148,6 +163,7 @@ class Load:
 
         Order events come first: they name the sellers that items may lack.
         """
+        self.sideload()
         for topic in topics:
             self.start(topic).awaitTermination()
 
