@@ -21,7 +21,7 @@ def content(table):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "t"), ["id"], SCHEMA, files_per_month=2)
+    return KeyedTable(spark, str(tmp_path / "t"), ["id"], SCHEMA, rows_per_file=2)
 
 
 def test_empty_table_reads_empty(table):
@@ -40,7 +40,7 @@ def test_new_changed_repeated(spark, table):
 def test_inserts_do_not_rewrite(spark, table):
     table.merge(rows(spark, ("a", 1, "2020-01-05")))
     table.merge(rows(spark, ("b", 1, "2020-01-06"), ("c", 1, "2020-05-01")))
-    assert table.parts() == {("2020-01", 1), ("2020-01", 2), ("2020-05", 2)}
+    assert table.parts() == {("2020-01", 1): 1, ("2020-01", 2): 1, ("2020-05", 2): 1}
 
 
 def test_key_moves_to_another_month(spark, table):
@@ -49,6 +49,7 @@ def test_key_moves_to_another_month(spark, table):
     assert content(table) == [("a", 2, "2020-04-05"), ("b", 1, "2020-01-06")]
     table.merge(rows(spark, ("b", 2, "2020-04-07")))  # January is now empty
     assert content(table) == [("a", 2, "2020-04-05"), ("b", 2, "2020-04-07")]
+    assert sum(table.parts().values()) == 2
 
 
 def test_missing_date_is_a_part_of_its_own(spark, table):

@@ -178,7 +178,7 @@ def write_mart(mart: DataFrame, path: str) -> None:
     """Store a day-grain mart by month, sorted by day inside its files."""
     (
         mart.withColumn("event_month", F.date_format("event_date", "yyyy-MM"))
-        .repartition("event_month")
+        .hint("rebalance", "event_month")
         .sortWithinPartitions("event_month", "event_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 MONTH = "event_month"
 NO_MONTH = "all"
+STATE = f"{MONTH} string, version bigint, rows bigint"
+Parts = dict[tuple[str, int], int]
 
 
 class KeyedTable:
@@ -33,45 +35,38 @@ class KeyedTable:
         schema: str,
         dated: bool = True,
         fixed_key_date: bool = False,
-        files_per_month: int = 4,
+        rows_per_file: int = 2_000_000,
     ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
         self.schema, self.dated, self.fixed_key_date = schema, dated, fixed_key_date
-        self.files_per_month = files_per_month
+        self.rows_per_file = rows_per_file
 
     # ---- state ---------------------------------------------------------------------
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_state")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
     def version(self) -> int:
         """The newest published version, 0 for a table not written yet."""
-        fs, state = self._fs()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        state = path(f"{self.path}/_state")
+        fs = state.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(state):
             return 0
-        jvm = self.spark._jvm
-        done = [
-            int(s.getPath().getName())
-            for s in fs.listStatus(state)
-            if s.getPath().getName().isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        ]
+        folders = [s.getPath() for s in fs.listStatus(state)]
+        done = [int(p.getName()) for p in folders if p.getName().isdigit() and fs.exists(path(p, "_SUCCESS"))]
         return max(done, default=0)
 
-    def parts(self, version: int | None = None) -> set[tuple[str, int]]:
-        """The (month, version) pairs of the table: as many as it has months and open appends."""
+    def parts(self, version: int | None = None) -> Parts:
+        """Rows per (month, version): as many entries as the table has months and open appends."""
         v = self.version() if version is None else version
         if v == 0:
-            return set()
-        rows = self.spark.read.schema(f"{MONTH} string, version bigint").parquet(f"{self.path}/_state/{v}").collect()
-        return {(r[MONTH], r["version"]) for r in rows}
+            return {}
+        rows = self.spark.read.schema(STATE).parquet(f"{self.path}/_state/{v}").collect()
+        return {(r[MONTH], r["version"]): r["rows"] for r in rows}
 
-    def _publish(self, version: int, parts: set[tuple[str, int]]) -> None:
-        state = self.spark.createDataFrame(sorted(parts), f"{MONTH} string, version bigint")
+    def _publish(self, version: int, parts: Parts) -> None:
+        state = self.spark.createDataFrame([(m, v, n) for (m, v), n in sorted(parts.items())], STATE)
         state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_state/{version}")
 
     # ---- reading ---------------------------------------------------------------------
-    def _read(self, parts: set[tuple[str, int]]) -> DataFrame:
+    def _read(self, parts: Parts) -> DataFrame:
         schema = f"{self.schema}, version bigint, {MONTH} string"
         if not parts:
             return self.spark.createDataFrame([], schema)
@@ -82,10 +77,12 @@ class KeyedTable:
         return self._read(self.parts()).drop("version", MONTH)
 
     # ---- writing ---------------------------------------------------------------------
-    def _write(self, rows: DataFrame, version: int) -> None:
-        spread = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_month))
+    def _write(self, rows: DataFrame, version: int, sizes: dict[str, int]) -> None:
+        """Write months with as many files as their rows need, so no month is one task's work."""
+        files = F.create_map(*[F.lit(x) for m, n in sizes.items() for x in (m, -(-n // self.rows_per_file) or 1)])
+        salt = F.pmod(F.xxhash64(*self.keys), files[F.col(MONTH)])
         (
-            rows.repartition(MONTH, spread)
+            rows.repartition(MONTH, salt)
             .sortWithinPartitions(MONTH, *self.keys)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -102,56 +99,50 @@ class KeyedTable:
         """Upsert ``batch`` (one row per key) and return its number of rows."""
         now = self.version()
         parts = self.parts(now)
-        # The batch feeds the key lookup, the rewrite and the month list.
+        # The batch feeds the month counts, the key lookup and the write.
         rows = batch.withColumn(MONTH, self._month()).persist()
         try:
-            sizes = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
-            if not sizes:
+            brought = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
+            if not brought:
                 return 0
-            months = set(sizes)
-            searched = {p for p in parts if p[0] in months} if self.fixed_key_date else parts
+            searched = {p: n for p, n in parts.items() if p[0] in brought} if self.fixed_key_date else parts
             keys = rows.select(*self.keys)
-            touched: set[str] = set()
+            replaced: dict[str, int] = {}
             if searched:
-                held = self._read(searched).select(*self.keys, MONTH)
-                hits = held.join(keys, self.keys, "left_semi").select(MONTH).distinct()
-                touched = {r[MONTH] for r in hits.collect()}
+                hits = self._read(searched).select(*self.keys, MONTH).join(keys, self.keys, "left_semi")
+                replaced = {r[MONTH]: r["count"] for r in hits.groupBy(MONTH).count().collect()}
             columns = [*batch.columns, MONTH]
             out = rows.select(*columns)
-            if touched:
-                stale = self._read({p for p in parts if p[0] in touched})
-                out = stale.select(*columns).join(keys, self.keys, "left_anti").select(*columns).unionByName(out)
-            self._write(out, now + 1)
+            stale = {p: n for p, n in parts.items() if p[0] in replaced}
+            if stale:
+                kept_rows = self._read(stale).select(*columns).join(keys, self.keys, "left_anti").select(*columns)
+                out = kept_rows.unionByName(out)
+            sizes = dict(brought)
+            for (month, _), n in stale.items():
+                sizes[month] = sizes.get(month, 0) + n
+            sizes = {m: n - replaced.get(m, 0) for m, n in sizes.items()}
+            self._write(out, now + 1, sizes)
         finally:
             rows.unpersist()
-        kept = {p for p in parts if p[0] not in touched}
-        # A touched month may have lost its last row to another month.
-        written = months | (touched & self._months_on_disk(now + 1))
-        self._publish(now + 1, kept | {(m, now + 1) for m in written})
-        return sum(sizes.values())
+        # A month that lost its last row to another month has no files any more.
+        new = {(m, now + 1): n for m, n in sizes.items() if n > 0}
+        self._publish(now + 1, {p: n for p, n in parts.items() if p not in stale} | new)
+        return sum(brought.values())
 
     def compact(self, most: int = 8) -> list[str]:
         """Rewrite months that consist of more than ``most`` appends as one version."""
         now = self.version()
         parts = self.parts(now)
-        count: dict[str, int] = {}
-        for month, _ in parts:
-            count[month] = count.get(month, 0) + 1
-        crowded = {m for m, n in count.items() if n > most}
+        months = [m for m, _ in parts]
+        crowded = {p: n for p, n in parts.items() if months.count(p[0]) > most}
         if crowded:
-            rows = self._read({p for p in parts if p[0] in crowded}).drop("version")
-            self._write(rows, now + 1)
-            self._publish(now + 1, {p for p in parts if p[0] not in crowded} | {(m, now + 1) for m in crowded})
-        return sorted(crowded)
-
-    def _months_on_disk(self, version: int) -> set[str]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/version={version}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        prefix = f"{MONTH}="
-        return {
-            s.getPath().getName()[len(prefix) :] for s in fs.listStatus(path) if s.getPath().getName().startswith(prefix)
-        }
+            sizes: dict[str, int] = {}
+            for (month, _), n in crowded.items():
+                sizes[month] = sizes.get(month, 0) + n
+            self._write(self._read(crowded).drop("version"), now + 1, sizes)
+            new = {(m, now + 1): n for m, n in sizes.items()}
+            self._publish(now + 1, {p: n for p, n in parts.items() if p not in crowded} | new)
+        return sorted({m for m, _ in crowded})
 
     def merge_dimension(self, batch: DataFrame, now: Column) -> int:
         """Type 1 update: known values are replaced by known values only.
