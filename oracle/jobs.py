@@ -165,13 +165,29 @@ select product_id, cat as product_category_name, length(p_name)::int as product_
   p_size as product_height_cm, p_size as product_width_cm
 from t_products""",
     "dim_date_build": "select * from dim_date",
+    "micro_batch_read": """
+select 'click_events' as topic, count(*) as events from verdicts where error_reason is null""",
+    "enrich_with_source_metadata": """
+select 'payment_events' as _kafka_topic, order_id as _kafka_key, '2001-12-05T00:00:00Z' as _kafka_ingest_ts,
+  '2001-12-05T00:00:00Z' as _raw_file_ts, '1.0' as _contract_version, 2 * count(*) as lines
+from e_paid group by order_id""",
+    "group_sort_by_partition_offset": """
+select count(*) as lines, 0::bigint as out_of_order from verdicts where error_reason is null""",
+    "checkpoint_read": """
+select topic, date_trunc('month', max(event_ts))::date as last_dt, 0::int as last_hour from e_all group by topic""",
+    "raw_value_checks": """
+, lines as (select order_value from e_created union all select order_value from e_approved)
+select 2 * count(*) as lines, 0::bigint as negative_order_value, 0::bigint as unreadable_event_ts,
+  0::bigint as other_major_version, 2 * count(*) filter (order_value = 0) as zero_order_value
+from lines""",
+    "append_facts_simple": "select event_id, payment_type, payment_value::double as payment_value from fact_payments",
     "validate_envelope": 'select "offset", error_reason from verdicts',
     "iso8601_check": "select event_id, event_id % 9 < 6 as valid from events",
-    "raw_landing": """
+    "partitioned_raw_sink": """
 select 'E' || "offset" as event_id, 'web' as unknown_field_kept, "offset", '1.0' as contract, 'click_events' as topic, ts::date as dt,
   hour(ts)::int as hour
 from verdicts where error_reason is null""",
-    "dead_letter": """
+    "dead_letter_route": """
 select error_reason, "offset", 'click_events' as topic, date '2001-12-05' as dt, 0::int as hour
 from verdicts where error_reason is not null""",
     "at_least_once_commit": """
@@ -304,4 +320,24 @@ SQL["full_reload"] = "\nunion all ".join(
         ("fact_order_items", "fact_order_items"),
     )
 )
+
+
+def filled(name: str, source: str, columns: str) -> str:
+    cells = " + ".join(f"count({c})" for c in columns.split())
+    return f"select '{name}' as table_name, count(*) as row_count, {cells} as filled_cells from {source}"
+
+
+SQL["load_source_tables"] = "\nunion all ".join(
+    filled(*t)
+    for t in (
+        ("orders", "t_orders", "order_id customer_id order_status purchase_ts approved_ts shipped_ts deliv_ts est_ts"),
+        ("items", "fact_order_items", "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"),
+        ("payments", "fact_payments", "order_id payment_sequential payment_type payment_installments payment_value"),
+        ("reviews", "fact_reviews", "review_id order_id review_score review_comment_title review_created_ts review_answer_ts"),
+        ("customers", "dim_customer", "customer_id customer_id customer_unique_id customer_city customer_state"),
+        ("sellers", "dim_seller", "seller_id seller_id seller_city seller_state"),
+        ("products", "t_products", "product_id cat p_name p_partkey p_size p_size p_size p_size"),
+        ("translation", "(select distinct cat from t_products where length(cat) % 7 <> 0)", "cat cat"),
+    )
+)
 assert not set(SQL) & set(ANALYTICS)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.operators import bulk, curated, facts, incremental, snapshots, timeline
@@ -21,7 +21,7 @@ from tidemart.schemas import KEYS, TOPICS
 from tidemart.session import shared_dir
 from tidemart.sources import lake
 from tidemart.sources.projection import SourceTables
-from tidemart.sources.relational import derived_tables
+from tidemart.sources.relational import derived_tables, read_csv_tables
 from tidemart.sources.star import Star
 from tidemart.streaming import landing
 from tidemart.streaming.ingest import STORED, Load, deduplicated
@@ -167,6 +167,21 @@ def job(fn: Callable[[Pipeline], DataFrame]) -> Callable[[Pipeline], DataFrame]:
     return fn
 
 
+@job
+def load_source_tables(p: Pipeline) -> DataFrame:
+    """Rows and filled cells of every source table after a trip through CSV."""
+    path = shared_dir(p.spark, "csv")
+    for name, df in p.tables.items():
+        df.write.csv(f"{path}/{name}", header=True, quoteAll=True, escape='"', emptyValue="", nullValue="")
+    read = read_csv_tables(p.spark, {name: f"{path}/{name}" for name in p.tables})
+    filled = lambda df: sum((F.count(c) for c in df.columns), F.lit(0))
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), filled(df).alias("filled_cells"))
+        for name, df in read.items()
+    ]
+    return curated.stack(counts)
+
+
 # ---- event sourcing ------------------------------------------------------------------------
 
 
@@ -292,7 +307,7 @@ def iso8601_check(p: Pipeline) -> DataFrame:
 
 
 @job
-def raw_landing(p: Pipeline) -> DataFrame:
+def partitioned_raw_sink(p: Pipeline) -> DataFrame:
     """What the landing stream wrote to the raw zone, with its partition."""
     lines = p.spark.read.schema("value string, topic string, dt date, hour int").text(f"{p.click_zone}/raw")
     field = lambda name: F.get_json_object("value", f"$.{name}")
@@ -308,7 +323,41 @@ def raw_landing(p: Pipeline) -> DataFrame:
 
 
 @job
-def dead_letter(p: Pipeline) -> DataFrame:
+def micro_batch_read(p: Pipeline) -> DataFrame:
+    """The click log landed in batches of a single file each."""
+    stream = landing.file_messages(p.spark, p.click_log, files_per_batch=1)
+    target = f"{p.base}/clicks-by-file"
+    landing.start_landing(stream, target, f"{p.base}/_landing/clicks-by-file", grain="month", spread=1).awaitTermination()
+    lines = p.spark.read.schema("value string, topic string, dt date, hour int").text(f"{target}/raw")
+    return lines.groupBy("topic").agg(F.count_distinct(F.get_json_object("value", "$.event_id")).alias("events"))
+
+
+@job
+def enrich_with_source_metadata(p: Pipeline) -> DataFrame:
+    """Source metadata as found in the raw lines of the payment events."""
+    lines = p.spark.read.schema("value string, topic string, dt date, hour int").text(p.order_zone).where("topic = 'payment_events'")
+    names = ("_kafka_topic", "_kafka_key", "_kafka_ingest_ts", "_raw_file_ts", "_contract_version")
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return lines.groupBy(*[field(n) for n in names]).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@job
+def group_sort_by_partition_offset(p: Pipeline) -> DataFrame:
+    """Lines of each file that come before a line with a lower partition or offset."""
+    lines = p.spark.read.text(f"{p.click_zone}/raw")
+    at = lambda name: F.get_json_object("value", f"$.{name}").cast("bigint")
+    place = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+        F.struct(at("_kafka_partition"), at("_kafka_offset")).alias("at"),
+    )
+    in_file = Window.partitionBy("file").orderBy("line")  # a file's size is bounded by its writer
+    before = place.withColumn("before", F.lag("at").over(in_file))
+    return before.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("before") > F.col("at")).alias("out_of_order"))
+
+
+@job
+def dead_letter_route(p: Pipeline) -> DataFrame:
     schema = "error_reason string, original_payload string, _kafka_offset bigint, topic string, dt date, hour int"
     records = p.spark.read.schema(schema).json(f"{p.click_zone}/raw_dead_letter")
     return records.select("error_reason", F.col("_kafka_offset").alias("offset"), "topic", "dt", "hour")
@@ -445,6 +494,33 @@ def checkpoint_advance(p: Pipeline) -> DataFrame:
     return incremental.advanced(_all_raw(p).where("topic = 'order_events'")).select("last_dt", "last_hour")
 
 
+@job
+def checkpoint_read(p: Pipeline) -> DataFrame:
+    """Last hour per topic from stored progress."""
+    path = shared_dir(p.spark, "progress")
+    assert incremental.read_progress(p.spark, path) is None
+    incremental.save_progress(_all_raw(p), path)
+    stored = incremental.read_progress(p.spark, path)
+    return (
+        stored.groupBy("topic")
+        .agg(F.max(F.struct("dt", "hour")).alias("h"))
+        .select("topic", F.col("h.dt").alias("last_dt"), F.col("h.hour").alias("last_hour"))
+    )
+
+
+@job
+def raw_value_checks(p: Pipeline) -> DataFrame:
+    """Order events with a negative value, an unreadable time or a foreign major version."""
+    raw = p.raw("order_events")
+    return raw.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("payload.order_value") < 0).alias("negative_order_value"),
+        F.count_if(facts.stamp("event_ts").isNull()).alias("unreadable_event_ts"),
+        F.count_if(F.split("schema_version", r"\.")[0] != "1").alias("other_major_version"),
+        F.count_if(F.col("payload.order_value") == 0).alias("zero_order_value"),
+    )
+
+
 @job
 def dim_customer_build(p: Pipeline) -> DataFrame:
     details = snapshots.read_latest(p.spark, p.details, "customer_details")
@@ -539,6 +615,13 @@ def idempotent_new_rows(p: Pipeline) -> DataFrame:
     return incremental.new_rows(payments, held, ["event_id"]).select("event_id", "order_id")
 
 
+@job
+def append_facts_simple(p: Pipeline) -> DataFrame:
+    payments = Star.projected(p.spark, p.directory).fact_payments
+    both = incremental.append_new(payments, payments.where("payment_type = 'boleto'"), ["event_id"])
+    return plain(both.select("event_id", "payment_type", "payment_value"))
+
+
 @job
 def seller_backfill(p: Pipeline) -> DataFrame:
     """Items whose seller was removed for every third order get the order's seller."""

@@ -23,7 +23,7 @@ MAX_COHORT_OFFSET = 12
 
 
 @plan
-def heatmap_top15(s: Star) -> DataFrame:
+def heatmap_pivot_top15(s: Star) -> DataFrame:
     """Category by calendar month revenue of the 15 largest categories, long form.
 
     Months without sales of a kept category are filled with 0 by the month list,
@@ -49,8 +49,8 @@ def heatmap_top15(s: Star) -> DataFrame:
 
 
 def heatmap_pivot(s: Star) -> DataFrame:
-    """Wide form of :func:`heatmap_top15`, one column per month."""
-    return heatmap_top15(s).groupBy("category").pivot("month").agg(F.sum("revenue")).fillna(0)
+    """Wide form of :func:`heatmap_pivot_top15`, one column per month."""
+    return heatmap_pivot_top15(s).groupBy("category").pivot("month").agg(F.sum("revenue")).fillna(0)
 
 
 @plan
@@ -88,7 +88,7 @@ def flagged(series: DataFrame) -> DataFrame:
 
 
 @plan
-def daily_orders_flagged(s: Star) -> DataFrame:
+def anomaly_flag_and_bands(s: Star) -> DataFrame:
     """Daily orders with the band of two deviations around the mean."""
     mid, sd = F.col("mean_orders"), F.col("std_orders")
     return (
@@ -109,7 +109,7 @@ def delivery_delay_flagged(s: Star) -> DataFrame:
 
 
 @plan
-def lifecycle_stages(s: Star) -> DataFrame:
+def lifecycle_stage_unpivot(s: Star) -> DataFrame:
     wide = delivery.order_lifecycle_times(s).select(
         F.col("avg_approval_hours").alias("Approval"),
         F.col("avg_ship_hours").alias("Shipping"),
@@ -233,7 +233,7 @@ def project_scenario(
 
 
 @plan
-def violation_totals(s: Star) -> DataFrame:
+def violation_unpivot(s: Star) -> DataFrame:
     """Violations per dataset in long form; kinds that never occurred are left out."""
     kinds = [f"total_{k}_violations" for k in ("null", "duplicate", "schema")]
     long = observability.data_quality_summary(s).unpivot(["dataset_name"], kinds, "violation", "violations")
@@ -249,13 +249,13 @@ def duplicate_total(s: Star) -> DataFrame:
 
 
 @plan
-def seller_labels(s: Star) -> DataFrame:
+def label_columns_sellers(s: Star) -> DataFrame:
     label = F.concat(F.substring("seller_id", 1, 8), F.lit("... ("), "seller_state", F.lit(")"))
     return overview.bottom5_sellers_ontime(s).withColumn("label", label)
 
 
 @plan
-def category_pair_labels(s: Star) -> DataFrame:
+def new_pair_top15(s: Star) -> DataFrame:
     """The first 15 category pairs with a display label."""
     return (
         products.top_category_combinations(s)
@@ -266,7 +266,7 @@ def category_pair_labels(s: Star) -> DataFrame:
 
 
 @plan
-def quarter_labels(s: Star) -> DataFrame:
+def label_columns_quarters(s: Star) -> DataFrame:
     from tidemart.plans.calendar import quarterly_performance
 
     period = F.concat(F.col("year").cast("string"), F.lit(" Q"), F.col("quarter").cast("string"))
@@ -274,5 +274,5 @@ def quarter_labels(s: Star) -> DataFrame:
 
 
 @plan
-def revenue_waterfall_changes(s: Star) -> DataFrame:
+def waterfall_drop_first(s: Star) -> DataFrame:
     return sales.revenue_waterfall(s).dropna(subset=["prev_revenue"])

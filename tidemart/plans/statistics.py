@@ -141,7 +141,7 @@ def outliers(df: DataFrame, column: str, label: str) -> DataFrame:
 
 
 @plan
-def metric_outliers(s: Star) -> DataFrame:
+def iqr_outliers(s: Star) -> DataFrame:
     """Rows below and above the fences, per metric."""
     sources = (
         (s.fact_order_items, "price", "Price"),

@@ -110,7 +110,7 @@ def write_star(star: Star, path: str) -> None:
     """Store the star schema for repeated reading.
 
     Facts are clustered by month and sorted by order inside each file, so date
-    predicates prune directories and order lookups prune row groups.  The
+    predicates skip files and order lookups skip row groups by their statistics.  The
     rebalance lets the runtime split a large month and merge small ones, so the
     files come out at the advisory size whatever the scale.
     """
