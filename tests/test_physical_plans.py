@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemart.registry import PLANS
-from tidemart.sources.star import Star, write_star
+from tidemart.sources.star import Star, write_bucketed_star, write_star
 from tools.plans import plan_text, summary
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +61,23 @@ def test_stored_schema_gives_the_same_answers(star, stored):
         assert sorted(map(str, PLANS[name](star).collect())) == sorted(map(str, PLANS[name](stored).collect()))
 
 
+def test_bucketed_facts_join_without_a_shuffle(spark, star, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("bucketed"))
+    write_bucketed_star(star, "tidemart_test", path, 8)
+    bucketed = Star.bucketed(spark, "tidemart_test")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name in ("review_low_score_causes", "whatif_late_delivery_revenue_loss", "customer_rfm", "kpi_avg_order_value"):
+            assert "hashpartitioning(order_id" not in plan_text(PLANS[name](bucketed))
+            assert "hashpartitioning(order_id" in plan_text(PLANS[name](star))
+            same = lambda s: sorted(map(str, PLANS[name](s).collect()))
+            assert same(bucketed) == same(star)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("drop database tidemart_test cascade")
+
+
 def test_month_directories_are_pruned(stored):
     month = stored.spark.read.parquet(f"{stored.path}/fact_payments").where("event_month >= '1998-01'")
     assert re.search(r"PartitionFilters: \[[^\]]*event_month", plan_text(month))
@@ -74,3 +91,18 @@ def test_windows_over_everything_see_only_summaries(star):
             if "SinglePartition" in part.split("Exchange")[1][:40]:
                 below = part[part.index("Exchange") :]
                 assert re.search(r"HashAggregate|TakeOrderedAndProject|GlobalLimit", below)
+
+
+def test_shuffles_start_wide_for_large_inputs(spark, monkeypatch):
+    from tidemart import session
+
+    assert session.scan_bytes(spark.read.parquet(f"{SF}/lineitem.parquet")) > 10_000
+    before = spark.conf.get(session.INITIAL, None)
+    try:
+        assert session.size_shuffles(spark, 1000) == 1
+        assert spark.conf.get(session.INITIAL, None) is None
+        session.size_shuffles(spark, 10 << 40)
+        assert int(spark.conf.get(session.INITIAL)) == session.MOST_PARTITIONS
+    finally:
+        if before is None:
+            spark.conf.unset(session.INITIAL)

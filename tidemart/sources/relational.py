@@ -14,11 +14,11 @@ Tables = dict[str, DataFrame]
 def read_csv_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
     """Read the named source tables with their declared schemas (no inference).
 
-    A value that does not fit its column's type becomes NULL, and quoted text
-    may contain line breaks.
+    A value that does not fit its column's type becomes NULL.  Review titles may
+    contain line breaks, so only review files are read whole; all others split.
     """
     return {
-        name: spark.read.schema(RELATIONAL[name]).csv(path, header=True, multiLine=True, escape='"')
+        name: spark.read.schema(RELATIONAL[name]).csv(path, header=True, multiLine=name == "reviews", escape='"')
         for name, path in paths.items()
     }
 
