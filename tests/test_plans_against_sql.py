@@ -43,3 +43,27 @@ def test_same_rows(engines, name):
     assert columns == want_columns
     assert len(got) == len(want)
     assert [(g, w) for g, w in zip(got, want) if not all(close(a, b) for a, b in zip(g, w))] == []
+
+
+def test_wide_heat_map_agrees_with_the_long_form(engines):
+    from tidemart.plans.dashboard import heatmap_pivot, heatmap_pivot_top15
+
+    star, _ = engines
+    long = {(r.category, str(r.month)): r.revenue for r in heatmap_pivot_top15(star).collect()}
+    wide = heatmap_pivot(star)
+    cells = {(r["category"], c): r[c] for r in wide.collect() for c in wide.columns if c != "category"}
+    assert cells == long
+
+
+@pytest.mark.parametrize(
+    "bucketed,column,whole",
+    [
+        ("delivery_sla_distribution", "deliveries", "select count(*) from arrived"),
+        ("product_price_distribution", "items", "select count(*) from fact_order_items"),
+        ("customer_clv_distribution", "customers", "select count(distinct coalesce(customer_id, '')) from made"),
+        ("review_response_time", "cnt", "select count(*) from fact_reviews"),
+    ],
+)
+def test_buckets_add_up(engines, bucketed, column, whole):
+    star, con = engines
+    assert sum(r[column] for r in PLANS[bucketed](star).collect()) == con.sql(over_stored(whole)).fetchall()[0][0]

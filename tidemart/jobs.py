@@ -74,7 +74,7 @@ class Pipeline:
     @cached_property
     def order_messages(self) -> str:
         path = f"{self.base}/messages/orders"
-        timeline.as_messages(timeline.all_envelopes(self.tables, as_of()), as_of()).write.parquet(path)
+        timeline.as_messages(timeline.all_envelopes(self.tables, as_of()), as_of()).write.mode("overwrite").parquet(path)
         return path
 
     @cached_property
@@ -152,7 +152,7 @@ class Pipeline:
     @cached_property
     def click_log(self) -> str:
         path = f"{self.base}/messages/clicks"
-        self.click_messages().write.parquet(path)
+        self.click_messages().write.mode("overwrite").parquet(path)
         return path
 
     @cached_property

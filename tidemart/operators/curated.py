@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import mean, month_of, percent, ratio, share, total
 from tidemart.plans.observability import stack
-from tidemart.plans.overview import n_rows
+from tidemart.plans.overview import n_rows, orders_with_customer
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
@@ -27,12 +27,11 @@ def mart_daily_sales(s: Star) -> DataFrame:
     products = s.dim_product.select(
         "product_id", F.coalesce("product_category_name", F.lit("Unknown")).alias("category")
     )
-    orders = s.created.select("order_id", "customer_id", "event_date")
-    customers = s.dim_customer.select("customer_id", F.col("customer_state").alias("state"))
+    # The state is added at order grain, before the items multiply the rows.
+    orders = orders_with_customer(s, "event_date").withColumnRenamed("customer_state", "state")
     return (
-        items.join(orders, "order_id")
-        .join(products, "product_id")
-        .join(customers, "customer_id")
+        items.join(products, "product_id")
+        .join(orders, "order_id")
         .groupBy("event_date", "category", "state")
         .agg(
             F.count_distinct("order_id").alias("orders"),

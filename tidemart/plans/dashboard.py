@@ -19,6 +19,12 @@ SCENARIO = {"sla_pts": 10, "freight_pct": 15, "repeat_pts": 5, "aov_pct": 10}
 REVENUE_PER_SLA_POINT = 0.005
 REPEAT_REVENUE_SHARE = 0.3
 MAX_COHORT_OFFSET = 12
+CRITICAL, WARNING = "CRITICAL", "WARNING"
+STALE, FAILED, UNHAPPY, LATE = "Stale Data", "Quality Failure", "Low Satisfaction", "Delivery SLA"
+STALE_TEXT = "%s last ingested %.1fh ago"
+FAILED_TEXT = "%s: %d failed runs"
+UNHAPPY_TEXT = f"Average review score: %.2f (below {REVIEW_THRESHOLD} threshold)"
+LATE_TEXT = f"On-time delivery: %.1f%% (below {ON_TIME_TARGET}%% target)"
 # -----------------------------------------------------------------------------
 
 
@@ -118,7 +124,7 @@ def lifecycle_stage_unpivot(s: Star) -> DataFrame:
     return wide.unpivot([], ["Approval", "Shipping", "Transit"], "stage", "hours").where("hours is not null")
 
 
-def lag_status(lag: Column) -> Column:
+def freshness_label(lag: Column) -> Column:
     return (
         F.when(lag.isNull(), "No data")
         .when(lag <= WARN_LAG_SECONDS, "Fresh")
@@ -127,7 +133,7 @@ def lag_status(lag: Column) -> Column:
     )
 
 
-def lag_text(lag: Column) -> Column:
+def lag_words(lag: Column) -> Column:
     whole = lambda c: F.round(c).cast("bigint").cast("string")
     return (
         F.when(lag.isNull() | (lag == 0), "N/A")
@@ -141,13 +147,13 @@ def lag_text(lag: Column) -> Column:
 def freshness_status(s: Star) -> DataFrame:
     lag = F.col("lag_seconds")
     return observability.ingestion_freshness(s).select(
-        "table_name", "last_ingestion", lag_text(lag).alias("lag_display"), "total_rows", lag_status(lag).alias("status")
+        "table_name", "last_ingestion", lag_words(lag).alias("lag_display"), "total_rows", freshness_label(lag).alias("status")
     )
 
 
 @plan
 def freshness_counts(s: Star) -> DataFrame:
-    status = lag_status(F.col("lag_seconds")).alias("status")
+    status = freshness_label(F.col("lag_seconds")).alias("status")
     return observability.ingestion_freshness(s).groupBy(status).agg(F.count(F.lit(1)).alias("tables"))
 
 
@@ -162,27 +168,27 @@ def active_alerts(s: Star) -> DataFrame:
     score, punctual = F.col("avg_review_score"), F.col("on_time_pct")
     stale = alert(
         observability.ingestion_freshness(s).where(lag > CRITICAL_LAG_SECONDS),
-        "CRITICAL",
-        "Stale Data",
-        F.format_string("%s last ingested %.1fh ago", "table_name", lag / 3600),
+        CRITICAL,
+        STALE,
+        F.format_string(STALE_TEXT, "table_name", lag / 3600),
     )
     quality = alert(
         observability.data_quality_summary(s).where(failed > 0),
-        "WARNING",
-        "Quality Failure",
-        F.format_string("%s: %d failed runs", "dataset_name", failed),
+        WARNING,
+        FAILED,
+        F.format_string(FAILED_TEXT, "dataset_name", failed),
     )
     reviews = alert(
         overview.kpi_avg_review_score(s).where(score < REVIEW_THRESHOLD),
-        "WARNING",
-        "Low Satisfaction",
-        F.format_string(f"Average review score: %.2f (below {REVIEW_THRESHOLD} threshold)", score),
+        WARNING,
+        UNHAPPY,
+        F.format_string(UNHAPPY_TEXT, score),
     )
     late = alert(
         overview.kpi_delivery_on_time_pct(s).where(punctual < ON_TIME_TARGET),
-        "WARNING",
-        "Delivery SLA",
-        F.format_string(f"On-time delivery: %.1f%%%% (below {ON_TIME_TARGET}%%%% target)".replace("%%%%", "%%"), punctual),
+        WARNING,
+        LATE,
+        F.format_string(LATE_TEXT, punctual),
     )
     return observability.stack([stale, quality, reviews, late])
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemart.operators import facts as X
+from tidemart.operators.bulk import first_rows
 from tidemart.operators.merge import KeyedTable
 from tidemart.schemas import KEYS, TOPICS
 from tidemart.sources.lake import ingest_ts, raw_topic_stream
@@ -94,10 +95,10 @@ class Load:
         later leave these attributes alone.
         """
         if self.customer_details is not None:
-            rows = X.customers_from_details(self.customer_details).dropDuplicates(["customer_id"])
+            rows = first_rows(X.customers_from_details(self.customer_details), "customer_id")
             self.table("dim_customer").merge_dimension(rows, self.now())
         if self.product_details is not None:
-            rows = X.products_from_details(self.product_details).dropDuplicates(["product_id"])
+            rows = first_rows(X.products_from_details(self.product_details), "product_id")
             self.table("dim_product").merge_dimension(rows, self.now())
 
     def fact(self, topic: str, raw: DataFrame) -> DataFrame:
