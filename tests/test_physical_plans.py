@@ -61,6 +61,20 @@ def test_stored_schema_gives_the_same_answers(star, stored):
         assert sorted(map(str, PLANS[name](star).collect())) == sorted(map(str, PLANS[name](stored).collect()))
 
 
+def test_kept_tables_are_projected_once(spark, star, tmp_path):
+    spark.conf.set(entry.KEEP, str(tmp_path))
+    try:
+        query = entry.queries()["category_revenue"]
+        first = sorted(map(str, query(spark, SF).collect()))
+        assert "lineitem" not in plan_text(query(spark, SF))
+        assert first == sorted(map(str, query(spark, SF).collect()))
+        assert first == sorted(map(str, PLANS["category_revenue"](star).collect()))
+        written = {p.name for p in next(tmp_path.iterdir()).iterdir()}
+        assert written == {"fact_order_items", "dim_product"}  # only what was asked for
+    finally:
+        spark.conf.unset(entry.KEEP)
+
+
 def test_bucketed_facts_join_without_a_shuffle(spark, star, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("bucketed"))
     write_bucketed_star(star, "tidemart_test", path, 8)

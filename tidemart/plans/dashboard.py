@@ -99,8 +99,8 @@ def anomaly_flag_and_bands(s: Star) -> DataFrame:
     mid, sd = F.col("mean_orders"), F.col("std_orders")
     return (
         flagged(statistics.anomaly_daily_orders(s))
-        .withColumn("upper_band", round4(mid + 2 * sd))
-        .withColumn("lower_band", round4(mid - 2 * sd))
+        .withColumn("upper_band", mid + 2 * sd)
+        .withColumn("lower_band", mid - 2 * sd)
     )
 
 

@@ -241,7 +241,7 @@ def category_price_sensitivity(s: Star) -> DataFrame:
         months.groupBy("category")
         .agg(
             F.round(corr, 10).alias("c"),
-            round4(F.avg("p")).alias("mean_price"),
+            F.round(F.avg("p"), 6).alias("mean_price"),
             mean("v").alias("mean_volume"),
             n_rows().alias("months"),
         )

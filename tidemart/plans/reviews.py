@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import buckets as B
-from tidemart.functions.columns import mean, month_of, percent, ratio, round4
+from tidemart.functions.columns import mean, month_of, percent, ratio
 from tidemart.plans.overview import n_rows
 from tidemart.registry import plan
 from tidemart.sources.star import Star
@@ -133,7 +133,7 @@ def review_by_seller_performance(s: Star) -> DataFrame:
     )
     return (
         per_seller.groupBy(tier.alias("delivery_tier"))
-        .agg(round4(F.avg("avg_review")).alias("avg_review_score"), n_rows().alias("sellers"))
+        .agg(F.round(F.avg("avg_review"), 8).alias("avg_review_score"), n_rows().alias("sellers"))
         .orderBy(F.desc_nulls_first("avg_review_score"))
     )
 

@@ -15,18 +15,19 @@ from tidemart.registry import plan
 from tidemart.sources.star import Star
 
 
-def z_scores(series: DataFrame, value: str, mean_name: str, std_name: str | None) -> DataFrame:
+def z_scores(series: DataFrame, value: str, mean_name: str, std_name: str | None, money: bool = False) -> DataFrame:
     """Adds the series' mean, deviation and each row's distance in deviations.
 
     The series has one row per day or month; its moments are scalar subqueries.
     """
     v = F.col(value).cast("double")
-    moments = series.agg(F.avg(v).alias("m"), F.stddev_samp(v).alias("sd"))
+    moments = series.agg(mean(value).alias("m"), F.stddev_samp(v).alias("sd"))
     m, sd = moments.select("m").scalar(), moments.select("sd").scalar()
-    out = series.withColumn(mean_name, round4(m))
+    scored = [round4(F.try_divide(v - m, sd)).alias("z_score")]
     if std_name:
-        out = out.withColumn(std_name, round4(sd))
-    return out.withColumn("z_score", round4(F.try_divide(v - m, sd)))
+        scored.insert(0, round4(sd).alias(std_name))
+    key = next(c for c in series.columns if c != value)
+    return series.select(key, v.alias(value) if money else value, m.alias(mean_name), *scored)
 
 
 @plan
@@ -37,28 +38,30 @@ def anomaly_daily_orders(s: Star) -> DataFrame:
 
 @plan
 def anomaly_daily_revenue(s: Star) -> DataFrame:
-    daily = s.approved.groupBy("event_date").agg(money_sum("payment_value").alias("revenue"))
-    return z_scores(daily, "revenue", "mean_rev", "std_rev").orderBy("event_date")
+    daily = s.approved.groupBy("event_date").agg(F.sum("payment_value").alias("revenue"))
+    return z_scores(daily, "revenue", "mean_rev", "std_rev", money=True).orderBy("event_date")
 
 
 @plan
 def anomaly_delivery_delay(s: Star) -> DataFrame:
     monthly = s.timed.groupBy(month_of("event_date").alias("month")).agg(mean("delivery_delay_hours").alias("avg_delay"))
-    return z_scores(monthly, "avg_delay", "mean_delay", None).orderBy("month")
+    scores = z_scores(monthly, "avg_delay", "mean_delay", None)
+    return scores.withColumn("mean_delay", F.round("mean_delay", 6)).orderBy("month")
 
 
 @plan
 def anomaly_category_surge(s: Star) -> DataFrame:
-    months = category_months(s).select("category", "month", F.col("revenue").cast("double").alias("revenue"))
+    months = category_months(s).select("category", "month", "revenue")
     moments = (
         months.groupBy("category")
-        .agg(F.avg("revenue").alias("mean_rev"), F.stddev_samp("revenue").alias("sd"))
+        .agg(mean("revenue").alias("mean_rev"), F.stddev_samp(F.col("revenue").cast("double")).alias("sd"))
         .where("sd > 0")
     )
-    z = (F.col("revenue") - F.col("mean_rev")) / F.col("sd")
+    revenue = F.col("revenue").cast("double")
+    z = (revenue - F.col("mean_rev")) / F.col("sd")
     return (
         months.join(moments, "category")
-        .select("category", "month", "revenue", round4(F.col("mean_rev")).alias("mean_rev"), F.round(z, 8).alias("z"))
+        .select("category", "month", revenue.alias("revenue"), "mean_rev", F.round(z, 8).alias("z"))
         .where(F.abs("z") > 2)
         .orderBy(F.desc(F.abs("z")), "category", "month")
         .limit(30)

@@ -47,6 +47,19 @@ class Star:
         star.path = path
         return star
 
+    @classmethod
+    def kept(cls, source: SourceTables, path: str) -> "Star":
+        """Tables stored under ``path``; one that is missing is projected and stored on first use."""
+        spark, lazy, stored = source.spark, cls.over(source), cls.stored(source.spark, path)
+
+        def load(name: str) -> DataFrame:
+            done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")
+            if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+                store_table(name, lazy.table(name), path)
+            return stored._load(name)
+
+        return cls(spark, load)
+
     @classmethod
     def bucketed(cls, spark: SparkSession, database: str) -> "Star":
         return cls(spark, lambda name: spark.table(f"{database}.{name}"))
@@ -114,31 +127,35 @@ class Star:
         return self.fact_order_items.join(products, "product_id")
 
 
-def write_star(star: Star, path: str, tables_at_once: int = 4) -> None:
-    """Store the star schema for repeated reading.
+def store_table(name: str, df: DataFrame, path: str) -> None:
+    """Store one table for repeated reading.
 
     Facts are clustered by month and sorted by order inside each file, so date
-    predicates skip files and order lookups skip row groups by their statistics.  The
-    rebalance lets the runtime split a large month and merge small ones, so the
-    files come out at the advisory size whatever the scale.
+    predicates skip files and order lookups skip row groups by their statistics.
+    The rebalance lets the runtime split a large month and merge small ones, so
+    the files come out at the advisory size whatever the scale.
     """
-    def store(name: str) -> None:
-        df, target = star.table(name), f"{path}/{name}"
-        if name in DATED:
-            (
-                df.withColumn("event_month", F.date_format("event_date", "yyyy-MM"))
-                .hint("rebalance", "event_month")
-                .sortWithinPartitions("event_month", "order_id")
-                .write.mode("overwrite")
-                .partitionBy("event_month")
-                .parquet(target)
-            )
-        else:
-            (df.coalesce(1) if name in BOUNDED else df).write.mode("overwrite").parquet(target)
+    if name in DATED:
+        (
+            df.withColumn("event_month", F.date_format("event_date", "yyyy-MM"))
+            .hint("rebalance", "event_month")
+            .sortWithinPartitions("event_month", "order_id")
+            .write.mode("overwrite")
+            .partitionBy("event_month")
+            .parquet(f"{path}/{name}")
+        )
+    else:
+        (df.coalesce(1) if name in BOUNDED else df).write.mode("overwrite").parquet(f"{path}/{name}")
+
 
-    # Several tables at a time: the short stages of one fill the gaps of another.
+def write_star(star: Star, path: str, tables_at_once: int = 4) -> None:
+    """Store the whole star schema.
+
+    Several tables are written at a time: the short stages of one fill the gaps
+    of another.
+    """
     with ThreadPoolExecutor(tables_at_once) as pool:
-        list(pool.map(store, sorted(BUILDERS, reverse=True)))
+        list(pool.map(lambda name: store_table(name, star.table(name), path), sorted(BUILDERS, reverse=True)))
 
 
 # Facts that meet on the order.

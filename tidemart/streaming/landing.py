@@ -65,7 +65,7 @@ def raw_lines(valid: DataFrame, written_at: Column, grain: str = "hour") -> Data
 
 
 def dead_lines(invalid: DataFrame, written_at: Column) -> DataFrame:
-    original = F.coalesce("text", F.base64("value"))
+    original = F.coalesce("text", F.base64("value"), F.lit(""))
     record = F.struct("error_reason", original.alias("original_payload"), *metadata(written_at))
     line = F.to_json(record, {"ignoreNullFields": "false"})
     return invalid.select(line.alias("value"), "topic", "partition", "offset", *_hour_parts(written_at))
