@@ -120,3 +120,19 @@ def test_shuffles_start_wide_for_large_inputs(spark, monkeypatch):
     finally:
         if before is None:
             spark.conf.unset(session.INITIAL)
+
+
+def test_copies_collapse_before_the_shuffle(spark, star):
+    """The operators that see many rows of one key combine on the map side."""
+    from tidemart.operators.facts import latest_by
+
+    newest = latest_by(star.fact_payments.select("order_id", "payment_type", "event_ts"), ["order_id"], ("event_ts",))
+    for df, partial in (
+        (newest, "partial_max_by"),
+        (PLANS["duplicate_check"](star), "partial_count"),
+        (PLANS["seller_category_specialization"](star), "partial_min(struct"),
+        (star.paid_by_order, "partial_sum"),
+    ):
+        text = plan_text(df)
+        at = text.index(partial)
+        assert "Exchange hashpartitioning" in text[:at]  # printed top down: the exchange is above

@@ -4,7 +4,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemart.operators import curated, quality
 from tidemart.sources.star import Star

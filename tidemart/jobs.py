@@ -388,7 +388,11 @@ def raw_lake_inventory(p: Pipeline) -> DataFrame:
 
 @job
 def streaming_dedupe(p: Pipeline) -> DataFrame:
-    """The twice-landed payments as a stream without repeated event ids."""
+    """The twice-landed payments as a stream without repeated event ids.
+
+    The state keeps the ids of the watermark's span: days for a live stream.  A
+    replay of years keeps them all; ``staging_events_clean`` is the batch way.
+    """
     out = f"{p.base}/deduplicated-{shared_dir(p.spark, 'x')[-12:]}"
     stream = lake.raw_topic_stream(p.spark, p.order_zone, "payment_events")
     query = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import mean, month_of, percent, ratio, share, total
+from tidemart.functions.columns import mean, month_of, percent, ratio, total
 from tidemart.plans.observability import stack
 from tidemart.plans.overview import n_rows, orders_with_customer
 from tidemart.registry import plan

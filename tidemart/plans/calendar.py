@@ -9,14 +9,15 @@ from tidemart.functions.columns import ratio, total
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
+
 def n_orders():
     return F.count_distinct("order_id").alias("orders")
 
+
 def revenue():
     return total("paid").alias("revenue")
 
 
-
 def paid_days(s: Star) -> DataFrame:
     """Created orders with their payments and the attributes of the order day."""
     orders = s.created_paid.select("order_id", F.col("event_date").alias("full_date"), "paid", "payments")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import month_of, percent, round4
-from tidemart.plans import customers, delivery, observability, overview, products, sales, sellers, statistics
+from tidemart.functions.columns import percent, round4
+from tidemart.plans import customers, delivery, observability, overview, products, sales, statistics
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 

@@ -11,13 +11,14 @@ from tidemart.plans.overview import delivery_measures, n_rows, seller_deliveries
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
-def month():
-    return month_of("event_date").alias("month")
-
 DAY = 86400
 SCATTER_ROWS = 2000
 
 
+def month():
+    return month_of("event_date").alias("month")
+
+
 @plan
 def delivery_sla_distribution(s: Star) -> DataFrame:
     delay = F.col("delivery_delay_hours")
@@ -127,11 +128,11 @@ def order_lead_time_distribution(s: Star) -> DataFrame:
 def met_estimate():
     return percent(F.count_if(F.col("arrived_ts") <= F.col("promised_ts")), n_rows()).alias("met_estimate_pct")
 
+
 def diff_days():
     return mean_gap("promised_ts", "arrived_ts", DAY).alias("avg_diff_days")
 
 
-
 @plan
 def estimated_vs_actual_delivery(s: Star) -> DataFrame:
     return (

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import mean, money_sum, month_of, on_time_pct, percent, total
+from tidemart.functions.columns import mean, month_of, on_time_pct, percent, ratio, total
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
+
 def n_rows():
     return F.count(F.lit(1))
 
@@ -134,11 +135,10 @@ def timed_by(s: Star, *keys: str) -> DataFrame:
 
 def delivery_measures():
     return [
-    F.sum("n").alias("deliveries"),
-    F.try_divide(F.sum("delay").cast("double"), F.sum("n").cast("double")).alias("avg_delay_hours"),
-    percent(F.sum("punctual"), F.sum("n")).alias("on_time_pct"),
-]
-
+        F.sum("n").alias("deliveries"),
+        ratio(F.sum("delay"), F.sum("n")).alias("avg_delay_hours"),
+        percent(F.sum("punctual"), F.sum("n")).alias("on_time_pct"),
+    ]
 
 
 def seller_deliveries(s: Star) -> DataFrame:

@@ -11,11 +11,11 @@ from tidemart.plans.overview import n_rows, category_totals, orders_with_custome
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
+
 def month():
     return month_of("event_date").alias("month")
 
 
-
 def product_sales(s: Star) -> DataFrame:
     return category_totals(s).select(
         "product_id",

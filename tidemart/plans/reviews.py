@@ -15,11 +15,11 @@ from tidemart.sources.star import Star
 def score():
     return ratio(F.sum("score_sum"), F.sum("scored")).alias("avg_score")
 
+
 def n_reviews():
     return F.sum("reviews").alias("reviews")
 
 
-
 @plan
 def review_score_distribution(s: Star) -> DataFrame:
     return s.fact_reviews.groupBy("review_score").agg(n_rows().alias("cnt")).orderBy("review_score")

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import buckets as B
 from tidemart.functions.columns import mean, money_sum, month_of, percent, ratio, share, total
-from tidemart.plans.overview import by_month, n_rows, category_totals, monthly_revenue
+from tidemart.plans.overview import by_month, category_totals, monthly_revenue, n_rows
 from tidemart.registry import plan
 from tidemart.sources.star import Star
 
+
 def n_orders():
     return F.count_distinct("order_id").alias("orders")
 
+
 def month():
     return month_of("event_date").alias("month")
 
 
-
 @plan
 def daily_sales(s: Star) -> DataFrame:
     return s.approved.groupBy("event_date").agg(n_orders(), total("payment_value").alias("revenue")).orderBy("event_date")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions import buckets as B
-from tidemart.functions.columns import month_of, money_sum, percent, ratio, total
+from tidemart.functions.columns import month_of, percent, ratio, total
 from tidemart.plans.overview import n_rows
 from tidemart.registry import plan
 from tidemart.sources.star import Star
