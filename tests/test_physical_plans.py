@@ -129,7 +129,7 @@ def test_copies_collapse_before_the_shuffle(spark, star):
     newest = latest_by(star.fact_payments.select("order_id", "payment_type", "event_ts"), ["order_id"], ("event_ts",))
     for df, partial in (
         (newest, "partial_max_by"),
-        (PLANS["duplicate_check"](star), "partial_count"),
+        (PLANS["duplicate_check"](star), "partial_count(1)"),
         (PLANS["seller_category_specialization"](star), "partial_min(struct"),
         (star.paid_by_order, "partial_sum"),
     ):
