@@ -7,18 +7,17 @@ segments of the larger set than that, the smaller one has at least one unchanged
 
 *Index.* A set indexes the part of it in each segment that it has something in,
 in the partition of its band.  *Probe.* It looks in its own band and in the one
-below, and needs only as many segments as may differ, plus one.  It takes those with
-the most shingles, whose parts are least likely to be found elsewhere, and none
-that it has nothing in.  Where a set has too few filled segments, one with two
+below, and needs only as many segments as may differ, plus one, and none that it
+has nothing in.  Of the segments it has beyond that number it leaves out those whose
+keys the most sets share.  Where a set has too few filled segments, one with two
 shingles or more may count twice: it is then also looked up with one shingle
 missing on either side.  Bands in which some set needs that index these
 one-deletion neighbourhoods as well; bands in which it would not suffice index
 single shingles.  So the search misses no pair, and every candidate is
 verified on the whole sets.
 
-Keys are exchanged in packed blocks.  Sets that share a key in one block are
-joined to the first of them there, and only that one goes on, so a key of a third
-of all rows reaches a task once per block.  Within the sets of a key first the
+Keys are exchanged in packed blocks.  Of the sets that share a key in one block
+only the first goes on, so a key of a third of all rows reaches a task once per block.  Within the sets of a key first the
 pairs with one centre are verified.  Where that leaves more than one component,
 the other pairs across components follow, first by further centres, then all.
 Equal sets are one set from the start.  Nothing is capped.
@@ -35,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.graph import components
@@ -143,25 +142,35 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.nda
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, f1, f2, needs): set size, fingerprint, and the bands that need more than exact parts (2 * band, odd: single shingles)."""
+    """(doc_id, n, f1, f2, needs, band, spare, spare_below): set size, fingerprint, and what the search may leave out.
+
+    ``needs`` has the bands in which the set needs more than exact parts (2 * band, odd: single shingles).
+    ``spare`` is the number of filled segments beyond those needed, in the set's band and the one below.
+    """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _sets(batches):
             prints = [fingerprint(s) for s in sets]
-            needs = []
+            needs, bands, spares = [], [], ([], [])
             for s in sets:
-                need = []
-                if len(s):
-                    own = band_of(len(s))
-                    for band in {own, max(own - 1, 0)}:
-                        found = Parts(s, band, False).allocate(may_differ(len(s), band) + 1)
+                need, spare = [], [0, 0]
+                own = band_of(len(s)) if len(s) else -1
+                for k, band in enumerate((own, own - 1)):
+                    if band >= 0:
+                        parts, needed = Parts(s, band, False), may_differ(len(s), band) + 1
+                        found = parts.allocate(needed)
                         if found is None or len(found[1]):
                             need.append(2 * band + (found is None))
+                        spare[k] = len(parts.sizes) - needed
                 needs.append(need)
+                bands.append(own)
+                for k in (0, 1):
+                    spares[k].append(0 if need else spare[k])
             arrays = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(needs, pa.list_(pa.int32()))], names=["doc_id", "n", "f1", "f2", "needs"])
+            arrays += [pa.array(needs, pa.list_(pa.int32())), pa.array(bands, pa.int32()), *(pa.array(x, pa.int64()) for x in spares)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "f1", "f2", "needs", "band", "spare", "spare_below"])
 
-    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, f1 long, f2 long, needs array<int>")
+    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, f1 long, f2 long, needs array<int>, band int, spare long, spare_below long")
 
 
 def keys_of(shingle_set: np.ndarray, deleted: frozenset[int], single: frozenset[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,20 +186,14 @@ def keys_of(shingle_set: np.ndarray, deleted: frozenset[int], single: frozenset[
         if band < 0:
             continue
         parts = Parts(shingle_set, band, band in single)
-        lookup = parts.allocate(may_differ(size, band) + 1)
+        lookup = parts.allocate(may_differ(size, band) + 1)  # always enough with single shingles
         if lookup is None:
             raise AssertionError(f"band {band} lacks segments for {size} shingles")
-        exact, twice = lookup
-        asked = np.concatenate([exact, twice])
-        if band == own:
-            role = np.full(len(parts.sizes), INDEX, np.uint8)
-            role[asked] |= PROBE
-            keys.append(parts.exact())
-            roles.append(role)
-            if band in deleted and band not in single:
-                add(parts.deletions(np.arange(len(parts.sizes)), 1), INDEX)
-        else:
-            add(parts.exact(asked), PROBE)
+        _, twice = lookup
+        # every filled segment is looked up; the join leaves out the costliest of those beyond the needed number
+        add(parts.exact(), INDEX | PROBE if band == own else PROBE)
+        if band == own and band in deleted and band not in single:
+            add(parts.deletions(np.arange(len(parts.sizes)), 1), INDEX)
         if len(twice):
             add(parts.exact(twice, 1), PROBE)
             add(parts.deletions(twice, 0), PROBE)
@@ -225,7 +228,7 @@ class Block:
             return
         ids = np.array(self.ids, np.int64)
         keys, tags = np.concatenate(self.keys), np.concatenate(self.tags)
-        keys, docs, roles, links, groups = joined(keys, ids[tags >> 2], (tags & 3).astype(np.uint8))
+        keys, docs, roles, groups = joined(keys, ids[tags >> 2], (tags & 3).astype(np.uint8))
         where = (keys >> np.uint64(48)) % self.parts
         order = np.lexsort((keys, where))
         keys, docs, roles, where = keys[order], docs[order], roles[order], where[order]
@@ -241,44 +244,38 @@ class Block:
                 packed = (again.astype(np.uint16) << 2) | (tags[a:b] & 3)
                 for column, v in zip(columns, (part, raw[a:b].tobytes(), packed.tobytes(), local[used].tobytes()), strict=True):
                     column.append(v)
-        if len(links) or len(groups):
-            # what is settled here passes through the exchange in a row of its own
-            groups[:, 0] &= np.int64(_KEY)  # as the exchange knows it
-            for column, v in zip(columns, (int(ids[0] % int(self.parts)), b"", links.astype(np.int64).tobytes(), groups.tobytes()), strict=True):
+        if len(groups):
+            # what has met here passes through the exchange in a row of its own
+            for column, v in zip(columns, (int(ids[0] % int(self.parts)), b"", b"", groups.tobytes()), strict=True):
                 column.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "keys", "tags", "docs"])
         self.reset()
 
 
-def joined(keys: np.ndarray, docs: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def joined(keys: np.ndarray, docs: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sets that share a key of which some are indexed and some probe.
 
     Returns the rows that go on (of such a key only its first document, with all
-    roles of the key), the links to that first one, and (key, document) of such keys.
+    roles of the key), and (key, document, role) of all such keys.
     """
     order = np.lexsort((docs, keys))
     keys, docs, roles = keys[order], docs[order], roles[order]
-    none = np.zeros((0, 2), np.int64)
     if not len(keys):
-        return keys, docs, roles, none, none
+        return keys, docs, roles, np.zeros((0, 3), np.int64)
     begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(begin, len(keys)))
-    leader = np.repeat(docs[begin], sizes)
     all_roles = np.bitwise_or.reduceat(roles, begin)
-    met = (all_roles == INDEX + PROBE) & (docs[begin] != docs[begin + sizes - 1])
-    member = np.repeat(met, sizes)
+    member = np.repeat((all_roles == INDEX + PROBE) & (docs[begin] != docs[begin + sizes - 1]), sizes)
     first = np.zeros(len(keys), bool)
     first[begin] = True
-    roles = np.where(member, np.repeat(all_roles, sizes), roles)
     goes = first | ~member
-    other = member & (docs != leader)
-    links = np.unique(np.stack([leader[other], docs[other]], 1), axis=0) if other.any() else none
-    groups = np.stack([keys[member].astype(np.int64), docs[member]], 1) if member.any() else none
-    return keys[goes], docs[goes], roles[goes], links, groups
+    groups = np.stack([(keys[member] & _KEY).astype(np.int64), docs[member], roles[member].astype(np.int64)], 1) if member.any() else np.zeros((0, 3), np.int64)
+    roles = np.where(member, np.repeat(all_roles, sizes), roles)
+    return keys[goes], docs[goes], roles[goes], groups
 
 
 def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int], parts: int) -> DataFrame:
-    """Rows (a, b) of pairs to verify, and (key, a) of the documents that share a key."""
+    """(key, doc, role) of the documents that share a key."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(parts)
@@ -295,14 +292,10 @@ def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int],
                     yield from block.rows()
         yield from block.rows()
 
-    def found(links: np.ndarray, groups: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for table, names in ((links, (1, 2)), (groups, (0, 1))):
-            for at in range(0, len(table), 50_000):
-                part = table[at : at + 50_000]
-                arrays = [pa.nulls(len(part), pa.int64())] * 3
-                for k, name in enumerate(names):
-                    arrays[name] = pa.array(np.ascontiguousarray(part[:, k]), pa.int64())
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "a", "b"])
+    def found(groups: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(groups), 50_000):
+            columns = np.ascontiguousarray(groups[at : at + 50_000].T)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc", "role"])
 
     def match(pile: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
         keys, tags, docs = [], [], []
@@ -313,8 +306,7 @@ def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int],
             keys.append(wide.view("<u8").ravel())
             tags.append((tag & 3).astype(np.uint8))
             docs.append(np.frombuffer(doc, np.int64)[tag >> 2])
-        *_, links, groups = joined(np.concatenate(keys), np.concatenate(docs), np.concatenate(tags))
-        yield from found(links, groups)
+        yield from found(joined(np.concatenate(keys), np.concatenate(docs), np.concatenate(tags))[-1])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pile = None, []
@@ -322,7 +314,7 @@ def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int],
             for row in range(batch.num_rows):
                 part, key, tag, doc = (batch.column(k)[row].as_py() for k in range(4))
                 if not key:
-                    yield from found(np.frombuffer(tag, np.int64).reshape(-1, 2), np.frombuffer(doc, np.int64).reshape(-1, 2))
+                    yield from found(np.frombuffer(doc, np.int64).reshape(-1, 3))
                     continue
                 if part != now and pile:
                     yield from match(pile)
@@ -333,7 +325,7 @@ def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int],
             yield from match(pile)
 
     packed = docs.select("doc_id", "text").mapInArrow(pack, "part int, keys binary, tags binary, docs binary")
-    return packed.repartition(max(1, parts // PARTS_PER_TASK), "part").sortWithinPartitions("part").mapInArrow(search, "key long, a long, b long")
+    return packed.repartition(max(1, parts // PARTS_PER_TASK), "part").sortWithinPartitions("part").mapInArrow(search, "key long, doc long, role long")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -367,29 +359,36 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = kept(reps.agg(F.when(several, F.col("doc_id")).otherwise(F.min("rep")).alias("rep")), "reps")
     found = kept(candidates(docs, deleted, single, PARTS_PER_TASK * width(spark)), "candidates")
 
-    a, b = reps.toDF("a", "ra"), reps.toDF("b", "rb")
-    raw = found.where("key is null").select("a", "b").distinct().join(a, "a").join(b, "b").where("ra <> rb")
-    pairs = kept(raw.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "pairs")
-    groups = kept(found.where("key is not null").select("key", "a").join(a, "a").select("key", F.col("ra").alias("doc")).distinct(), "groups")
-    sets = kept(sets_of(of_ids(docs, kept(groups.select("doc").distinct(), "members"))), "sets")
+    # sizes of a representative: the least and the most of its sets
+    size = facts.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("low"), F.max("n").alias("high"), *[
+        F.when(several | F.max(F.col("band").isin(*single) | (F.col("band") - 1).isin(*single)), 0).otherwise(F.min(c)).alias(c) for c in ("spare", "spare_below")
+    ])
+    known = kept(reps.join(size.withColumnRenamed("doc_id", "rep"), "rep"), "known")
+
+    own = known.select(F.col("doc_id").alias("doc"), "rep", "low", "high")
+    member = found.join(own, "doc").groupBy("key", F.col("rep").alias("doc")).agg(F.bit_or("role").alias("role"), F.max("low").alias("low"), F.max("high").alias("high"))
+    member = kept(_spared(kept(_meeting(member), "groups"), known), "spared")
+    sets = kept(sets_of(of_ids(docs, kept(member.select("doc").distinct(), "members"))), "sets")
 
-    proven, done = kept(verified(pairs, sets), "proven"), pairs
+    proven = done = spark.createDataFrame([], "a long, b long")
     for turn in range(STAR_ROUNDS + 1):
-        labels = components(proven).toDF("doc", "component")
-        member = kept(groups.join(labels, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
-        split = member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64(F.lit(turn), "doc"), "doc")).alias("centre"))
-        split = kept(split.where("low <> high").select("key", F.col("centre.doc").alias("centre")), "split")
-        if split.isEmpty():
+        labels = components(proven).toDF("doc", "component") if turn else proven.toDF("doc", "component")
+        told = member.join(labels, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        centre = F.min(F.struct(F.xxhash64(F.lit(turn), "doc") if turn else F.lit(0), "doc"))["doc"]
+        split = told.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), centre.alias("centre"))
+        told = kept(told.join(split.where("least <> most").select("key", "centre"), "key"), "open-groups")
+        if told.isEmpty():
             break
-        if turn < STAR_ROUNDS:
-            ends = member.join(split, "key")
-            centre = member.toDF("key", "centre", "of_centre")
-            open_pairs = ends.join(centre, ["key", "centre"]).where("component <> of_centre").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
-        else:
-            left = member.join(split, "key", "left_semi")
-            right = left.toDF("key", "other", "of_other")
-            open_pairs = left.join(right, "key").where("component <> of_other and doc < other").select(F.col("doc").alias("a"), F.col("other").alias("b"))
-        rest = kept(open_pairs.distinct().join(done, ["a", "b"], "left_anti"), "rest")
+        member = told.select(member.columns)
+        # the larger set looks for the smaller one's index
+        one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in ("doc", "role", "low", "high", "component")])
+        two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc", "role", "low", "high", "component")])
+        met = "(role_a & 1 > 0 and role_b & 2 > 0 and low_a <= high_b or role_a & 2 > 0 and role_b & 1 > 0 and low_b <= high_a)"
+        near = "4 * high_a >= 3 * low_b and 4 * high_b >= 3 * low_a"
+        pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near}"))
+        pairs = pairs.where("doc_a = centre" if turn < STAR_ROUNDS else "doc_a < doc_b")
+        rest = pairs.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
+        rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
         if rest.isEmpty():
             continue
         proven = kept(proven.unionByName(verified(rest, sets)), "proven")
@@ -397,6 +396,22 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return proven, reps
 
 
+def _meeting(member: DataFrame) -> DataFrame:
+    """Rows of keys that some sets are indexed by and others look for."""
+    keys = member.groupBy("key").agg(F.bit_or("role").alias("roles"), F.min("doc").alias("least"), F.max("doc").alias("most"))
+    return member.join(keys.where("roles = 3 and least <> most").select("key"), "key", "left_semi")
+
+
+def _spared(member: DataFrame, known: DataFrame) -> DataFrame:
+    """Cost-based allocation: each set stops looking in the segments whose keys the most sets share, as far as it has spare ones."""
+    cost = member.groupBy("key").agg(F.count("*").alias("cost"))
+    spare = known.where("doc_id = rep").select(F.col("rep").alias("doc"), "spare", "spare_below")
+    rows = member.join(cost, "key").join(spare, "doc").withColumn("own", F.expr("role & 1 > 0"))
+    place = F.row_number().over(Window.partitionBy("doc", "own", F.expr("role & 2 > 0")).orderBy(F.desc("cost"), "key"))
+    rows = rows.withColumn("place", place).withColumn("role", F.expr("if(place <= if(own, spare, spare_below), role & 1, role)"))
+    return _meeting(rows.where("role > 0").select(*member.columns))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     facts = kept(described(docs), "sets-described")
