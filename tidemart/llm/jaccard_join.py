@@ -17,10 +17,10 @@ single shingles.  So the search misses no pair, and every candidate is
 verified on the whole sets.
 
 Keys are exchanged in packed blocks.  Of the sets that share a key in one block
-only the first goes on, so a key of a third of all rows reaches a task once per block.  Within the sets of a key first the
-pairs with one centre are verified.  Where that leaves more than one component,
-the other pairs across components follow, first by further centres, then all.
-Equal sets are one set from the start.  Nothing is capped.
+only the first goes on, so a key of a third of all rows reaches a task once per block.  Of the sets of a key first the pairs
+with one centre are verified; pairs within a component need no look.  Further
+centres follow as long as they halve the pairs across components, then all that
+are left.  Equal sets are one set from the start.  Nothing is capped.
 
 Null and empty texts have an empty set, are linked with nothing and are their
 own component.  A row without id is returned with its set size and no component,
@@ -48,9 +48,10 @@ SEGMENTS = 0.6
 #: Below this size a band always indexes one-deletion neighbourhoods.
 SMALL = 48
 PACKED_KEYS = 1_000_000
-PACKED_DOCS = 16_000
+PACKED_DOCS = 4_000
 PARTS_PER_TASK = 4
-STAR_ROUNDS = 2
+#: Open pairs for each row of the groups from which on they are first thinned out by centres.
+MOST_PAIRS = 2
 _KEY = np.uint64((1 << 48) - 1)
 INDEX, PROBE = 1, 2
 
@@ -215,7 +216,7 @@ class Block:
         self.seen: set[tuple[int, int]] = set()
 
     def add(self, doc: int, keys: np.ndarray, roles: np.ndarray) -> None:
-        self.tags.append(roles.astype(np.uint16) + np.uint16(4 * len(self.ids)))
+        self.tags.append(roles.astype(np.uint16) + np.uint16(16 * len(self.ids)))
         self.ids.append(doc)
         self.keys.append(keys)
         self.size += len(keys)
@@ -228,20 +229,20 @@ class Block:
             return
         ids = np.array(self.ids, np.int64)
         keys, tags = np.concatenate(self.keys), np.concatenate(self.tags)
-        keys, docs, roles, groups = joined(keys, ids[tags >> 2], (tags & 3).astype(np.uint8))
+        keys, docs, roles, groups = joined(keys, ids[tags >> 4], (tags & 15).astype(np.uint8))
         where = (keys >> np.uint64(48)) % self.parts
         order = np.lexsort((keys, where))
         keys, docs, roles, where = keys[order], docs[order], roles[order], where[order]
         cuts = np.searchsorted(where, np.arange(int(self.parts) + 1, dtype=np.uint64))
         local, place = np.unique(docs, return_inverse=True)
-        tags = (4 * place + roles).astype(np.uint16)
+        tags = (16 * place + roles).astype(np.uint16)
         raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         columns: list[list] = [[], [], [], []]
         for part in range(int(self.parts)):
             a, b = cuts[part], cuts[part + 1]
             if a < b:
-                used, again = np.unique(tags[a:b] >> 2, return_inverse=True)
-                packed = (again.astype(np.uint16) << 2) | (tags[a:b] & 3)
+                used, again = np.unique(tags[a:b] >> 4, return_inverse=True)
+                packed = (again.astype(np.uint16) << 4) | (tags[a:b] & 15)
                 for column, v in zip(columns, (part, raw[a:b].tobytes(), packed.tobytes(), local[used].tobytes()), strict=True):
                     column.append(v)
         if len(groups):
@@ -255,8 +256,9 @@ class Block:
 def joined(keys: np.ndarray, docs: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sets that share a key of which some are indexed and some probe.
 
-    Returns the rows that go on (of such a key only its first document, with all
-    roles of the key), and (key, document, role) of all such keys.
+    A role has two bits of the set's own and two of sets it stands for.  Returns
+    the rows that go on (of such a key only its first document, standing for the
+    others), and (key, document, own role) of all such keys.
     """
     order = np.lexsort((docs, keys))
     keys, docs, roles = keys[order], docs[order], roles[order]
@@ -264,13 +266,13 @@ def joined(keys: np.ndarray, docs: np.ndarray, roles: np.ndarray) -> tuple[np.nd
         return keys, docs, roles, np.zeros((0, 3), np.int64)
     begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(begin, len(keys)))
-    all_roles = np.bitwise_or.reduceat(roles, begin)
+    all_roles = np.bitwise_or.reduceat(roles | roles >> 2, begin) & 3
     member = np.repeat((all_roles == INDEX + PROBE) & (docs[begin] != docs[begin + sizes - 1]), sizes)
     first = np.zeros(len(keys), bool)
     first[begin] = True
     goes = first | ~member
-    groups = np.stack([(keys[member] & _KEY).astype(np.int64), docs[member], roles[member].astype(np.int64)], 1) if member.any() else np.zeros((0, 3), np.int64)
-    roles = np.where(member, np.repeat(all_roles, sizes), roles)
+    groups = np.stack([(keys[member] & _KEY).astype(np.int64), docs[member], (roles[member] & 3).astype(np.int64)], 1) if member.any() else np.zeros((0, 3), np.int64)
+    roles = np.where(member, roles & 3 | np.repeat(all_roles, sizes) << 2, roles)
     return keys[goes], docs[goes], roles[goes], groups
 
 
@@ -304,8 +306,8 @@ def candidates(docs: DataFrame, deleted: frozenset[int], single: frozenset[int],
             wide[:, :6] = np.frombuffer(key, np.uint8).reshape(-1, 6)
             tag = np.frombuffer(tag, np.uint16)
             keys.append(wide.view("<u8").ravel())
-            tags.append((tag & 3).astype(np.uint8))
-            docs.append(np.frombuffer(doc, np.int64)[tag >> 2])
+            tags.append((tag & 15).astype(np.uint8))
+            docs.append(np.frombuffer(doc, np.int64)[tag >> 4])
         yield from found(joined(np.concatenate(keys), np.concatenate(docs), np.concatenate(tags))[-1])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,28 +373,35 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = kept(sets_of(of_ids(docs, kept(member.select("doc").distinct(), "members"))), "sets")
 
     proven = done = spark.createDataFrame([], "a long, b long")
-    for turn in range(STAR_ROUNDS + 1):
+    turn, before = 0, None
+    while True:
         labels = components(proven).toDF("doc", "component") if turn else proven.toDF("doc", "component")
         told = member.join(labels, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         centre = F.min(F.struct(F.xxhash64(F.lit(turn), "doc") if turn else F.lit(0), "doc"))["doc"]
         split = told.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), centre.alias("centre"))
         told = kept(told.join(split.where("least <> most").select("key", "centre"), "key"), "open-groups")
-        if told.isEmpty():
-            break
         member = told.select(member.columns)
+        # pairs across components, at most; centres go on as long as they halve them
+        parts = told.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"))
+        rows, open_pairs = parts.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
+        if not rows:
+            break
+        stars = open_pairs > MOST_PAIRS * rows and (before is None or open_pairs < before / 2)
+        before = open_pairs
         # the larger set looks for the smaller one's index
         one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in ("doc", "role", "low", "high", "component")])
         two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc", "role", "low", "high", "component")])
         met = "(role_a & 1 > 0 and role_b & 2 > 0 and low_a <= high_b or role_a & 2 > 0 and role_b & 1 > 0 and low_b <= high_a)"
         near = "4 * high_a >= 3 * low_b and 4 * high_b >= 3 * low_a"
         pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near}"))
-        pairs = pairs.where("doc_a = centre" if turn < STAR_ROUNDS else "doc_a < doc_b")
+        pairs = pairs.where("doc_a = centre" if stars else "doc_a < doc_b")
         rest = pairs.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
         rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
-        if rest.isEmpty():
-            continue
         proven = kept(proven.unionByName(verified(rest, sets)), "proven")
+        if not stars:
+            break
         done = done.unionByName(rest)
+        turn += 1
     return proven, reps
 
 
@@ -409,7 +418,10 @@ def _spared(member: DataFrame, known: DataFrame) -> DataFrame:
     rows = member.join(cost, "key").join(spare, "doc").withColumn("own", F.expr("role & 1 > 0"))
     place = F.row_number().over(Window.partitionBy("doc", "own", F.expr("role & 2 > 0")).orderBy(F.desc("cost"), "key"))
     rows = rows.withColumn("place", place).withColumn("role", F.expr("if(place <= if(own, spare, spare_below), role & 1, role)"))
-    return _meeting(rows.where("role > 0").select(*member.columns))
+    rows = kept(_meeting(rows.where("role > 0").select(*member.columns)), "met")
+    # keys of the same sets in the same roles bring the same pairs: one is enough
+    made = rows.groupBy("key").agg(*[F.bit_xor(F.xxhash64(F.lit(k), "doc", "role")).alias(f"x{k}") for k in (0, 1)], F.count("*").alias("n"))
+    return rows.join(made.groupBy("x0", "x1", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
