@@ -72,5 +72,5 @@ def test_path_parts(spark):
     df = spark.createDataFrame(
         [("/z/topic=a/dt=2020-01-02/hour=05/p.json",), ("/z/dt=2020-01-02/hr=7/p.json",), ("/z/dt=x/p.json",)], "_source_file string"
     )
-    got = [(r._path_dt, r._path_hour) for r in lake.with_path_parts(df).collect()]
+    got = [(r.path_day, r.path_hour) for r in lake.with_path_parts(df).collect()]
     assert got == [(D2, 5), (D2, 7), (None, None)]

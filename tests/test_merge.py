@@ -52,6 +52,23 @@ def test_key_moves_to_another_month(spark, table):
     assert sum(table.parts().values()) == 2
 
 
+def test_an_event_sent_again_with_a_later_month_is_one_row(spark, tmp_path):
+    from tidemart.streaming.ingest import Load
+
+    table = Load(spark, "", str(tmp_path)).table("fact_payments")
+    names = ("event_id string, order_id string, customer_id string, payment_sequential int, payment_type string, payment_installments int, "
+             "payment_value decimal(18,2), payment_status string, event_ts timestamp_ntz, event_date date, source_system string, "
+             "schema_version string, ingestion_ts timestamp_ntz")
+
+    def event(day):
+        at = datetime.fromisoformat(day)
+        return spark.createDataFrame([("E1", "o", "c", 1, "boleto", 1, None, "approved", at, at.date(), "s", "1.0", at)], names)
+
+    table.merge(event("2001-01-31"))
+    table.merge(event("2001-02-01"))
+    assert [str(r.event_date) for r in table.read().collect()] == ["2001-02-01"]
+
+
 def test_missing_date_is_a_part_of_its_own(spark, table):
     df = spark.createDataFrame([("a", 1, None)], SCHEMA)
     table.merge(df)

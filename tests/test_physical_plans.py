@@ -107,21 +107,6 @@ def test_windows_over_everything_see_only_summaries(star):
                 assert re.search(r"HashAggregate|TakeOrderedAndProject|GlobalLimit", below)
 
 
-def test_shuffles_start_wide_for_large_inputs(spark, monkeypatch):
-    from tidemart import session
-
-    assert session.scan_bytes(spark.read.parquet(f"{SF}/lineitem.parquet")) > 10_000
-    before = spark.conf.get(session.INITIAL, None)
-    try:
-        assert session.size_shuffles(spark, 1000) == 1
-        assert spark.conf.get(session.INITIAL, None) is None
-        session.size_shuffles(spark, 10 << 40)
-        assert int(spark.conf.get(session.INITIAL)) == session.MOST_PARTITIONS
-    finally:
-        if before is None:
-            spark.conf.unset(session.INITIAL)
-
-
 def test_copies_collapse_before_the_shuffle(spark, star):
     """The operators that see many rows of one key combine on the map side."""
     from tidemart.operators.facts import latest_by

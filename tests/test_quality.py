@@ -116,3 +116,19 @@ def test_mart_refresh_touches_only_its_months(spark, tmp_path):
     curated.refresh_mart(star_of(5), curated.mart_payment_mix, path, ["2020-02"])
     got = {r.event_month: r.total_value for r in spark.read.parquet(path).collect()}
     assert got == {"2020-01": 1.0, "2020-02": 5.0}
+
+
+def test_mart_refresh_empties_a_month(spark, tmp_path):
+    def star_of(*months):
+        rows = [(f"p{m}", "o", "boleto", 1, Decimal(1), "approved", date(2020, m, 3)) for m in months]
+        df = spark.createDataFrame(
+            rows,
+            "event_id string, order_id string, payment_type string, payment_installments int, payment_value decimal(18,2), "
+            "payment_status string, event_date date",
+        )
+        return Star(spark, {"fact_payments": df}.__getitem__)
+
+    path = str(tmp_path / "mart")
+    curated.write_mart(curated.mart_payment_mix(star_of(1, 2, 3)), path)
+    curated.refresh_mart(star_of(1, 3), curated.mart_payment_mix, path, ["2020-02", "2020-03"])
+    assert sorted(r.event_month for r in spark.read.parquet(path).collect()) == ["2020-01", "2020-03"]

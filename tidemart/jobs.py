@@ -18,7 +18,7 @@ from tidemart.operators import bulk, curated, facts, incremental, snapshots, tim
 from tidemart.operators.merge import KeyedTable
 from tidemart.operators.validation import checked, is_iso8601, schema_drift
 from tidemart.schemas import KEYS, TOPICS
-from tidemart.session import scan_bytes, shared_dir, size_shuffles
+from tidemart.session import shared_dir
 from tidemart.sources import lake
 from tidemart.sources.projection import SourceTables
 from tidemart.sources.relational import derived_tables, read_csv_tables
@@ -46,8 +46,6 @@ class Pipeline:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
         self.base = shared_dir(spark, "pipeline")
-        source = SourceTables(spark, directory)
-        size_shuffles(spark, scan_bytes(source.read("lineitem")) + scan_bytes(source.read("orders")))
 
     @classmethod
     def of(cls, spark: SparkSession, directory: str) -> "Pipeline":
@@ -443,7 +441,7 @@ def raw_json_scan(p: Pipeline) -> DataFrame:
 def source_file_partition_extract(p: Pipeline) -> DataFrame:
     """Partition values read from the path text agree with the partition columns."""
     parts = lake.with_path_parts(_all_raw(p))
-    same = (F.col("_path_dt") == F.col("dt")) & (F.col("_path_hour") == F.col("hour"))
+    same = (F.col("path_day") == F.col("dt")) & (F.col("path_hour") == F.col("hour"))
     return parts.groupBy("topic").agg(F.count(F.lit(1)).alias("lines"), F.count_if(same).alias("agreeing"))
 
 

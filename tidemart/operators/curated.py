@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -187,11 +188,21 @@ def write_mart(mart: DataFrame, path: str) -> None:
 
 
 def refresh_mart(star: Star, build: Callable[[Star], DataFrame], path: str, months: list[str]) -> None:
-    """Recompute only the given months (yyyy-MM) of a stored mart.
+    """Replace the given months (yyyy-MM) of a stored mart as they are now, also those without rows any more.
 
-    The month filter sits on event_date of the result's grain and reaches the
-    scan of the dated facts; the other months are not touched.
+    The months are ranges of event_date, which reach the scan of the dated
+    facts; the other months are not touched.
     """
-    first = [F.to_date(F.lit(f"{m}-01")) for m in months]
-    touched = F.trunc("event_date", "month").isin(*first)
-    write_mart(build(star).where(touched), path)
+    spark = star.spark
+    touched = F.lit(False)
+    for m in months:
+        first = F.to_date(F.lit(f"{m}-01"))
+        touched = touched | F.col("event_date").between(first, F.last_day(first))
+    fresh = f"{path.rstrip('/')}_refresh-{uuid.uuid4().hex[:12]}"
+    write_mart(build(star).where(touched), fresh)
+    rows = spark.read.schema(spark.read.parquet(path).schema).parquet(fresh)
+    filled = {r.event_month for r in rows.select("event_month").distinct().collect()}  # at most the months named
+    write_mart(rows.drop("event_month"), path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    for gone in [fresh, *(f"{path.rstrip('/')}/event_month={m}" for m in months if m not in filled)]:
+        folder(gone).getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder(gone), True)

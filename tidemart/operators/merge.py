@@ -22,9 +22,8 @@ class KeyedTable:
     """One table at ``path`` with the business key ``keys``.
 
     ``dated`` tables are clustered by the month of ``event_date``; the others
-    (dimensions) have one part.  ``fixed_key_date`` declares that a key always
-    carries the same event_date, so that only the batch's own months can hold
-    its keys; otherwise the key column of the whole table is checked.
+    (dimensions) have one part.  A key may come again with another event_date,
+    so the key column of the whole table is checked.
     """
 
     def __init__(
@@ -34,12 +33,10 @@ class KeyedTable:
         keys: list[str],
         schema: str,
         dated: bool = True,
-        fixed_key_date: bool = False,
         rows_per_file: int = 2_000_000,
     ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
-        self.schema, self.dated, self.fixed_key_date = schema, dated, fixed_key_date
-        self.rows_per_file = rows_per_file
+        self.schema, self.dated, self.rows_per_file = schema, dated, rows_per_file
 
     # ---- state ---------------------------------------------------------------------
     def version(self) -> int:
@@ -105,11 +102,10 @@ class KeyedTable:
             brought = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
             if not brought:
                 return 0
-            searched = {p: n for p, n in parts.items() if p[0] in brought} if self.fixed_key_date else parts
             keys = rows.select(*self.keys)
             replaced: dict[str, int] = {}
-            if searched:
-                hits = self._read(searched).select(*self.keys, MONTH).join(keys, self.keys, "left_semi")
+            if parts:
+                hits = self._read(parts).select(*self.keys, MONTH).join(keys, self.keys, "left_semi")
                 replaced = {r[MONTH]: r["count"] for r in hits.groupBy(MONTH).count().collect()}
             columns = [*batch.columns, MONTH]
             out = rows.select(*columns)

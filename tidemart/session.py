@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that hold at any size.  Nothing here depends on the data volume:
 # partition counts come from AQE, which starts wide and coalesces.
@@ -14,6 +14,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -23,6 +25,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "12g",
     "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
 }
 
 
@@ -36,29 +39,6 @@ def local_session(cpus: int | str = 8, app: str = "tidemart") -> SparkSession:
     return spark
 
 
-SHUFFLE_BYTES = 128 << 20
-MOST_PARTITIONS = 50_000
-INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Estimated bytes a plan reads, from file sizes; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles wide enough for the input; the runtime coalesces what is too fine.
-
-    Coalescing can only lower the number of shuffle partitions, so on large
-    tables the initial number decides whether a partition fits in memory.  A
-    number the session already names is left alone.
-    """
-    wanted = min(MOST_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
-    if spark.conf.get(INITIAL, None) is None and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(INITIAL, str(wanted))
-    return wanted
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory under the folder named by ``spark.checkpoint.dir``.
 

@@ -72,10 +72,7 @@ class Load:
         return F.current_timestamp() if self.as_of is None else self.as_of
 
     def table(self, name: str) -> KeyedTable:
-        dated = name.startswith("fact_")
-        # Event ids are derived from the event time as well, so they do not move.
-        fixed = dated and name != "fact_order_items"
-        return KeyedTable(self.spark, f"{self.warehouse}/{name}", KEYS[name], STORED[name], dated, fixed)
+        return KeyedTable(self.spark, f"{self.warehouse}/{name}", KEYS[name], STORED[name], name.startswith("fact_"))
 
     # ---- one batch -----------------------------------------------------------------
     def dimensions(self, topic: str, raw: DataFrame) -> dict[str, DataFrame]:

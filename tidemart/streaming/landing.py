@@ -99,7 +99,7 @@ def land_batch(
 
 def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """A message log kept as Parquet files, read as a bounded-batch stream."""
-    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", "36500d").parquet(path)
 
 
 def kafka_messages(spark: SparkSession, servers: str, topics: list[str], offsets_per_batch: int = 5_000_000) -> DataFrame:
