@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,21 @@ URL_RULES = (
 )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once a session, as they may not have it installed."""
+    context = spark.sparkContext
+    if not getattr(context, "tidemart_shipped", False):
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="tidemart-")) / "tidemart_package.zip"  # the driver serves it as long as the session lives
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted((root / "tidemart").rglob("*.py")):
+                z.write(file, file.relative_to(root))
+        context.addPyFile(str(archive))
+        context.tidemart_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
