@@ -47,7 +47,7 @@ WIDTH = 5
 SEGMENTS = 0.6
 #: Below this size a band always indexes one-deletion neighbourhoods.
 SMALL = 48
-PACKED_KEYS = 1_000_000
+PACKED_KEYS = 500_000
 PACKED_DOCS = 4_000
 PARTS_PER_TASK = 4
 #: Open pairs for each row of the groups from which on they are first thinned out by centres.

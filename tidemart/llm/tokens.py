@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -21,7 +22,7 @@ _LOWER[65:91] += 32
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: Bytes of text handled in one numpy pass; a longer text has a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -94,11 +95,12 @@ def passes(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = [t or b"" for t in batch.column(text).cast(pa.binary()).to_pylist()]
+        column = batch.column(text).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
         begin = size = 0
-        for k, t in enumerate(texts):
-            if size and size + len(t) > PASS_BYTES:
-                yield batch.slice(begin, k - begin), texts[begin:k]
+        for k, n in enumerate(sizes.tolist()):
+            if size and size + n > PASS_BYTES:
+                yield batch.slice(begin, k - begin), [t or b"" for t in column.slice(begin, k - begin).to_pylist()]
                 begin, size = k, 0
-            size += len(t) + 1
-        yield batch.slice(begin), texts[begin:]
+            size += n
+        yield batch.slice(begin), [t or b"" for t in column.slice(begin).to_pylist()]
