@@ -144,12 +144,10 @@ def _leaves(query: tuple | bytes) -> set[bytes]:
 class TrigramIndex:
     """Postings of a block of texts for a fixed set of trigrams."""
 
-    def __init__(self, texts: list[bytes], wanted: dict[int, int]):
+    def __init__(self, texts: list[bytes], wanted: dict[int, int], slots: np.ndarray):
         block = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
         block = np.where((block >= 65) & (block <= 90), block + 32, block).astype(np.uint32)
         codes = block[:-2] << 16 | block[1:-1] << 8 | block[2:] if len(block) > 2 else np.zeros(0, np.uint32)
-        slots = np.zeros(1 << 24, np.uint16)
-        slots[list(wanted)] = list(wanted.values())
         found = slots[codes]
         places = np.flatnonzero(found)
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
@@ -178,6 +176,8 @@ class Finder:
         self.regexes = [re.compile(r.pattern, re.ASCII | (re.IGNORECASE if r.any_case else 0)) for r in rules]
         grams = sorted(set().union(*map(_leaves, self.queries)))
         self.wanted = {int.from_bytes(g, "big"): k + 1 for k, g in enumerate(grams)}
+        self.slots = np.zeros(1 << 24, np.uint8 if len(grams) < 256 else np.uint16)
+        self.slots[list(self.wanted)] = list(self.wanted.values())
         self.long_hex = re.compile(r"[0-9a-f]{24,}")
 
     def spans(self, rule: int, text: str) -> list[tuple[int, int, int]]:
@@ -187,7 +187,7 @@ class Finder:
 
     def search(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
         """For each text its spans as (start, rule number, end), sorted."""
-        index = TrigramIndex(texts, self.wanted)
+        index = TrigramIndex(texts, self.wanted, self.slots)
         found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         decoded: dict[int, str] = {}
         for rule, query in enumerate(self.queries):

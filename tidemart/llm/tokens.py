@@ -7,6 +7,7 @@ differ in hash whenever they differ, up to a chance near 2**-64 per pair.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -90,6 +91,14 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def hand_back() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def passes(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of Arrow batches with at most ``PASS_BYTES`` of text each, and their texts (null: empty)."""
     for batch in batches:
@@ -104,3 +113,5 @@ def passes(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
                 begin, size = k, 0
             size += n
         yield batch.slice(begin), [t or b"" for t in column.slice(begin).to_pylist()]
+        del column, batch
+        hand_back()
