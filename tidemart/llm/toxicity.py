@@ -7,7 +7,7 @@ in hashed slots, so the model has one size whatever the corpus.
 
 A linear scan finds all maximal scoring segments of a text.  The best segment of
 clean texts follows an extreme-value law in the text's length, whose scale and
-rate are fitted from moments over clean texts kept out of the counts.  A segment
+rate are fitted to quantiles over clean texts kept out of the counts.  A segment
 is significant if that law makes it rarer than ``ALPHA``; a text's statistic is
 the summed excess of its significant segments, and a logistic curve over those
 held-back texts turns it into a probability.
@@ -36,11 +36,13 @@ from tidemart.llm.tokens import Words, passes
 MOST_LABELS = 40_000
 #: Slots for the first four bytes, the first six, and whole words, as bits.
 SLOT_BITS = (16, 18, 20)
-PRIOR = 8.0
+PRIOR = 4.0
 #: Cost of a token beside its log-odds, and the bounds of a token's log-odds.
-DRIFT, LOW, HIGH = 0.5, -3.0, 6.0
+DRIFT, LOW, HIGH = 1.0, -3.0, 8.0
 ALPHA = 0.05
 BINS = 400
+#: Median and ninth decile of the standard extreme-value law.
+MEDIAN, DECILE = -math.log(math.log(2)), -math.log(-math.log(0.9))
 
 
 class Model(NamedTuple):
@@ -171,18 +173,17 @@ class Law(NamedTuple):
 
 
 def fit_law(scanned: DataFrame) -> Law:
-    """Fit rate and K by moments over clean rows of (n_tokens, segments, toxic), then the curve over all rows."""
+    """Fit rate and K by quantiles over clean rows of (n_tokens, segments, toxic), then the curve over all rows."""
     best = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
     x, y = F.ln(F.greatest("n_tokens", F.lit(1))), best
-    clean = scanned.where("toxic = 0 and n_tokens > 0")
-    m = clean.agg(F.count("*"), F.avg(y), F.var_samp(y), F.avg(x), F.var_samp(x), F.covar_samp(x, y)).first()
-    if not m[0] or m[0] < 3:
+    clean = scanned.where("toxic = 0 and n_tokens > 0").select(x.alias("x"), y.alias("y"))
+    if clean.limit(3).count() < 3:
         return Law(1.0, 0.0)
     rate = 1.0
-    for _ in range(50):  # variance of the best score less ln(n) / rate is pi^2 / 6 rate^2
-        left = max(m[2] - 2 * m[5] / rate + m[4] / rate**2, 1e-6)
-        rate = 0.5 * rate + 0.5 * math.pi / math.sqrt(6 * left)
-    law = Law(rate, rate * (m[1] - m[3] / rate) - 0.5772156649)
+    for _ in range(8):  # median and ninth decile of the best score less ln(n) / rate; a few odd texts don't move them
+        half, most = clean.agg(F.percentile_approx(F.col("y") - F.col("x") / rate, [0.5, 0.9], 10_000)).first()[0]
+        rate = 0.5 * rate + 0.5 * (DECILE - MEDIAN) / max(most - half, 1e-3)
+    law = Law(rate, rate * half - MEDIAN)
     binned = scanned.select("toxic", F.least(F.lit(BINS), F.floor(20 * F.ln(1 + law.statistic()))).alias("bin")).groupBy("bin").agg(F.sum("toxic").alias("ones"), F.count("*").alias("n"))
     rows = np.array([(r.bin, r.ones, r.n) for r in binned.collect()], float)  # at most BINS + 1 rows
     z, ones, n = (rows[:, 0] + 0.5 * (rows[:, 0] > 0)) / 20, rows[:, 1], rows[:, 2]
