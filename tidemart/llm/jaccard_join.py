@@ -14,7 +14,9 @@ shingles or more may count twice: it is then also looked up with one shingle
 missing on either side.  Bands in which some set needs that index these
 one-deletion neighbourhoods as well; bands in which it would not suffice index
 single shingles.  So the search misses no pair, and every candidate is
-verified on the whole sets.
+verified on the whole sets.  Before that a parity bitmap of each set (a shingle
+flips one bit) rules out pairs that share a passage only: two bitmaps differ in no
+more bits than the sets do in shingles, and linked sets in at most (|x| + |y|) / 7.
 
 Keys are exchanged in packed blocks.  Of the sets that share a key in one block
 only the first goes on, so a key of a third of all rows reaches a task once per block.  Of the sets of a key first the pairs
@@ -52,6 +54,9 @@ PACKED_DOCS = 4_000
 PARTS_PER_TASK = 4
 #: Open pairs for each row of the groups from which on they are first thinned out by centres.
 MOST_PAIRS = 2
+#: Bits of a set's parity bitmap, kept in columns of 64; of sets much larger than that it rules out little.
+BITS = 512
+MARKS = [f"bits{k}" for k in range(BITS // 64)]
 _KEY = np.uint64((1 << 48) - 1)
 INDEX, PROBE = 1, 2
 
@@ -136,6 +141,12 @@ def fingerprint(shingle_set: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def parity(shingle_set: np.ndarray) -> np.ndarray:
+    """The bitmap in which each shingle flips one bit, as 64-bit numbers."""
+    odd = np.bincount((shingle_set & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     for batch, texts in passes(batches):
         words = Words(texts)
@@ -143,7 +154,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.nda
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, f1, f2, needs, band, spare, spare_below): set size, fingerprint, and what the search may leave out.
+    """(doc_id, n, f1, f2, needs, band, spare, spare_below, bits*): set size, fingerprint, what the search may leave out, and bitmap.
 
     ``needs`` has the bands in which the set needs more than exact parts (2 * band, odd: single shingles).
     ``spare`` is the number of filled segments beyond those needed, in the set's band and the one below.
@@ -169,9 +180,11 @@ def described(docs: DataFrame) -> DataFrame:
                     spares[k].append(0 if need else spare[k])
             arrays = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))]
             arrays += [pa.array(needs, pa.list_(pa.int32())), pa.array(bands, pa.int32()), *(pa.array(x, pa.int64()) for x in spares)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "f1", "f2", "needs", "band", "spare", "spare_below"])
+            arrays += [pa.array(bits) for bits in np.array([parity(s) for s in sets], np.int64).reshape(-1, len(MARKS)).T.copy()]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "f1", "f2", "needs", "band", "spare", "spare_below", *MARKS])
 
-    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, f1 long, f2 long, needs array<int>, band int, spare long, spare_below long")
+    marks = "".join(f", {c} long" for c in MARKS)
+    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id long, n long, f1 long, f2 long, needs array<int>, band int, spare long, spare_below long{marks}")
 
 
 def keys_of(shingle_set: np.ndarray, deleted: frozenset[int], single: frozenset[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -364,7 +377,7 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     # sizes of a representative: the least and the most of its sets
     size = facts.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("low"), F.max("n").alias("high"), *[
         F.when(several | F.max(F.col("band").isin(*single) | (F.col("band") - 1).isin(*single)), 0).otherwise(F.min(c)).alias(c) for c in ("spare", "spare_below")
-    ])
+    ], *[F.when(~several, F.min(c)).alias(c) for c in MARKS])
     known = kept(reps.join(size.withColumnRenamed("doc_id", "rep"), "rep"), "known")
 
     own = known.select(F.col("doc_id").alias("doc"), "rep", "low", "high")
@@ -389,11 +402,13 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
         stars = open_pairs > MOST_PAIRS * rows and (before is None or open_pairs < before / 2)
         before = open_pairs
         # the larger set looks for the smaller one's index
-        one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in ("doc", "role", "low", "high", "component")])
-        two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc", "role", "low", "high", "component")])
+        one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in ("doc", "role", "low", "high", "component", *MARKS)])
+        two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc", "role", "low", "high", "component", *MARKS)])
         met = "(role_a & 1 > 0 and role_b & 2 > 0 and low_a <= high_b or role_a & 2 > 0 and role_b & 1 > 0 and low_b <= high_a)"
         near = "4 * high_a >= 3 * low_b and 4 * high_b >= 3 * low_a"
-        pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near}"))
+        differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in MARKS)
+        alike = f"coalesce(7 * ({differ}) <= high_a + high_b, true)"  # no bitmap: a document with several sets
+        pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near} and {alike}"))
         pairs = pairs.where("doc_a = centre" if stars else "doc_a < doc_b")
         rest = pairs.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
         rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
@@ -414,11 +429,11 @@ def _meeting(member: DataFrame) -> DataFrame:
 def _spared(member: DataFrame, known: DataFrame) -> DataFrame:
     """Cost-based allocation: each set stops looking in the segments whose keys the most sets share, as far as it has spare ones."""
     cost = member.groupBy("key").agg(F.count("*").alias("cost"))
-    spare = known.where("doc_id = rep").select(F.col("rep").alias("doc"), "spare", "spare_below")
+    spare = known.where("doc_id = rep").select(F.col("rep").alias("doc"), "spare", "spare_below", *MARKS)
     rows = member.join(cost, "key").join(spare, "doc").withColumn("own", F.expr("role & 1 > 0"))
     place = F.row_number().over(Window.partitionBy("doc", "own", F.expr("role & 2 > 0")).orderBy(F.desc("cost"), "key"))
     rows = rows.withColumn("place", place).withColumn("role", F.expr("if(place <= if(own, spare, spare_below), role & 1, role)"))
-    rows = kept(_meeting(rows.where("role > 0").select(*member.columns)), "met")
+    rows = kept(_meeting(rows.where("role > 0").select(*member.columns, *MARKS)), "met")
     # keys of the same sets in the same roles bring the same pairs: one is enough
     made = rows.groupBy("key").agg(*[F.bit_xor(F.xxhash64(F.lit(k), "doc", "role")).alias(f"x{k}") for k in (0, 1)], F.count("*").alias("n"))
     return rows.join(made.groupBy("x0", "x1", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
