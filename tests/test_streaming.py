@@ -139,3 +139,19 @@ def test_any_split_into_batches_gives_the_same_warehouse(spark, order_zone, tmp_
     assert {name: content(whole, name) for name in FACT_OF.values()} == before
     quality = whole.quality_runs()
     assert quality.where("rows_in - rows_out <> duplicate_violations").isEmpty()
+
+
+def test_run_record_tells_copies_from_lost_rows(spark, order_zone, tmp_path):
+    load = Load(spark, order_zone, f"{tmp_path}/w", as_of=F.lit(WRITTEN).cast("timestamp_ntz"))
+    good = lake.raw_topic(spark, order_zone, "payment_events")
+    load.process("payment_events")(good.unionByName(good), 0)
+    n = load.metrics[0]["rows_out"]
+    assert (load.metrics[0]["rows_in"], load.metrics[0]["duplicate_violations"], load.metrics[0]["status"]) == (2 * n, n, "success")
+    unkeyed = good.limit(3).withColumn("event_id", F.lit(None).cast("string"))
+    load.process("payment_events")(good.unionByName(unkeyed), 1)
+    assert (load.metrics[1]["rows_in"], load.metrics[1]["duplicate_violations"], load.metrics[1]["status"]) == (n + 3, 0, "failed")
+    undated = good.limit(2)
+    for c in ("_kafka_ingest_ts", "_raw_file_ts", "ingestion_hint_ts"):
+        undated = undated.withColumn(c, F.lit(None).cast("string")) if c in undated.columns else undated
+    load.process("payment_events")(undated, 2)
+    assert (load.metrics[2]["rows_in"], load.metrics[2]["rows_out"], load.metrics[2]["null_violations"], load.metrics[2]["status"]) == (2, 0, 2, "failed")
