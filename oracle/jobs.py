@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.analytics import SQL as ANALYTICS
-from tidemart.operators.snapshots import BRANDS, CITIES, STATES
+from oracle.values import BRANDS, CITIES, STATES
 
 AS_OF = "timestamp '2001-12-05 00:00:00'"
 

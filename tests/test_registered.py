@@ -6,6 +6,9 @@ A spread of them by default; TIDEMART_FULL=1 runs them all.
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -42,3 +45,10 @@ def test_sample_is_repeatable(spark):
     query = entry.queries()["delivery_estimation_scatter"]
     first, second = (sorted(map(tuple, query(spark, SF).collect())) for _ in range(2))
     assert first == second and len(first) <= 2000
+
+
+def test_statements_share_no_value_with_the_engine():
+    """A wrong edge or label in the engine must not pass because the statement has it too."""
+    code = "import sys, oracle; oracle.statements(); print([m for m in sys.modules if m.split('.')[0] == 'tidemart'])"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1], check=True)
+    assert found.stdout.strip().endswith("[]")
