@@ -32,7 +32,8 @@ def test_matches_sql(spark, con, name):
 
 
 def test_every_query_has_a_statement_unless_it_depends_on_the_run():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    # learnt scores and similarity joins of the training-data operators are held against brute force in their own tests
+    missing = set(entry.queries()) - set(entry.oracle_sql()) - set(entry.LLM)
     assert missing == {"delivery_estimation_scatter", "raw_lake_inventory", "bootstrap_batch"}
 
 
