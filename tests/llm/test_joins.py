@@ -155,6 +155,35 @@ def test_near_passages_are_found_and_prose_is_not(spark):
     assert {d for r in found for d in (r.doc_id, r.other_id)} == planted
 
 
+def alike(a, b):
+    """Whether two lists of shingles have a run of 46 or more at the same place with a similarity of 0.75."""
+    sums = np.concatenate(([0], np.cumsum([x == y for x, y in zip(a, b, strict=True)])))
+    runs = [(j - i, sums[j] - sums[i]) for i in range(len(a)) for j in range(i + 46, len(a) + 1)]
+    return any(4 * same >= 3 * (2 * n - same) for n, same in runs)
+
+
+def test_variants_of_an_edited_first_copy_are_found(spark):
+    rng = random.Random(21)
+
+    def prose(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    rows, grams = [], {}
+    for n in (60, 60, 70, 70, 80):  # every copy is edited, the first one as well
+        passage = prose(n)
+        for _ in range(30):
+            copy = list(passage)
+            copy[rng.randrange(n)] = f"x{rng.randrange(10**6)}"
+            grams[len(rows)] = n, passage, brute.five_grams(" ".join(copy))
+            rows.append((len(rows), " ".join([*prose(40), *copy, *prose(40)])))
+    pairs = [(a, b) for a in grams for b in grams if a < b and grams[a][1] is grams[b][1] and alike(grams[a][2], grams[b][2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = [tuple(r) for r in passages.repeated_passages(docs).select("doc_id", "other_id").collect()]
+    assert all(a // 30 == b // 30 for a, b in found) and len(found) == len(set(found))
+    reached = brute.components(found, {d for d, _ in rows})
+    assert len(pairs) > 1000 and not [p for p in pairs if reached[p[0]] != reached[p[1]]]
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.near_duplicates(none).count() == 0
