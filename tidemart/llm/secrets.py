@@ -43,9 +43,13 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
+#: A key in PEM form goes through its END line; without one through its base64 block (lines of 16 or more and
+#: a shorter last one, after any header lines), and where the text breaks off through its end.
+_LABEL, _CODE, _GAP = "[A-Z0-9 ]{0,24}PRIVATE KEY(?: BLOCK)?", "[A-Za-z0-9+/=]", r"""(?:\\[nrt]|[\s"'>#*|,\\])"""
+_BLOCK = rf"(?:\s*[A-Za-z][A-Za-z0-9-]*:[^\n]*\n){{0,8}}{_GAP}*{_CODE}{{16,}}(?:{_GAP}+{_CODE}{{16,}})*(?:{_GAP}+{_CODE}+)?"
 #: Further kinds by the published shapes of common credentials.
 MORE = (
-    Rule("private", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
+    Rule("private", rf"-----BEGIN {_LABEL}-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END {_LABEL}-----|{_BLOCK}|{_GAP}*{_CODE}+\s*\Z)?"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
     Rule("cloud", r"AIza[A-Za-z0-9_-]+", 0, 39),
