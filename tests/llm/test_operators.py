@@ -154,6 +154,20 @@ def test_leaks_with_other_values_are_found(spark):
     assert rows[0, 10] == (1.0, True) and rows[1, 10] == (1.0, False)
 
 
+def test_leaks_with_renamed_openers_other_case_and_lines_are_found(spark):
+    filler = "quiet prose goes on without any question in it for quite a while and then it ends."
+    first = "Anna has 12 apples in her bag. Anna gives 5 of them to Ben. Ben eats 3 and Anna counts the rest."
+    second = "Last week a train left New York for Boston at 9 o'clock. How many miles did it go before Paul Smith got off?"
+    one = [first.replace("Anna", "Emma").replace("Ben", "Tom"), first.lower(), first.upper(), first.title(), first.replace("Anna counts", "\nAnna counts").replace("to Ben", "to\nBen"), first.replace("Anna", "Mary Ann Jones").replace("12", "30")]
+    two = [second.lower(), second.upper(), second.replace("New York", "Oslo").replace("Paul Smith", "Ida"), second.replace(" left ", " left\n").replace("Boston", "\nBoston")]
+    none = ["Quiet Prose Goes On Without Any Question In It. " * 6, "Anna has 12 apples in her bag. Nobody else has any.", filler * 3]
+    texts = [f"{filler} {t} {filler}" for t in [*one, *two, *none]]
+    found = decontam.leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(1, first), (2, second)], "item_id long, text string"))
+    rows = {(r.doc_id, r.item_id): (r.coverage, r.exact) for r in found.collect()}
+    assert set(rows) == {(k, 1) for k in range(len(one))} | {(k, 2) for k in range(len(one), len(one) + len(two))}
+    assert all(c <= 1 for c, _ in rows.values()) and rows[1, 1] == (1.0, True) and not rows[0, 1][1]
+
+
 def test_values_that_do_not_stay_the_same_are_no_leak(spark):
     item = "Add 5 apples to 5 pears then 5 plums to 5 figs and give 5 nuts to 5 boys so 5 girls keep 5 kites."
     mixed = item

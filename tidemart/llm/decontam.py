@@ -2,12 +2,17 @@
 
 Words lose the marks at their ends and are turned into a template: words with a
 digit become a number slot, a unit after a number a unit slot, a capitalised word
-inside a sentence a name slot.  Five-word template windows of documents are
-hash-joined with those of the benchmark.  The matched windows of a document and
+inside a sentence a name slot.  A second template has the lower-cased words in
+place of the names, for copies in other case.  In a third one capitalised words
+that open a sentence or line are names as well and a run of names is one slot, for
+renamed or re-wrapped openers and names of another word count.  Five-word windows
+of all three are hash-joined with those of the benchmark.  The matched windows of a document and
 an item that lie on one diagonal make an occurrence; it counts if its slots are
 consistent, that is each value of the item always stands for one value in the
-document.  A document holds an item if the windows of its occurrences cover at
-least ``COVER`` of the item's.
+document; of the third template only values that change are judged.  A document
+holds an item if the windows of its occurrences cover at
+least ``COVER`` of the item's.  Names that are changed and not capitalised either
+are not recognised.
 
 A bitmap of fixed size over the benchmark's windows drops other windows in the
 task that reads a document; the join behind it is exact, so the benchmark may
@@ -20,6 +25,7 @@ of their own if their ids differ.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +51,19 @@ _MARK = np.zeros(256, bool)
 _MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "%$"]] = True
 
 
-def templates(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, the template value of each, whether it is a slot, and start and end byte of its bare form."""
+#: The template with collapsed names has windows of its own.
+COLLAPSED = np.uint64(0x636F6C6C61707365)
+
+
+class Template(NamedTuple):
+    value: np.ndarray
+    slot: np.ndarray
+    #: Where runs are one slot: whether the word is a name.
+    name: np.ndarray | None = None
+
+
+def templates(texts: list[bytes]) -> tuple[Words, tuple[Template, ...], np.ndarray, np.ndarray]:
+    """Words, the templates (value of each word and whether it is a slot), and start and end byte of the words' bare forms."""
     words = Words(texts)
     start, end = words.start.copy(), words.end.copy()
     for _ in range(4):  # marks at the ends, closing ones first; a word of marks keeps its last
@@ -68,57 +85,89 @@ def templates(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.nda
         listed = Words([" ".join(UNITS).encode()]).hash
         unit[1:] = number[:-1] & ~number[1:] & np.isin(value[1:], listed)
     name &= ~unit
-    template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
-    return words, template, number | name | unit, start, end
-
-
-WINDOWS = "pos int, hash long, slots array<string>"
+    every = capital & ~number & ~unit
+    plain = np.where(number, NUMBER, np.where(unit, UNIT, value))
+    forms = (
+        Template(np.where(name, NAME, plain), number | name | unit),
+        Template(plain, number | unit),
+        Template(np.where(every, NAME, plain), number | every | unit, every),
+    )
+    return words, forms, start, end
+
+
+def places_of(forms: tuple[Template, ...], i: int, j: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the words ``i`` to ``j``, for each template: its number, window hashes, which of them are new, and the first word of each token (``j`` at the end)."""
+    known: list[np.ndarray] = []
+    for number, form in enumerate(forms):
+        if form.name is None:
+            size = min(width, j - i)
+            hashes, begin = shingles(form.value[i:j], size), np.arange(i, j + 1)
+            new = np.ones(len(hashes), bool) if not known else hashes != known[0]
+            known.append(hashes)
+        else:
+            name = form.name[i:j]
+            begin = np.append(np.flatnonzero(~(name & np.concatenate(([False], name[:-1])))) + i, j)
+            size = width
+            hashes = shingles(form.value[begin[:-1]], size)
+            if not len(hashes):
+                continue
+            hashes, new = hashes ^ COLLAPSED, np.ones(len(hashes), bool)
+        yield number, hashes, np.flatnonzero(new), begin
 
 
 def windows(rows: DataFrame, key: str, wanted: np.ndarray | None = None, width: int = WINDOW) -> DataFrame:
-    """(key, pos, hash, slots, n) of every template window of each text, or of those whose bit is in ``wanted``.
+    """(key, pos, hash, slots, n, first, stop, runs) of every template window of each text, or of those whose bit is in ``wanted``.
 
-    ``slots`` has the values at the slots of the window, in order; ``n`` the number of windows of the text.
+    ``slots`` has the values at the slots of the window, in order; ``n`` the number of plain windows of the text, of which
+    this one stands for those from ``first`` up to ``stop``; ``runs`` if runs of names are one slot, and ``pos`` counts such.
     """
     spark = rows.sparkSession
     shared = None if wanted is None else spark.sparkContext.broadcast(wanted)
-    schema = pa.schema([(key, pa.int64()), ("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int32())])
+    kinds = {key: pa.int64(), "pos": pa.int32(), "hash": pa.int64(), "slots": pa.list_(pa.string()), "n": pa.int32(), "first": pa.int32(), "stop": pa.int32(), "runs": pa.bool_()}
+    schema = pa.schema(list(kinds.items()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in passes(batches):
-            words, template, slot, start, end = templates(texts)
+            words, forms, start, end = templates(texts)
             ids = batch.column(key).cast(pa.int64()).to_pylist()
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in schema]
             for k, i, j in words.texts():
                 if i == j:
                     continue
-                size = min(width, j - i)
-                hashes = shingles(template[i:j], size)
-                places = np.arange(len(hashes)) if shared is None else np.flatnonzero(held(shared.value, hashes))
-                for p in places.tolist():
-                    at = i + p
-                    values = [bytes(words.lower[start[q] : end[q]]).decode(errors="replace") for q in range(at, at + size) if slot[q]]
-                    for column, v in zip(out, (ids[k], p, int(hashes[p].astype(np.int64)), values, len(hashes)), strict=True):
-                        column.append(v)
+                n = j - i - min(width, j - i) + 1
+                for number, hashes, places, begin in places_of(forms, i, j, width):
+                    form = forms[number]
+                    size = len(begin) - len(hashes)
+                    if shared is not None:
+                        places = places[held(shared.value, hashes[places])]
+                    for p in places.tolist():
+                        # a token goes up to the next one's first word
+                        tokens = [(begin[q], begin[q + 1] if form.name is not None and form.name[begin[q]] else begin[q] + 1) for q in range(p, p + size)]
+                        values = [" ".join(bytes(words.lower[start[w] : end[w]]).decode(errors="replace") for w in range(x, y)) for x, y in tokens if form.slot[x]]
+                        stop = n if p + 1 == len(hashes) else min(n, int(begin[p + 1]) - i)
+                        for column, v in zip(out, (ids[k], p, int(hashes[p].astype(np.int64)), values, n, int(begin[p]) - i, stop, form.name is not None), strict=True):
+                            column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return rows.select(key, "text").mapInArrow(cut, f"{key} long, pos int, hash long, slots array<string>, n int")
+    return rows.select(key, "text").mapInArrow(cut, f"{key} long, pos int, hash long, slots array<string>, n int, first int, stop int, runs boolean")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, consistent: float = CONSISTENT) -> DataFrame:
     """(doc_id, item_id, coverage, exact): the items each document holds; ``exact`` if no slot has another value."""
     items = kept(windows(benchmark, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots", "n": "item_n"}), "benchmark-windows")
-    found = kept(windows(docs, "doc_id", bitmap(items.select("hash").distinct())), "document-windows")
+    place = ("first", "stop")
+    found = kept(windows(docs, "doc_id", bitmap(items.select("hash").distinct())).drop("n", "runs", *place), "document-windows")
     matched = found.join(items.where("item_id is not null"), "hash").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-    by = ("doc_id", "item_id", "diagonal")
+    by = ("doc_id", "item_id", "runs", "diagonal")
     pairs = matched.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))
     bound = pairs.groupBy(*by, F.col("pair.item_slots").alias("was")).agg(F.min("pair.slots").alias("low"), F.max("pair.slots").alias("high"))
+    unchanged = (F.col("low") == F.col("was")) & (F.col("high") == F.col("was"))
     slots = bound.groupBy(*by).agg(
-        F.avg((F.col("low") == F.col("high")).cast("double")).alias("steady"), F.min(((F.col("low") == F.col("was")) & (F.col("high") == F.col("was"))).cast("int")).alias("same")
+        F.avg(F.when(~(F.col("runs") & unchanged), (F.col("low") == F.col("high")).cast("double"))).alias("steady"), F.min(unchanged.cast("int")).alias("same")
     )
-    slots = slots.withColumnsRenamed({"doc_id": "s_doc", "item_id": "s_item", "diagonal": "s_diagonal"})
-    spots = matched.groupBy(*by, "item_pos").agg(F.max("item_n").alias("item_n"))
-    on = F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("item_id") == F.col("s_item")) & (F.col("diagonal") == F.col("s_diagonal"))
+    slots = slots.withColumnsRenamed({"doc_id": "s_doc", "item_id": "s_item", "runs": "s_runs", "diagonal": "s_diagonal"})
+    spots = matched.select(*by, "item_n", F.explode(F.sequence("first", F.col("stop") - 1)).alias("item_pos")).groupBy(*by, "item_pos").agg(F.max("item_n").alias("item_n"))
+    on = F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("item_id") == F.col("s_item")) & (F.col("runs") == F.col("s_runs")) & (F.col("diagonal") == F.col("s_diagonal"))
     good = spots.join(slots, on, "left").where(F.coalesce("steady", F.lit(1.0)) >= consistent)
     return (
         good.groupBy("doc_id", "item_id", "item_pos")
