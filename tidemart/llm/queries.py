@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontam, jaccard_join, mixing, ngram_lm, passages, quality_model, quality_rules, secrets, toxicity, url_rules
+from tidemart.llm import collocations, decontam, jaccard_join, mixing, ngram_lm, passages, quality_model, quality_rules, secrets, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 OPERATORS: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -116,6 +120,7 @@ OPERATORS: dict[str, Query] = {
         op8_quality,
         op9_passages,
         op10_quality_rules,
+        op13_collocations,
     )
 }
 
