@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import collocations, decontam, jaccard_join, mixing, ngram_lm, passages, quality_model, quality_rules, secrets, toxicity, url_rules
+from tidemart.llm import collocations, decontam, jaccard_join, merkle, mixing, ngram_lm, passages, personal, quality_model, quality_rules, secrets, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+    return found.drop("path")
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -120,6 +129,8 @@ OPERATORS: dict[str, Query] = {
         op8_quality,
         op9_passages,
         op10_quality_rules,
+        op11_merkle,
+        op12_personal_data,
         op13_collocations,
     )
 }
