@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import collocations, decontam, jaccard_join, merkle, mixing, ngram_lm, passages, personal, quality_model, quality_rules, secrets, toxicity, url_rules
+from tidemart.llm import collocations, decontam, jaccard_join, merkle, mixing, ngram_lm, passages, personal, quality_model, quality_rules, secrets, statements, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,4 +170,10 @@ b AS (SELECT p.k, max({'size': length(rules.host || rules.path), 'host_size': le
 SELECT p.page_id, p.host, p.path, b.won.rule AS rule, coalesce(b.won.verdict, 'allow') AS verdict FROM p LEFT JOIN b ON p.k = b.k
 """
 
-ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_url_rules": OP6_SQL}
+ORACLE: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op6_url_rules": OP6_SQL,
+    "op11_merkle": statements.OP11_SQL,
+    "op12_personal_data": statements.OP12_SQL,
+    "op13_collocations": statements.OP13_SQL,
+}
