@@ -340,4 +340,63 @@ SQL["load_source_tables"] = "\nunion all ".join(
         ("translation", "(select distinct cat from t_products where length(cat) % 7 <> 0)", "cat cat"),
     )
 )
+# A load of events with values it must refuse; orders divisible by three come twice.
+NUMBER = "substr(order_id, 2)::bigint"
+SENT = f"""
+, judged as (
+  select 'order_events' as topic, 1 as place, {NUMBER} as k, customer_id, seller_id, null::varchar as product_id,
+    case when k % 10 = 9 then 'missing_event_id' end as reason
+  from (select order_id, customer_id, seller_id from e_created union all select order_id, customer_id, seller_id from e_approved)
+  union all
+  select 'payment_events', 2, {NUMBER} as k, customer_id, null, null,
+    case when k % 10 = 1 and payment_value > 0 then 'negative_payment_value' when k % 10 = 2 then 'missing_payment_value' end from e_paid
+  union all
+  select 'delivery_events', 3, {NUMBER} as k, customer_id, seller_id, null, case when k % 10 = 8 then 'missing_order_id' end
+  from (select * from e_shipped union all select * from e_delivered)
+  union all
+  select 'review_events', 4, {NUMBER} as k, customer_id, seller_id, null,
+    case when k % 10 = 3 then 'review_score_out_of_range' when k % 10 = 4 then 'missing_review_score' end from e_reviewed
+  union all
+  select 'inventory_events', 5, {NUMBER} as k, null, seller_id, product_id,
+    case when k % 10 = 5 and price > 0 then 'negative_price' when k % 10 = 6 and freight_value > 0 then 'negative_freight_value'
+      when k % 10 = 7 then 'missing_product_id' end from e_items),
+sent as (select * from judged union all select * from judged where k % 3 = 0)"""
+SQL["load_quarantine"] = f"""{SENT}
+select topic, reason as outcome, count(*) as "rows" from sent where reason is not null group by all
+union all select topic, 'merged', count(*) from judged where reason is null group by topic
+union all select topic, 'copy', count(*) from judged where reason is null and k % 3 = 0 group by topic"""
+SQL["run_summary"] = f"""{SENT},
+brought as (
+  select 'c' || customer_id as id, min(place) as place from judged where reason is null and customer_id is not null group by 1
+  union all select 's' || seller_id, min(place) from judged where reason is null and seller_id is not null group by 1
+  union all select distinct 'p' || product_id, 5 from judged where reason is null and product_id is not null),
+dims as (select place, count(*) as dim_written from brought group by place),
+first as (
+  select 1 as run, topic, place, count(*) as raw_count, count(*) filter (reason is not null) as set_aside,
+    count(*) filter (reason is not null) > 0 as bad from sent group by topic, place),
+merged as (select topic, count(*) as fact_written from judged where reason is null group by topic),
+topics as (
+  select run, topic, 1::bigint as processors_run, raw_count, coalesce(dim_written, 0) as dim_written, fact_written,
+    raw_count - set_aside - fact_written as duplicates_skipped, set_aside, 0::bigint as no_new_data_processors,
+    case when bad then 'failed' else 'success' end as status
+  from first join merged using (topic) left join dims using (place)
+  union all
+  select 2, topic, 1, 0, 0, 0, 0, 0, 1, 'no_new_data' from first)
+select * from topics
+union all
+select run, 'all', sum(processors_run)::bigint, sum(raw_count)::bigint, sum(dim_written)::bigint, sum(fact_written)::bigint,
+  sum(duplicates_skipped)::bigint, sum(set_aside)::bigint, sum(no_new_data_processors)::bigint, null from topics group by run"""
+SQL["upsert_late_older_event"] = f"""
+select event_id, order_id, case when {NUMBER} % 3 = 0 then 'third' when {NUMBER} % 2 = 0 then 'second' else 'first' end as payment_status
+from e_paid"""
+SQL["validate_payload_types"] = f"""
+, wrong(topic, remainder, field) as (values
+  ('order_events', 1, 'payload.item_count'), ('order_events', 2, 'payload.order_value'), ('order_events', 3, 'payload.purchase_ts'),
+  ('order_events', 4, 'trace_id'), ('payment_events', 1, 'payload.payment_value'), ('payment_events', 2, 'payload.payment_installments'),
+  ('payment_events', 3, 'payload.payment_value'), ('payment_events', 4, 'payload.payment_type'),
+  ('delivery_events', 1, 'payload.carrier_status'), ('delivery_events', 2, 'payload.shipped_ts'),
+  ('review_events', 1, 'payload.review_score'), ('review_events', 2, 'payload.review_score'), ('review_events', 3, 'customer_id'),
+  ('inventory_events', 1, 'payload.order_item_id'), ('inventory_events', 2, 'payload.price'))
+select e.topic, event_id, 'wrong_type: ' || field as error_reason
+from e_all e left join wrong w on w.topic = e.topic and w.remainder = {NUMBER} % 7"""
 assert not set(SQL) & set(ANALYTICS)

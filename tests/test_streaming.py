@@ -121,9 +121,9 @@ def content(load: Load, name: str):
 
 def test_any_split_into_batches_gives_the_same_warehouse(spark, order_zone, tmp_path):
     stamp = F.lit(WRITTEN).cast("timestamp_ntz")
-    whole = Load(spark, order_zone, f"{tmp_path}/whole", as_of=stamp, files_per_batch=10_000)
+    whole = Load(spark, order_zone, f"{tmp_path}/whole", as_of=stamp, files_per_batch=10_000, buckets=4)
     whole.run()
-    split = Load(spark, order_zone, f"{tmp_path}/split", as_of=stamp, files_per_batch=40)
+    split = Load(spark, order_zone, f"{tmp_path}/split", as_of=stamp, files_per_batch=60, buckets=4)
     split.run()
     assert len(split.metrics) > len(whole.metrics) == len(TOPICS)
     for name in (*FACT_OF.values(), "dim_customer", "dim_seller", "dim_product"):
@@ -141,17 +141,52 @@ def test_any_split_into_batches_gives_the_same_warehouse(spark, order_zone, tmp_
     assert quality.where("rows_in - rows_out <> duplicate_violations").isEmpty()
 
 
-def test_run_record_tells_copies_from_lost_rows(spark, order_zone, tmp_path):
-    load = Load(spark, order_zone, f"{tmp_path}/w", as_of=F.lit(WRITTEN).cast("timestamp_ntz"))
+def test_run_record_tells_copies_from_refused_rows(spark, order_zone, tmp_path):
+    load = Load(spark, order_zone, f"{tmp_path}/w", as_of=F.lit(WRITTEN).cast("timestamp_ntz"), buckets=4)
     good = lake.raw_topic(spark, order_zone, "payment_events")
+    names = ("rows_in", "rows_out", "duplicate_violations", "set_aside", "null_violations", "schema_violations", "status")
+    record = lambda k: tuple(load.metrics[k][n] for n in names)
     load.process("payment_events")(good.unionByName(good), 0)
     n = load.metrics[0]["rows_out"]
-    assert (load.metrics[0]["rows_in"], load.metrics[0]["duplicate_violations"], load.metrics[0]["status"]) == (2 * n, n, "success")
+    assert record(0) == (2 * n, n, n, 0, 0, 0, "success")
+    # The same rows again are copies; rows without a key and with a refused amount are kept aside.
     unkeyed = good.limit(3).withColumn("event_id", F.lit(None).cast("string"))
-    load.process("payment_events")(good.unionByName(unkeyed), 1)
-    assert (load.metrics[1]["rows_in"], load.metrics[1]["duplicate_violations"], load.metrics[1]["status"]) == (n + 3, 0, "failed")
+    negative = good.limit(2).withColumn("payload", F.col("payload").withField("payment_value", F.lit(-1).cast("decimal(18,2)")))
+    load.process("payment_events")(good.unionByName(unkeyed).unionByName(negative), 1)
+    assert record(1) == (n + 5, 0, n, 5, 3, 2, "failed")
     undated = good.limit(2)
     for c in ("_kafka_ingest_ts", "_raw_file_ts", "ingestion_hint_ts"):
-        undated = undated.withColumn(c, F.lit(None).cast("string")) if c in undated.columns else undated
+        undated = undated.withColumn(c, F.lit(None).cast("string"))
     load.process("payment_events")(undated, 2)
-    assert (load.metrics[2]["rows_in"], load.metrics[2]["rows_out"], load.metrics[2]["null_violations"], load.metrics[2]["status"]) == (2, 0, 2, "failed")
+    assert record(2) == (2, 0, 0, 2, 2, 0, "failed")
+    aside = {r.reason: r["count"] for r in load.set_aside().groupBy("reason").count().collect()}
+    assert aside == {"missing_event_id": 3, "negative_payment_value": 2, "missing_ingest_ts": 2}
+    row = json.loads(load.set_aside().where("reason = 'negative_payment_value'").first().row)
+    assert row["payload"]["payment_value"] == -1 and row["_kafka_topic"] == "payment_events"
+    load.process("payment_events")(undated, 2)  # a repeated batch replaces what it put aside
+    assert load.set_aside().count() == 7
+    assert load.quality_runs().where("rows_in <> rows_out + duplicate_violations + set_aside").isEmpty()
+
+
+def test_items_without_any_seller_are_kept_aside(spark, order_zone, tmp_path):
+    load = Load(spark, order_zone, f"{tmp_path}/w", buckets=2)
+    items = lake.raw_topic(spark, order_zone, "inventory_events").limit(6).persist()
+    load.process("inventory_events")(items.withColumn("seller_id", F.lit(None).cast("string")), 0)
+    assert (load.metrics[0]["rows_out"], load.metrics[0]["set_aside"], load.metrics[0]["status"]) == (0, 6, "failed")
+    assert [r.reason for r in load.set_aside().collect()] == ["missing_seller"] * 6
+    load.process("inventory_events")(items, 1)  # sent again with its seller, the item gets in
+    assert (load.metrics[1]["rows_out"], load.metrics[1]["set_aside"]) == (6, 0)
+
+
+def test_a_run_sums_up_its_topics(spark, order_zone, tmp_path):
+    from tidemart.streaming.ingest import run_total
+
+    load = Load(spark, order_zone, f"{tmp_path}/w", as_of=F.lit(WRITTEN).cast("timestamp_ntz"), files_per_batch=10_000, buckets=2)
+    first = load.run(("review_events", "payment_events"))
+    assert [s["topic"] for s in first] == ["payment_events", "review_events"] and {s["status"] for s in first} == {"success"}
+    total = run_total(first)
+    assert total["processors_run"] == 2 and total["no_new_data_processors"] == 0
+    assert total["raw_count"] == total["fact_written"] + total["duplicates_skipped"] > 0 and total["dim_written"] > 0
+    again = load.run(("review_events",))
+    assert run_total(again) == dict.fromkeys(run_total(again), 0) | {"processors_run": 1, "no_new_data_processors": 1}
+    assert load.quality_runs().where("status = 'no_new_data'").count() == 1

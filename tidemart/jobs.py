@@ -24,7 +24,7 @@ from tidemart.sources.projection import SourceTables
 from tidemart.sources.relational import derived_tables, read_csv_tables
 from tidemart.sources.star import Star
 from tidemart.streaming import landing
-from tidemart.streaming.ingest import STORED, Load, deduplicated
+from tidemart.streaming.ingest import FACT_OF, STORED, Load, deduplicated, run_total
 
 AS_OF = "2001-12-05 00:00:00"
 
@@ -38,6 +38,48 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
 
 
+def order_number(column: str) -> Column:
+    return F.substring(column, 2, 20).cast("bigint")
+
+
+def with_field(name: str, value: str, text: str = "value") -> Column:
+    """JSON text with the value of a field replaced; ``$1`` in the new value is the old one."""
+    return F.regexp_replace(text, rf'"{name}":("[^"]*"|[^,}}]*)', f'"{name}":{value}')
+
+
+#: Topic, last digit of the order's number, field and its new value.
+REFUSED = (
+    ("payment_events", 1, "payment_value", "-$1"),
+    ("payment_events", 2, "payment_value", "null"),
+    ("review_events", 3, "review_score", "9"),
+    ("review_events", 4, "review_score", "null"),
+    ("inventory_events", 5, "price", "-$1"),
+    ("inventory_events", 6, "freight_value", "-$1"),
+    ("inventory_events", 7, "product_id", "null"),
+    ("delivery_events", 8, "order_id", "null"),
+    ("order_events", 9, "event_id", "null"),
+)
+#: Topic, remainder of the order's number by 7, field and a value of a wrong type.
+RETYPED = (
+    ("order_events", 1, "item_count", '"3"'),
+    ("order_events", 2, "order_value", "true"),
+    ("order_events", 3, "purchase_ts", "7"),
+    ("order_events", 4, "trace_id", "12"),
+    ("payment_events", 1, "payment_value", '"1.5"'),
+    ("payment_events", 2, "payment_installments", "2.5"),
+    ("payment_events", 3, "payment_value", "1e30"),
+    ("payment_events", 4, "payment_type", "[1]"),
+    ("delivery_events", 1, "carrier_status", "false"),
+    ("delivery_events", 2, "shipped_ts", "1700000000"),
+    ("review_events", 1, "review_score", '{"n":5}'),
+    ("review_events", 2, "review_score", "99999999999"),
+    ("review_events", 3, "customer_id", "1"),
+    ("inventory_events", 1, "order_item_id", '"1"'),
+    ("inventory_events", 2, "price", '"free"'),
+    ("inventory_events", 3, "freight_value", "null"),
+)
+
+
 class Pipeline:
     """The folders of one session and source directory, built on first use."""
 
@@ -108,6 +150,24 @@ class Pipeline:
     def raw(self, topic: str) -> DataFrame:
         return lake.raw_topic(self.spark, self.order_zone, topic)
 
+    # ---- the same events with values that a load must refuse, every third order's twice ----
+    def flawed_messages(self) -> DataFrame:
+        e = timeline.all_envelopes(self.tables, as_of())
+        value = F.col("value")
+        for topic, digit, field, bad in REFUSED:
+            value = F.when((F.col("topic") == topic) & (order_number("key") % 10 == digit), with_field(field, bad)).otherwise(value)
+        flawed = e.withColumn("value", value)
+        return flawed.unionByName(flawed.where(order_number("key") % 3 == 0))
+
+    @cached_property
+    def flawed_load(self) -> tuple[Load, list[list[dict]]]:
+        """A load of those events in two runs, the second of which finds nothing, and what each run did."""
+        path = f"{self.base}/messages/flawed"
+        timeline.as_messages(self.flawed_messages(), as_of()).write.mode("overwrite").parquet(path)
+        zone = self.land(path, "flawed", "flawed", grain="month", spread=1)
+        load = Load(self.spark, f"{zone}/raw", f"{self.base}/flawed-warehouse", files_per_batch=10_000, as_of=as_of())
+        return load, [load.run(), load.run()]
+
     # ---- the events table as messages, every 50th malformed ------------------------------
     def click_messages(self) -> DataFrame:
         e = SourceTables(self.spark, self.directory).read("events")
@@ -286,6 +346,17 @@ def validate_envelope(p: Pipeline) -> DataFrame:
     return checked(p.click_messages()).select("offset", "error_reason")
 
 
+@job
+def validate_payload_types(p: Pipeline) -> DataFrame:
+    """Verdicts on the events of all topics, some of them with a field of a wrong type."""
+    value = F.col("value")
+    for topic, remainder, field, bad in RETYPED:
+        value = F.when((F.col("topic") == topic) & (order_number("key") % 7 == remainder), with_field(field, bad)).otherwise(value)
+    messages = timeline.all_envelopes(p.tables, as_of()).select("topic", value.cast("binary").alias("value"))
+    judged = checked(messages, strict_types=True)
+    return judged.select("topic", F.get_json_object("text", "$.event_id").alias("event_id"), "error_reason")
+
+
 @job
 def iso8601_check(p: Pipeline) -> DataFrame:
     """Verdicts on the event times of ``events`` written in nine shapes."""
@@ -591,7 +662,7 @@ for _name in ("dim_customer", "dim_seller", "dim_product"):
 def dimension_type1_update(p: Pipeline) -> DataFrame:
     """Two merges into a customer dimension: new values replace, NULL does not."""
     path = shared_dir(p.spark, "type1")
-    table = KeyedTable(p.spark, path, KEYS["dim_customer"], STORED["dim_customer"], dated=False)
+    table = KeyedTable(p.spark, path, KEYS["dim_customer"], STORED["dim_customer"])
     source = SourceTables(p.spark, p.directory).read("customer")
     k = F.col("c_custkey")
 
@@ -642,6 +713,52 @@ def run_metrics(p: Pipeline) -> DataFrame:
     return runs.groupBy("dataset_name", "status").agg(*[F.sum(n).alias(n) for n in names])
 
 
+@job
+def load_quarantine(p: Pipeline) -> DataFrame:
+    """What became of every row of a load with bad values: merged, a copy, or set aside for a reason."""
+    load, _ = p.flawed_load
+    aside = load.set_aside().groupBy("topic", F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+    merged = [
+        load.table(fact).read().agg(F.lit(topic).alias("topic"), F.lit("merged").alias("outcome"), F.count(F.lit(1)).alias("rows"))
+        for topic, fact in FACT_OF.items()
+    ]
+    runs = load.quality_runs().groupBy("dataset_name").agg(F.sum("duplicate_violations").alias("rows"))
+    topic = F.create_map(*[F.lit(x) for t, fact in FACT_OF.items() for x in (fact, t)])[F.col("dataset_name")]
+    copies = runs.select(topic.alias("topic"), F.lit("copy").alias("outcome"), "rows")
+    return curated.stack([aside, *merged, copies])
+
+
+@job
+def run_summary(p: Pipeline) -> DataFrame:
+    """Each topic's counts in two runs of the load with bad values, and the total of each run."""
+    _, runs = p.flawed_load
+    rows = []
+    for number, topics in enumerate(runs, 1):
+        rows += [(number, s["topic"], 1, s["raw_count"], s["dim_written"], s["fact_written"], s["duplicates_skipped"], s["set_aside"],
+                  int(s["status"] == "no_new_data"), s["status"]) for s in topics]
+        rows.append((number, "all", *run_total(topics).values(), None))
+    names = ("processors_run", "raw_count", "dim_written", "fact_written", "duplicates_skipped", "set_aside", "no_new_data_processors")
+    return p.spark.createDataFrame(rows, f"run int, topic string, {', '.join(f'{n} bigint' for n in names)}, status string")
+
+
+@job
+def upsert_late_older_event(p: Pipeline) -> DataFrame:
+    """Payments merged in the wrong order: the copy read last stays, whenever it arrives."""
+    table = KeyedTable(p.spark, shared_dir(p.spark, "late"), KEYS["fact_payments"], STORED["fact_payments"], facts.ORDER)
+
+    def arrive(status: str, day: int, which: Column) -> None:
+        raw = p.raw("payment_events").where(which).withColumn("_kafka_ingest_ts", F.lit(f"2001-12-{day:02}T00:00:00Z"))
+        raw = raw.withColumn("payload", F.col("payload").withField("payment_status", F.lit(status)))
+        table.merge(facts.fact_payments(raw, as_of(), ordered=True), collapsed=True)
+
+    number = order_number("order_id")
+    arrive("second", 6, number % 2 == 0)
+    arrive("first", 5, F.lit(True))
+    arrive("third", 7, number % 3 == 0)
+    arrive("first", 5, F.lit(True))
+    return table.read().select("event_id", "order_id", "payment_status")
+
+
 @job
 def staging_events_clean(p: Pipeline) -> DataFrame:
     return curated.staging_events_clean([p.raw(t) for t in TOPICS])

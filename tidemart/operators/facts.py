@@ -6,8 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import hours_between
+from tidemart.operators.merge import newest
+from tidemart.sources.lake import ingest_ts
 
-LATEST = ("_kafka_ingest_ts", "_kafka_offset")
+#: When and where a row was read; of the rows of one key the greatest wins.
+ORDER = "_ingest_ts timestamp_ntz, _partition int, _offset bigint"
+LATEST = ("_ingest_ts", "_partition", "_offset")
+
+
+def read_order() -> list[Column]:
+    return [
+        ingest_ts().cast("timestamp_ntz").alias("_ingest_ts"),
+        F.col("_kafka_partition").alias("_partition"),
+        F.col("_kafka_offset").alias("_offset"),
+    ]
 
 
 def stamp(text: str) -> Column:
@@ -33,19 +45,25 @@ def _common(loaded_at: Column) -> list[Column]:
         F.col("source_system"),
         F.col("schema_version"),
         loaded_at.cast("timestamp_ntz").alias("ingestion_ts"),
-        *[F.col(c) for c in LATEST],
+        *read_order(),
     ]
 
 
-def _fact(raw: DataFrame, loaded_at: Column, *columns: Column | str) -> DataFrame:
+def _newest(rows: DataFrame, keys: list[str], ordered: bool) -> DataFrame:
+    """The newest row of each key, with its order columns if the rows are to be merged."""
+    return newest(rows, keys, list(LATEST)) if ordered else latest_by(rows, keys)
+
+
+def _fact(raw: DataFrame, loaded_at: Column, ordered: bool, *columns: Column | str) -> DataFrame:
     rows = raw.where("event_id is not null").select("event_id", "order_id", *columns, *_common(loaded_at))
-    return latest_by(rows, ["event_id"])
+    return _newest(rows, ["event_id"], ordered)
 
 
-def fact_order_events(raw: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_order_events(raw: DataFrame, loaded_at: Column, ordered: bool = False) -> DataFrame:
     return _fact(
         raw,
         loaded_at,
+        ordered,
         "event_type",
         "customer_id",
         "seller_id",
@@ -56,15 +74,16 @@ def fact_order_events(raw: DataFrame, loaded_at: Column) -> DataFrame:
     )
 
 
-def fact_payments(raw: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_payments(raw: DataFrame, loaded_at: Column, ordered: bool = False) -> DataFrame:
     names = ("payment_sequential", "payment_type", "payment_installments", "payment_value", "payment_status")
-    return _fact(raw, loaded_at, "customer_id", *[F.col(f"payload.{n}").alias(n) for n in names])
+    return _fact(raw, loaded_at, ordered, "customer_id", *[F.col(f"payload.{n}").alias(n) for n in names])
 
 
-def fact_delivery_events(raw: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_delivery_events(raw: DataFrame, loaded_at: Column, ordered: bool = False) -> DataFrame:
     return _fact(
         raw,
         loaded_at,
+        ordered,
         "event_type",
         "payload.carrier_status",
         stamp("payload.shipped_ts").alias("shipped_ts"),
@@ -75,12 +94,13 @@ def fact_delivery_events(raw: DataFrame, loaded_at: Column) -> DataFrame:
     )
 
 
-def fact_reviews(raw: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_reviews(raw: DataFrame, loaded_at: Column, ordered: bool = False) -> DataFrame:
     """Reviews; the response time is computed here too, not only on the bulk path."""
     made, answered = stamp("payload.review_created_ts"), stamp("payload.review_answer_ts")
     return _fact(
         raw,
         loaded_at,
+        ordered,
         "payload.review_id",
         "payload.review_score",
         made.alias("review_created_ts"),
@@ -92,7 +112,7 @@ def fact_reviews(raw: DataFrame, loaded_at: Column) -> DataFrame:
     )
 
 
-def fact_order_items(raw: DataFrame) -> DataFrame:
+def fact_order_items(raw: DataFrame, ordered: bool = False) -> DataFrame:
     """Order items; rows without a seller stay until :func:`backfill_sellers`."""
     rows = raw.select(
         "order_id",
@@ -103,13 +123,18 @@ def fact_order_items(raw: DataFrame) -> DataFrame:
         "payload.price",
         "payload.freight_value",
         stamp("event_ts").cast("date").alias("event_date"),
-        *LATEST,
+        *read_order(),
     ).where("order_id <> '' and product_id <> '' and order_item_id is not null")
-    return latest_by(rows, ["order_id", "order_item_id"])
+    return _newest(rows, ["order_id", "order_item_id"], ordered)
 
 
 def backfill_sellers(items: DataFrame, order_events: DataFrame) -> DataFrame:
     """Fill missing sellers from the order's events, then drop rows still without one."""
+    return find_sellers(items, order_events).where("seller_id is not null")
+
+
+def find_sellers(items: DataFrame, order_events: DataFrame) -> DataFrame:
+    """Fill missing sellers from the order's events; where there is none, the seller is null."""
     named = items.where("seller_id <> ''")
     missing = items.where("seller_id is null or seller_id = ''").drop("seller_id")
     # Only the orders in question are looked up in the event history.
@@ -119,7 +144,7 @@ def backfill_sellers(items: DataFrame, order_events: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(F.min_by("seller_id", F.struct("event_ts", "event_id")).alias("seller_id"))
     )
-    return named.unionByName(missing.join(sellers, "order_id").select(*items.columns))
+    return named.unionByName(missing.join(sellers, "order_id", "left").select(*items.columns))
 
 
 # ---- dimensions ------------------------------------------------------------------

@@ -1,29 +1,54 @@
-"""Keyed upsert into Parquet tables.
+"""Keyed upsert into Parquet tables that are laid out by a hash of their key.
 
-A merge appends the rows whose key is new and rewrites only the months that
-hold a key it replaces.  Each merge writes its files under a new version and
-then publishes a small list of the (month, version) pairs that make up the
-table; a reader follows the newest complete list.  A run that dies before
-publishing leaves the table as it was, and repeating a batch changes nothing.
+A table is a folder per bucket of key hashes.  A merge looks up only the buckets
+its keys fall into and reads their key and order columns.  Buckets in which it
+replaces a row are written anew, the others get a file more; a bucket with many
+such files is written anew as well, so nothing grows with the number of merges.
+
+Newest wins: with order columns (when and where a row was read), a row replaces
+the held one only if it is newer, in whatever order batches arrive.  The same
+batch again is not newer, so it writes nothing.
+
+A merge first writes all its files beside the table and then moves them, bucket
+by bucket.  A run lost while writing leaves the table as it was; one lost while
+moving is finished by whoever opens the table next.  A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONTH = "event_month"
-NO_MONTH = "all"
-STATE = f"{MONTH} string, version bigint, rows bigint"
-Parts = dict[tuple[str, int], int]
+BUCKET = "bucket"
+KIND = "kind"
+
+
+class Merged(NamedTuple):
+    """Rows a merge added and replaced, and those it left out as they were not newer."""
+
+    inserted: int = 0
+    replaced: int = 0
+    older: int = 0
+
+    @property
+    def rows(self) -> int:
+        return self.inserted + self.replaced
+
+
+def names_of(schema: str) -> list[str]:
+    """Column names of a flat schema text."""
+    return [part.split()[0] for part in schema.replace("(18,2)", "").replace("(10,2)", "").split(",") if part.strip()]
 
 
 class KeyedTable:
     """One table at ``path`` with the business key ``keys``.
 
-    ``dated`` tables are clustered by the month of ``event_date``; the others
-    (dimensions) have one part.  A key may come again with another event_date,
-    so the key column of the whole table is checked.
+    ``order`` is the schema of the order columns, empty if the batch always wins.
+    ``buckets`` is fixed with the first merge: choose it so that a bucket, the unit
+    that a merge rewrites, stays near ``rows_per_file`` rows.
     """
 
     def __init__(
@@ -32,132 +57,156 @@ class KeyedTable:
         path: str,
         keys: list[str],
         schema: str,
-        dated: bool = True,
+        order: str = "",
+        buckets: int = 16,
+        files_per_bucket: int = 8,
         rows_per_file: int = 2_000_000,
     ):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
-        self.schema, self.dated, self.rows_per_file = schema, dated, rows_per_file
-
-    # ---- state ---------------------------------------------------------------------
-    def version(self) -> int:
-        """The newest published version, 0 for a table not written yet."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        state = path(f"{self.path}/_state")
-        fs = state.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(state):
-            return 0
-        folders = [s.getPath() for s in fs.listStatus(state)]
-        done = [int(p.getName()) for p in folders if p.getName().isdigit() and fs.exists(path(p, "_SUCCESS"))]
-        return max(done, default=0)
-
-    def parts(self, version: int | None = None) -> Parts:
-        """Rows per (month, version): as many entries as the table has months and open appends."""
-        v = self.version() if version is None else version
-        if v == 0:
-            return {}
-        rows = self.spark.read.schema(STATE).parquet(f"{self.path}/_state/{v}").collect()
-        return {(r[MONTH], r["version"]): r["rows"] for r in rows}
-
-    def _publish(self, version: int, parts: Parts) -> None:
-        state = self.spark.createDataFrame([(m, v, n) for (m, v), n in sorted(parts.items())], STATE)
-        state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_state/{version}")
+        self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), keys, schema
+        self.order, self.buckets = names_of(order), buckets
+        self.files_per_bucket, self.rows_per_file = files_per_bucket, rows_per_file
+        self.columns = [*names_of(schema), *self.order]
+        self.stored = ", ".join(s for s in (schema, order, f"{BUCKET} int") if s)
+
+    # ---- files -----------------------------------------------------------------------
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+
+    def _fs(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _inside(self, path) -> list:
+        fs = self._fs()
+        return [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def files(self, bucket: int) -> list[str]:
+        return [p.getName() for p in self._inside(self._path(f"{BUCKET}={bucket}")) if p.getName().startswith("part-")]
+
+    def finish(self) -> None:
+        """Move what a complete write left beside the table, and clear away an incomplete one."""
+        fs, beside = self._fs(), self._path("_next")
+        if not fs.exists(beside):
+            return
+        if fs.exists(self._path("_next", "_SUCCESS")):
+            for folder in self._inside(self._path("_next", f"{KIND}=replace")):
+                target = self._path(folder.getName())
+                fs.delete(target, True)
+                fs.rename(folder, target)
+            for folder in self._inside(self._path("_next", f"{KIND}=add")):
+                target = self._path(folder.getName())
+                fs.mkdirs(target)
+                for file in self._inside(folder):
+                    fs.rename(file, self._path(folder.getName(), file.getName()))
+        fs.delete(beside, True)
 
     # ---- reading ---------------------------------------------------------------------
-    def _read(self, parts: Parts) -> DataFrame:
-        schema = f"{self.schema}, version bigint, {MONTH} string"
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path}/data/version={v}/{MONTH}={m}" for m, v in sorted(parts)]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def held(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The stored rows with their order columns and bucket; only the folders of ``buckets`` are opened."""
+        if not any(p.getName().startswith(f"{BUCKET}=") for p in self._inside(self._path())):
+            return self.spark.createDataFrame([], self.stored)
+        rows = self.spark.read.schema(self.stored).parquet(self.path)
+        return rows if buckets is None else rows.where(F.col(BUCKET).isin(sorted(buckets)))
 
     def read(self) -> DataFrame:
-        return self._read(self.parts()).drop("version", MONTH)
+        self.finish()
+        return self.held().drop(*self.order, BUCKET)
 
     # ---- writing ---------------------------------------------------------------------
-    def _write(self, rows: DataFrame, version: int, sizes: dict[str, int]) -> None:
-        """Write months with as many files as their rows need, so no month is one task's work."""
-        files = F.create_map(*[F.lit(x) for m, n in sizes.items() for x in (m, -(-n // self.rows_per_file) or 1)])
-        salt = F.pmod(F.xxhash64(*self.keys), files[F.col(MONTH)])
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets``
+
+    def _put(self, fresh: DataFrame, total: int) -> Merged:
+        """Write ``fresh`` (columns, bucket, ``_replaces``), one row per key."""
+        counts = fresh.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), F.count_if("_replaces").alias("replaced")).collect()
+        if not counts:
+            return Merged(older=total)
+        anew = [r[BUCKET] for r in counts if r["replaced"] or len(self.files(r[BUCKET])) >= self.files_per_bucket]
+        columns = [*self.columns, BUCKET]
+        out = fresh.select(*columns, F.when(F.col(BUCKET).isin(anew), "replace").otherwise("add").alias(KIND))
+        if anew:
+            kept = self.held(anew).join(fresh.select(*self.keys), self.keys, "left_anti")
+            out = out.unionByName(kept.select(*columns, F.lit("replace").alias(KIND)))
         (
-            rows.repartition(MONTH, salt)
-            .sortWithinPartitions(MONTH, *self.keys)
+            out.repartition(KIND, BUCKET)
+            .sortWithinPartitions(KIND, BUCKET, *self.keys)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy(MONTH)
-            .parquet(f"{self.path}/data/version={version}")
+            .option("maxRecordsPerFile", self.rows_per_file)
+            .partitionBy(KIND, BUCKET)
+            .parquet(f"{self.path}/_next")
         )
-
-    def _month(self) -> Column:
-        if not self.dated:
-            return F.lit(NO_MONTH)
-        return F.coalesce(F.date_format("event_date", "yyyy-MM"), F.lit("none"))
-
-    def merge(self, batch: DataFrame) -> int:
-        """Upsert ``batch`` (one row per key) and return its number of rows."""
-        now = self.version()
-        parts = self.parts(now)
-        # The batch feeds the month counts, the key lookup and the write.
-        rows = batch.withColumn(MONTH, self._month()).persist()
+        self.finish()
+        written, replaced = sum(r["n"] for r in counts), sum(r["replaced"] for r in counts)
+        return Merged(written - replaced, replaced, total - written)
+
+    def candidates(self, rows: DataFrame, buckets: list[int]) -> DataFrame:
+        """The rows (with their bucket) that are new or newer than the held ones, and whether they replace one."""
+        held = self.held(buckets).select(*self.keys, F.lit(True).alias("_replaces"), *[F.col(c).alias(f"_held_{c}") for c in self.order])
+        newer = F.col("_replaces").isNull()
+        if self.order:
+            newer = newer | (F.struct(*self.order) > F.struct(*[F.col(f"_held_{c}").alias(c) for c in self.order]))
+        else:
+            newer = F.lit(True)
+        joined = rows.join(held, self.keys, "left").where(newer)
+        return joined.select(*self.columns, BUCKET, F.coalesce("_replaces", F.lit(False)).alias("_replaces"))
+
+    def merge(self, batch: DataFrame, collapsed: bool = False) -> Merged:
+        """Upsert ``batch``; copies of a key collapse to the newest first, unless the caller has done so."""
+        self.finish()
+        if not collapsed:
+            batch = newest(batch, self.keys, self.order) if self.order else batch.dropDuplicates(self.keys)
+        rows = batch.select(*self.columns, self._bucket().alias(BUCKET)).persist()  # counted, looked up and written
+        fresh = None
         try:
-            brought = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
-            if not brought:
-                return 0
-            keys = rows.select(*self.keys)
-            replaced: dict[str, int] = {}
-            if parts:
-                hits = self._read(parts).select(*self.keys, MONTH).join(keys, self.keys, "left_semi")
-                replaced = {r[MONTH]: r["count"] for r in hits.groupBy(MONTH).count().collect()}
-            columns = [*batch.columns, MONTH]
-            out = rows.select(*columns)
-            stale = {p: n for p, n in parts.items() if p[0] in replaced}
-            if stale:
-                kept_rows = self._read(stale).select(*columns).join(keys, self.keys, "left_anti").select(*columns)
-                out = kept_rows.unionByName(out)
-            sizes = dict(brought)
-            for (month, _), n in stale.items():
-                sizes[month] = sizes.get(month, 0) + n
-            sizes = {m: n - replaced.get(m, 0) for m, n in sizes.items()}
-            self._write(out, now + 1, sizes)
+            counted = {r[BUCKET]: r["count"] for r in rows.groupBy(BUCKET).count().collect()}
+            if not counted:
+                return Merged()
+            fresh = self.candidates(rows, list(counted)).persist()
+            return self._put(fresh, sum(counted.values()))
         finally:
             rows.unpersist()
-        # A month that lost its last row to another month has no files any more.
-        new = {(m, now + 1): n for m, n in sizes.items() if n > 0}
-        self._publish(now + 1, {p: n for p, n in parts.items() if p not in stale} | new)
-        return sum(brought.values())
-
-    def compact(self, most: int = 8) -> list[str]:
-        """Rewrite months that consist of more than ``most`` appends as one version."""
-        now = self.version()
-        parts = self.parts(now)
-        months = [m for m, _ in parts]
-        crowded = {p: n for p, n in parts.items() if months.count(p[0]) > most}
-        if crowded:
-            sizes: dict[str, int] = {}
-            for (month, _), n in crowded.items():
-                sizes[month] = sizes.get(month, 0) + n
-            self._write(self._read(crowded).drop("version"), now + 1, sizes)
-            new = {(m, now + 1): n for m, n in sizes.items()}
-            self._publish(now + 1, {p: n for p, n in parts.items() if p not in crowded} | new)
-        return sorted({m for m, _ in crowded})
-
-    def merge_dimension(self, batch: DataFrame, now: Column) -> int:
+            if fresh is not None:
+                fresh.unpersist()
+
+    def merge_dimension(self, batch: DataFrame, now: Column) -> Merged:
         """Type 1 update: known values are replaced by known values only.
 
         Rows that bring nothing new are left out, so a batch of already known
         ids writes nothing.  ``created_at`` survives, ``updated_at`` moves.
         """
-        names = [c for c in batch.columns if c not in self.keys]
-        old = self.read().select(
-            *self.keys, F.lit(True).alias("_held"), "created_at", "updated_at", *[F.col(n).alias(f"_old_{n}") for n in names]
-        )
-        joined = batch.join(old, self.keys, "left")
-        differs = F.col("_held").isNull()
-        for n in names:
-            differs = differs | (F.col(n).isNotNull() & ~F.col(n).eqNullSafe(F.col(f"_old_{n}")))
-        changed = joined.where(differs).select(
-            *self.keys,
-            *[F.coalesce(F.col(n), F.col(f"_old_{n}")).alias(n) for n in names],
-            F.coalesce("created_at", now.cast("timestamp_ntz")).alias("created_at"),
-            F.when(F.col("_held"), now.cast("timestamp_ntz")).alias("updated_at"),
-        )
-        return self.merge(changed)
+        self.finish()
+        names = [c for c in self.columns if c not in (*self.keys, "created_at", "updated_at")]
+        absent = [F.lit(None).alias(n) for n in names if n not in batch.columns]
+        rows = batch.dropDuplicates(self.keys).select("*", *absent, self._bucket().alias(BUCKET)).persist()
+        fresh = None
+        try:
+            held = self.held(self._touched(rows)).select(
+                *self.keys, F.lit(True).alias("_held"), "created_at", "updated_at", *[F.col(n).alias(f"_old_{n}") for n in names]
+            )
+            differs = F.col("_held").isNull()
+            for n in names:
+                differs = differs | (F.col(n).isNotNull() & ~F.col(n).eqNullSafe(F.col(f"_old_{n}")))
+            fresh = rows.join(held, self.keys, "left").where(differs).select(
+                *self.keys,
+                *[F.coalesce(F.col(n), F.col(f"_old_{n}")).alias(n) for n in names],
+                F.coalesce("created_at", now.cast("timestamp_ntz")).alias("created_at"),
+                F.when(F.col("_held"), now.cast("timestamp_ntz")).alias("updated_at"),
+                BUCKET,
+                F.coalesce("_held", F.lit(False)).alias("_replaces"),
+            )
+            fresh = fresh.persist()
+            return self._put(fresh, 0)._replace(older=0)
+        finally:
+            rows.unpersist()
+            if fresh is not None:
+                fresh.unpersist()
+
+
+def newest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The newest row of each key with its order columns; copies combine before the shuffle."""
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("r"))
+    return last.select(*keys, *[F.col(f"r.{c}").alias(c) for c in (*order, *rest)])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemart.schemas import ISO_8601, OPTIONAL_FIELDS, REQUIRED_FIELDS
+from tidemart.schemas import ISO_8601, OPTIONAL_FIELDS, PAYLOAD_FIELDS, REQUIRED_FIELDS
 
 # Shapes accepted besides the contract's: a bare date, or a time without seconds.
 LENIENT_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -20,13 +21,46 @@ def _kind(message: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(message, path, "variant"))
 
 
+def _whole(kind: Column) -> Column:
+    return kind == "BIGINT"
+
+
+def _number(kind: Column) -> Column:
+    return _whole(kind) | kind.startswith("DECIMAL") | kind.startswith("DOUBLE")
+
+
+def fits(message: Column, path: str, wanted: str) -> Column:
+    """Whether the value at ``path`` is absent, null, or of the wanted type without loss."""
+    kind = _kind(message, path)
+    if wanted == "string":
+        right = kind == "STRING"
+    else:
+        right = (_whole if wanted in ("int", "bigint") else _number)(kind) & F.try_variant_get(message, path, wanted).isNotNull()
+    return F.coalesce((kind == "VOID") | right, kind.isNull())
+
+
+def payload_types(topic: str) -> dict[str, str]:
+    """The contract's types of a topic's payload fields."""
+    return {f.name: f.dataType.simpleString() for f in StructType.fromDDL(PAYLOAD_FIELDS[topic])}
+
+
+def wrong_types(message: Column, topic: Column) -> Column:
+    """Names of the envelope fields that are no text and of the payload fields that are not of their topic's types."""
+    texts = [f for f in REQUIRED_FIELDS + OPTIONAL_FIELDS if f not in ("payload", "event_ts")]
+    of = lambda types, prefix: F.array(*[F.when(~fits(message, f"$.{prefix}{name}", kind), F.lit(prefix + name)) for name, kind in types.items()])
+    payload = F.array().cast("array<string>")
+    for known in PAYLOAD_FIELDS:
+        payload = F.when(topic == known, of(payload_types(known), "payload.")).otherwise(payload)
+    return F.filter(F.concat(of(dict.fromkeys(texts, "string"), ""), payload), lambda f: f.isNotNull())
+
+
 def checked(df: DataFrame, value: str = "value", strict_types: bool = False) -> DataFrame:
     """Adds ``text`` (the decoded message) and ``error_reason`` (NULL when valid).
 
     Rules in order: null message, not UTF-8, not JSON, not an object, required
     keys missing (a present null passes), payload not an object, event_ts not
-    ISO 8601.  ``strict_types`` adds the contract's rule that envelope fields
-    are strings.
+    ISO 8601.  ``strict_types`` adds the contract's rule on data types: envelope fields
+    are strings, payload fields have the types of their topic (column ``topic``).
     """
     raw = F.col(value)
     text = raw.cast("string")
@@ -45,11 +79,7 @@ def checked(df: DataFrame, value: str = "value", strict_types: bool = False) ->
         .when((F.coalesce(_kind(message, "$.event_ts"), F.lit("")) != "STRING") | ~is_iso8601(stamp), "event_ts_not_iso8601")
     )
     if strict_types:
-        texts = [f for f in REQUIRED_FIELDS + OPTIONAL_FIELDS if f not in ("payload", "event_ts")]
-        wrong = F.filter(
-            F.array(*[F.when(~F.coalesce(_kind(message, f"$.{f}"), F.lit("VOID")).isin("STRING", "VOID"), F.lit(f)) for f in texts]),
-            lambda f: f.isNotNull(),
-        )
+        wrong = wrong_types(message, F.col("topic") if "topic" in df.columns else F.lit(""))
         rules = rules.when(F.size(wrong) > 0, F.concat(F.lit("wrong_type: "), F.array_join(wrong, ",")))
     return parsed.withColumn("error_reason", rules).drop("_v")
 

@@ -9,18 +9,17 @@ or the same events landed twice leave the same tables.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemart.operators import facts as X
 from tidemart.operators.bulk import first_rows
-from tidemart.operators.merge import KeyedTable
+from tidemart.operators.merge import KeyedTable, Merged
+from tidemart.operators.validity import MISSING, set_aside
 from tidemart.schemas import KEYS, TOPICS
-from tidemart.sources.lake import ingest_ts, raw_topic_stream
+from tidemart.sources.lake import raw_topic_stream
 
 _EVENT_TAIL = "event_ts timestamp_ntz, event_date date, source_system string, schema_version string, ingestion_ts timestamp_ntz"
 _DIM_TAIL = "created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -56,9 +55,19 @@ FACT_OF = {
 }
 
 
+RECORD = (
+    "run_id string, dataset_name string, rows_in bigint, rows_out bigint, null_violations bigint, "
+    "duplicate_violations bigint, schema_violations bigint, set_aside bigint, dim_rows bigint, status string"
+)
+
+
 @dataclass
 class Load:
-    """One warehouse folder and the settings of the runs that fill it."""
+    """One warehouse folder and the settings of the runs that fill it.
+
+    Every row of a batch is merged, a copy, or set aside with a reason; what is set
+    aside is kept as JSON under ``_set_aside``, by topic and batch.
+    """
 
     spark: SparkSession
     raw: str
@@ -68,13 +77,15 @@ class Load:
     files_per_batch: int = 1000
     as_of: Column | None = None
     run_id: str = "run"
+    buckets: int = 16
     metrics: list[dict] = field(default_factory=list)
 
     def now(self) -> Column:
         return F.current_timestamp() if self.as_of is None else self.as_of
 
     def table(self, name: str) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.warehouse}/{name}", KEYS[name], STORED[name], name.startswith("fact_"))
+        order = X.ORDER if name.startswith("fact_") else ""
+        return KeyedTable(self.spark, f"{self.warehouse}/{name}", KEYS[name], STORED[name], order, self.buckets)
 
     # ---- one batch -----------------------------------------------------------------
     def dimensions(self, topic: str, raw: DataFrame) -> dict[str, DataFrame]:
@@ -100,62 +111,84 @@ class Load:
             rows = first_rows(X.products_from_details(self.product_details), "product_id")
             self.table("dim_product").merge_dimension(rows, self.now())
 
-    def fact(self, topic: str, raw: DataFrame) -> DataFrame:
+    def fact(self, topic: str, raw: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The fact rows of valid raw rows, one per key, and the items for which no seller is known."""
         if topic != "inventory_events":
-            return getattr(X, FACT_OF[topic])(raw, self.now())
-        items = X.fact_order_items(raw)
+            return getattr(X, FACT_OF[topic])(raw, self.now(), ordered=True), None
+        items = X.fact_order_items(raw, ordered=True)
         if raw.where("seller_id is null or seller_id = ''").isEmpty():
-            return items  # nothing to look up, so the event history is not opened
-        return X.backfill_sellers(items, self.table("fact_order_events").read())
+            return items, None  # nothing to look up, so the event history is not opened
+        found = X.find_sellers(items, self.table("fact_order_events").read()).persist()
+        return found.where("seller_id is not null"), found.where("seller_id is null")
+
+    def _put_aside(self, rows: DataFrame, topic: str, part: str) -> None:
+        """Keep refused rows (with their ``reason``) whole; the part names the folder, so a repeated batch replaces it."""
+        body = F.to_json(F.struct(*[c for c in rows.columns if c != "reason"]), {"ignoreNullFields": "false"})
+        rows.select("reason", body.alias("row")).write.mode("overwrite").parquet(f"{self.warehouse}/_set_aside/topic={topic}/part={part}")
+
+    def set_aside(self) -> DataFrame:
+        """Everything refused so far: topic, reason, row."""
+        return self.spark.read.schema("reason string, row string, topic string, part string").parquet(f"{self.warehouse}/_set_aside").drop("part")
 
     def process(self, topic: str):
         def run(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
+            name, part = FACT_OF[topic], f"{self.run_id}-{batch_id}"
+            seen = Observation()
+            missing = F.col("reason").startswith(MISSING)
+            other_version = F.col("reason").isNull() & ~F.coalesce(F.col("schema_version").startswith("1."), F.lit(False))
+            judged = batch.withColumn("reason", set_aside(topic)).persist()
+            # Observed in the pass that fills the cache, at the root of its plan: below an operator that
+            # turns out empty, the runtime may drop the observation.
+            counted = judged.observe(
+                seen,
+                F.count(F.lit(1)).alias("rows_in"),
+                F.count("reason").alias("set_aside"),
+                F.count_if(missing).alias("null_violations"),
+                F.count_if(F.col("reason").isNotNull() & ~missing | other_version).alias("schema_violations"),
+            )
             try:
-                rows, fact = batch.where(ingest_ts().isNotNull()), FACT_OF[topic]
-                key = [F.col(f"payload.{c}" if c == "order_item_id" else c) for c in KEYS[fact]]
-                # One pass fills the cache and counts; everything below reads the cache.
-                seen = batch.agg(
-                    F.count(F.lit(1)).alias("rows_in"),
-                    F.count_if(F.col("order_id").isNull() | F.col("event_ts").isNull() | ingest_ts().isNull()).alias("null_violations"),
-                    F.count_distinct(*key).alias("keys"),
-                    F.count_if(reduce(and_, [c.isNotNull() for c in key])).alias("keyed"),
-                    F.count_if(~F.col("schema_version").startswith("1.")).alias("schema_violations"),
-                ).first()
-                for name, dim in self.dimensions(topic, rows).items():
-                    self.table(name).merge_dimension(dim, self.now())
-                merged = self.table(fact).merge(self.fact(topic, rows))
-                self._record(topic, batch_id, fact, seen.asDict(), merged)
+                counted.write.format("noop").mode("overwrite").save()
+                rows = judged.where("reason is null").drop("reason")
+                dim_rows = sum(self.table(d).merge_dimension(dim, self.now()).rows for d, dim in self.dimensions(topic, rows).items())
+                fact, unsold = self.fact(topic, rows)
+                merged = self.table(name).merge(fact, collapsed=True)
+                counts = dict(seen.get)
+                if counts["set_aside"]:
+                    self._put_aside(judged.where("reason is not null"), topic, part)
+                if unsold is not None:
+                    lacking = unsold.count()
+                    if lacking:
+                        self._put_aside(unsold.withColumn("reason", F.lit("missing_seller")), topic, f"{part}-unsold")
+                    counts["set_aside"] += lacking
+                    counts["null_violations"] += lacking
+                self.metrics.append(self._record(topic, f"{topic}-{batch_id}", counts, merged, dim_rows))
             finally:
-                batch.unpersist()
+                judged.unpersist()
 
         return run
 
-    def _record(self, topic: str, batch_id: int, name: str, seen: dict, rows_out: int) -> None:
-        """One quality row per batch.
+    def _record(self, topic: str, batch: str, seen: dict, merged: Merged, dim_rows: int, status: str = "") -> dict:
+        """One quality row per batch, and one for a topic that had none in a run.
 
         Copies of a key are expected and merge away.  A batch fails its check if it
-        has null or schema violations or loses rows that are not copies.
+        has null or schema violations, that is, rows set aside or of a foreign version.
         """
-        copies = seen["keyed"] - seen["keys"]
-        bad = seen["null_violations"] + seen["schema_violations"] + (seen["rows_in"] - copies - rows_out)
         row = {
-            "run_id": f"{self.run_id}-{topic}-{batch_id}",
-            "dataset_name": name,
+            "run_id": f"{self.run_id}-{batch}",
+            "dataset_name": FACT_OF[topic],
             "rows_in": seen["rows_in"],
-            "rows_out": rows_out,
+            "rows_out": merged.rows,
             "null_violations": seen["null_violations"],
-            "duplicate_violations": copies,
+            "duplicate_violations": seen["rows_in"] - seen["set_aside"] - merged.rows,
             "schema_violations": seen["schema_violations"],
-            "status": "failed" if bad else "success",
+            "set_aside": seen["set_aside"],
+            "dim_rows": dim_rows,
+            "status": status or ("failed" if seen["null_violations"] + seen["schema_violations"] else "success"),
         }
-        self.metrics.append(row)
-        order = list(row)
-        schema = ", ".join(f"{c} {'string' if c in ('run_id', 'dataset_name', 'status') else 'bigint'}" for c in order)
-        frame = self.spark.createDataFrame([tuple(row.values())], schema)
-        frame = frame.withColumn("run_ts", self.now().cast("timestamp_ntz"))
+        frame = self.spark.createDataFrame([tuple(row.values())], RECORD).withColumn("run_ts", self.now().cast("timestamp_ntz"))
         # The batch id names the file, so a repeated batch replaces its record.
         frame.write.mode("overwrite").parquet(f"{self.warehouse}/fact_data_quality/{row['run_id']}")
+        return row
 
     # ---- runs ------------------------------------------------------------------------
     def start(self, topic: str) -> StreamingQuery:
@@ -167,19 +200,53 @@ class Load:
             .start()
         )
 
-    def run(self, topics: tuple[str, ...] = TOPICS) -> None:
-        """Load everything that is waiting, topic after topic in the fixed order.
+    def run(self, topics: tuple[str, ...] = TOPICS) -> list[dict]:
+        """Load everything that is waiting, topic after topic in the fixed order, and say what each topic did.
 
         Order events come first: they name the sellers that items may lack.
         """
         self.sideload()
-        for topic in topics:
+        done = []
+        for topic in (t for t in TOPICS if t in topics):
+            before = len(self.metrics)
             self.start(topic).awaitTermination()
+            records = self.metrics[before:]
+            if not records:
+                nothing = dict.fromkeys(("rows_in", "set_aside", "null_violations", "schema_violations"), 0)
+                records = [self._record(topic, f"{topic}-idle", nothing, Merged(), 0, "no_new_data")]
+            done.append(topic_summary(topic, records))
+        return done
 
     def quality_runs(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.warehouse}/fact_data_quality/*")
 
 
+def topic_summary(topic: str, records: list[dict]) -> dict:
+    """What a run did for one topic, summed over its batches."""
+    total = lambda name: sum(r[name] for r in records)
+    statuses = {r["status"] for r in records}
+    return {
+        "topic": topic,
+        "raw_count": total("rows_in"),
+        "dim_written": total("dim_rows"),
+        "fact_written": total("rows_out"),
+        "duplicates_skipped": total("duplicate_violations"),
+        "set_aside": total("set_aside"),
+        "status": next(s for s in ("failed", "success", "no_new_data") if s in statuses),
+    }
+
+
+def run_total(summaries: list[dict]) -> dict:
+    """The totals of a run over its topics."""
+    total = lambda name: sum(s[name] for s in summaries)
+    counts = ("raw_count", "dim_written", "fact_written", "duplicates_skipped", "set_aside")
+    return {
+        "processors_run": len(summaries),
+        **{name: total(name) for name in counts},
+        "no_new_data_processors": sum(s["status"] == "no_new_data" for s in summaries),
+    }
+
+
 def deduplicated(events: DataFrame, delay: str = "2 days") -> DataFrame:
     """Drop repeated event ids within the watermark of a stream of raw records."""
     stamped = events.withColumn("event_time", F.try_to_timestamp("event_ts")).where("event_time is not null")

@@ -79,7 +79,7 @@ def _append(df: DataFrame, path: str, spread: int) -> None:
 def land_batch(
     base: str,
     written_at: Column | None = None,
-    strict_types: bool = False,
+    strict_types: bool = True,
     grain: str = "hour",
     spread: int = SPREAD,
 ) -> Callable[[DataFrame, int], None]:
