@@ -195,7 +195,7 @@ select run, count(*) as lines from verdicts cross join (values ('first'), ('rest
 where error_reason is null group by run""",
     "raw_lake_audit": """
 select topic, 2 * count(*) as "rows", 0::bigint as rows_without_metadata from e_all group by topic""",
-    "streaming_dedupe": "select event_id, order_id, event_type from e_paid",
+    "streaming_dedupe": "select topic, event_id, order_id, event_type from e_all",
     "message_schema_drift": """
 select 'channel' as unknown_fields, 'ingestion_hint_ts,source_table,trace_id,customer_id,seller_id' as missing_fields,
   false as major_changed, count(*) as messages
@@ -399,4 +399,20 @@ SQL["validate_payload_types"] = f"""
   ('inventory_events', 1, 'payload.order_item_id'), ('inventory_events', 2, 'payload.price'))
 select e.topic, event_id, 'wrong_type: ' || field as error_reason
 from e_all e left join wrong w on w.topic = e.topic and w.remainder = {NUMBER} % 7"""
+SQL["batch_runs"] = """
+select topic, case topic when 'inventory_events' then order_id || '|' || seq else event_id end as key, event_ts::date as event_date from e_all"""
+SQL["payload_schema_drift"] = f"""
+, m as (select topic, event_type, {NUMBER} % 7 as r, order_id from e_all),
+retyped(topic, r, field, kind) as (values
+  ('order_events', 1, 'item_count', 'STRING'), ('order_events', 2, 'order_value', 'BOOLEAN'), ('order_events', 3, 'purchase_ts', 'BIGINT'),
+  ('payment_events', 1, 'payment_value', 'STRING'), ('payment_events', 2, 'payment_installments', 'DECIMAL(2,1)'),
+  ('payment_events', 4, 'payment_type', 'ARRAY<BIGINT>'), ('delivery_events', 1, 'carrier_status', 'BOOLEAN'),
+  ('delivery_events', 2, 'shipped_ts', 'BIGINT'), ('review_events', 1, 'review_score', 'OBJECT<n: BIGINT>'),
+  ('inventory_events', 1, 'order_item_id', 'STRING'), ('inventory_events', 2, 'price', 'STRING'))
+select topic, field, 'retyped to ' || kind as drift, count(*) as messages from m join retyped using (topic, r) group by all
+union all select topic, 'coupon', 'unknown', count(*) from m where r = 5 group by topic
+union all select topic, 'review_key', 'unknown', count(*) from m where r = 6 and topic = 'review_events' group by topic
+union all select topic, 'review_id', 'absent', count(*) from m where r = 6 and topic = 'review_events' group by topic
+union all select topic, 'estimated_delivery_ts', 'absent', count(*) from m where event_type = 'order_approved' group by topic
+"""
 assert not set(SQL) & set(ANALYTICS)

@@ -97,3 +97,29 @@ def test_schema_drift(spark):
     assert row.unknown_fields == ["colour"]
     assert "order_id" in row.missing_fields and "event_id" not in row.missing_fields
     assert row.major_changed is True
+
+
+def test_payload_fields_have_the_types_of_their_topic(spark):
+    import json
+
+    from tidemart.operators.validation import payload_drift
+
+    head = {"event_id": "e", "event_type": "t", "schema_version": "1.0", "event_ts": "2024-01-01T00:00:00Z", "source_system": "s", "order_id": "o"}
+    cases = [
+        ("payment_events", {"payment_value": 1.5, "payment_installments": 2, "payment_type": "x"}, None),
+        ("payment_events", {"payment_value": 3, "payment_installments": None}, None),
+        ("payment_events", {"payment_value": "3"}, "wrong_type: payload.payment_value"),
+        ("payment_events", {"payment_value": 1e40}, "wrong_type: payload.payment_value"),
+        ("payment_events", {"payment_installments": 2.5, "payment_type": 1}, "wrong_type: payload.payment_type,payload.payment_installments"),
+        ("review_events", {"review_score": 3_000_000_000}, "wrong_type: payload.review_score"),
+        ("review_events", {"review_score": [5], "payment_value": "other topic"}, "wrong_type: payload.review_score"),
+        ("unknown_topic", {"review_score": [5]}, None),
+    ]
+    rows = [(t, json.dumps({**head, "payload": p}).encode(), n) for n, (t, p, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "topic string, value binary, n int")
+    assert [r.error_reason for r in checked(df, strict_types=True).orderBy("n").collect()] == [reason for *_, reason in cases]
+    assert {r.error_reason for r in checked(df).collect()} == {None}
+    drift = {(r.topic, r.field, r.drift): r.messages for r in payload_drift(checked(df)).collect()}
+    assert drift["payment_events", "payment_value", "retyped to STRING"] == 1 and drift["payment_events", "payment_value", "absent"] == 1
+    assert drift["review_events", "payment_value", "unknown"] == 1 and drift["unknown_topic", "review_score", "unknown"] == 1
+    assert ("payment_events", "payment_installments", "retyped to BIGINT") not in drift

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import bulk, curated, facts, incremental, snapshots, timeline
 from tidemart.operators.merge import KeyedTable
-from tidemart.operators.validation import checked, is_iso8601, schema_drift
+from tidemart.operators.validation import checked, is_iso8601, payload_drift, schema_drift
 from tidemart.schemas import KEYS, TOPICS
 from tidemart.session import shared_dir
 from tidemart.sources import lake
@@ -24,6 +24,7 @@ from tidemart.sources.projection import SourceTables
 from tidemart.sources.relational import derived_tables, read_csv_tables
 from tidemart.sources.star import Star
 from tidemart.streaming import landing
+from tidemart.streaming.batch_runs import BatchRuns
 from tidemart.streaming.ingest import FACT_OF, STORED, Load, deduplicated, run_total
 
 AS_OF = "2001-12-05 00:00:00"
@@ -143,6 +144,7 @@ class Pipeline:
             product_details=snapshots.read_latest(self.spark, self.details, "product_details"),
             files_per_batch=10_000,
             as_of=as_of(),
+            buckets=4,
         )
         load.run()
         return load
@@ -165,7 +167,7 @@ class Pipeline:
         path = f"{self.base}/messages/flawed"
         timeline.as_messages(self.flawed_messages(), as_of()).write.mode("overwrite").parquet(path)
         zone = self.land(path, "flawed", "flawed", grain="month", spread=1)
-        load = Load(self.spark, f"{zone}/raw", f"{self.base}/flawed-warehouse", files_per_batch=10_000, as_of=as_of())
+        load = Load(self.spark, f"{zone}/raw", f"{self.base}/flawed-warehouse", files_per_batch=10_000, as_of=as_of(), buckets=4)
         return load, [load.run(), load.run()]
 
     # ---- the events table as messages, every 50th malformed ------------------------------
@@ -457,23 +459,31 @@ def raw_lake_inventory(p: Pipeline) -> DataFrame:
 
 @job
 def streaming_dedupe(p: Pipeline) -> DataFrame:
-    """The twice-landed payments as a stream without repeated event ids.
-
-    The state keeps the ids of the watermark's span: days for a live stream.  A
-    replay of years keeps them all; ``staging_events_clean`` is the batch way.
-    """
-    out = f"{p.base}/deduplicated-{shared_dir(p.spark, 'x')[-12:]}"
-    stream = lake.raw_topic_stream(p.spark, p.order_zone, "payment_events")
-    query = (
-        deduplicated(stream, "36500 days")  # the log replays years of history
-        .select("event_id", "order_id", "event_type")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}/_checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{out}/rows")
-    )
-    query.awaitTermination()
-    return p.spark.read.parquet(f"{out}/rows")
+    """The twice-landed events of all topics as streams without repeated event ids."""
+    out, found = shared_dir(p.spark, "deduplicated"), []
+    for topic in TOPICS:
+        stream = lake.raw_topic_stream(p.spark, p.order_zone, topic, files_per_batch=10_000)
+        rows = deduplicated(stream, "3 days").select("topic", "event_id", "order_id", "event_type")
+        query = (
+            rows.writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/_checkpoint/{topic}")
+            .trigger(availableNow=True)
+            .start(f"{out}/{topic}")
+        )
+        query.awaitTermination()
+        found.append(p.spark.read.schema("topic string, event_id string, order_id string, event_type string").parquet(f"{out}/{topic}"))
+    return curated.stack(found)
+
+
+@job
+def payload_schema_drift(p: Pipeline) -> DataFrame:
+    """Unknown, absent and retyped payload fields over the events of all topics, some of them altered."""
+    value, n = F.col("value"), order_number("key")
+    for topic, remainder, field, bad in RETYPED:
+        value = F.when((F.col("topic") == topic) & (n % 7 == remainder), with_field(field, bad)).otherwise(value)
+    value = F.when(n % 7 == 5, F.replace(value, F.lit('"payload":{'), F.lit('"payload":{"coupon":"x",'))).otherwise(value)
+    value = F.when((n % 7 == 6) & (F.col("topic") == "review_events"), F.replace(value, F.lit('"review_id"'), F.lit('"review_key"'))).otherwise(value)
+    return payload_drift(timeline.all_envelopes(p.tables, as_of()).select("topic", value.alias("text")))
 
 
 @job
@@ -759,6 +769,29 @@ def upsert_late_older_event(p: Pipeline) -> DataFrame:
     return table.read().select("event_id", "order_id", "payment_status")
 
 
+@job
+def batch_runs(p: Pipeline) -> DataFrame:
+    """Keys and dates of all facts after batch runs, with the files of some orders arriving late."""
+    base = shared_dir(p.spark, "batch-runs")
+    lines = p.spark.read.schema("value string, topic string, dt date, hour int").text(p.order_zone)
+    late = order_number("order_id") % 5 == 0
+
+    def land(which: Column) -> None:
+        some = lines.withColumn("order_id", F.get_json_object("value", "$.order_id")).where(which).drop("order_id")
+        some.repartition("topic", "dt", "hour").write.mode("append").partitionBy("topic", "dt", "hour").text(f"{base}/raw")
+
+    load = Load(p.spark, f"{base}/raw", f"{base}/warehouse", as_of=as_of(), buckets=4)
+    runs = BatchRuns(load, f"{base}/progress")
+    land(~late)
+    runs.until_done()
+    land(late)  # files of hours that were read already
+    runs.until_done()
+    shown = lambda fact: F.concat_ws("|", *KEYS[fact]).alias("key")
+    return curated.stack(
+        [load.table(fact).read().select(F.lit(topic).alias("topic"), shown(fact), "event_date") for topic, fact in FACT_OF.items()]
+    )
+
+
 @job
 def staging_events_clean(p: Pipeline) -> DataFrame:
     return curated.staging_events_clean([p.raw(t) for t in TOPICS])

@@ -94,3 +94,31 @@ def schema_drift(df: DataFrame, text: str = "text", supported_major: str = "1")
         .withColumn("missing_fields", F.array_except(known, keys))
         .withColumn("major_changed", F.split(version, r"\.")[0] != supported_major)
     )
+
+
+def payload_drift(df: DataFrame, text: str = "text") -> DataFrame:
+    """Per topic and payload field: messages in which it is unknown, absent, or of another type than the contract's.
+
+    ``df`` has ``topic`` and the message text.  A null value is neither absent nor of a wrong
+    type.  Fields of a message become rows and are counted before the shuffle.
+    """
+    payload = F.try_variant_get(F.try_parse_json(text), "$.payload", "map<string, variant>")
+    held = df.select("topic", payload.alias("payload")).where("payload is not null")
+    found = held.select("topic", F.explode("payload").alias("field", "value")).select("topic", "field", F.schema_of_variant("value").alias("kind"))
+    kinds = found.groupBy("topic", "field", "kind").agg(F.count(F.lit(1)).alias("messages"))
+    rows = [(t, f, kind) for t in PAYLOAD_FIELDS for f, kind in payload_types(t).items()]
+    contract = df.sparkSession.createDataFrame(rows, "topic string, field string, wanted string")
+    kind, wanted = F.col("kind"), F.col("wanted")
+    right = F.when(wanted == "string", kind == "STRING").when(wanted.isin("int", "bigint"), _whole(kind)).otherwise(_number(kind))
+    judged = kinds.join(F.broadcast(contract), ["topic", "field"], "left").withColumn(
+        "drift", F.when(wanted.isNull(), "unknown").when((kind != "VOID") & ~right, F.concat(F.lit("retyped to "), kind))
+    )
+    totals = held.groupBy("topic").agg(F.count(F.lit(1)).alias("all_messages"))
+    present = kinds.groupBy("topic", "field").agg(F.sum("messages").alias("present"))
+    absent = (
+        F.broadcast(contract).join(totals, "topic").join(present, ["topic", "field"], "left")
+        .withColumn("messages", F.col("all_messages") - F.coalesce("present", F.lit(0)))
+        .where("messages > 0")
+    )
+    known = judged.where("drift is not null").groupBy("topic", "field", "drift").agg(F.sum("messages").alias("messages"))
+    return known.unionByName(absent.select("topic", "field", F.lit("absent").alias("drift"), "messages"))

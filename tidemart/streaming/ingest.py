@@ -19,7 +19,7 @@ from tidemart.operators.bulk import first_rows
 from tidemart.operators.merge import KeyedTable, Merged
 from tidemart.operators.validity import MISSING, set_aside
 from tidemart.schemas import KEYS, TOPICS
-from tidemart.sources.lake import raw_topic_stream
+from tidemart.sources.lake import ingest_ts, raw_topic_stream
 
 _EVENT_TAIL = "event_ts timestamp_ntz, event_date date, source_system string, schema_version string, ingestion_ts timestamp_ntz"
 _DIM_TAIL = "created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -210,13 +210,14 @@ class Load:
         for topic in (t for t in TOPICS if t in topics):
             before = len(self.metrics)
             self.start(topic).awaitTermination()
-            records = self.metrics[before:]
-            if not records:
-                nothing = dict.fromkeys(("rows_in", "set_aside", "null_violations", "schema_violations"), 0)
-                records = [self._record(topic, f"{topic}-idle", nothing, Merged(), 0, "no_new_data")]
-            done.append(topic_summary(topic, records))
+            done.append(topic_summary(topic, self.metrics[before:]) if len(self.metrics) > before else self.idle(topic))
         return done
 
+    def idle(self, topic: str) -> dict:
+        """Record that a run found nothing for a topic."""
+        nothing = dict.fromkeys(("rows_in", "set_aside", "null_violations", "schema_violations"), 0)
+        return topic_summary(topic, [self._record(topic, f"{topic}-idle", nothing, Merged(), 0, "no_new_data")])
+
     def quality_runs(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.warehouse}/fact_data_quality/*")
 
@@ -248,6 +249,18 @@ def run_total(summaries: list[dict]) -> dict:
 
 
 def deduplicated(events: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Drop repeated event ids within the watermark of a stream of raw records."""
-    stamped = events.withColumn("event_time", F.try_to_timestamp("event_ts")).where("event_time is not null")
-    return stamped.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+    """Drop repeated event ids of a stream of raw records, as far apart as ``delay`` in time of arrival.
+
+    The watermark follows the ingestion stamp, not the event's own time: copies come
+    from redelivery, so they arrive soon after each other, while a back-fill brings events of any age.
+    The state holds the ids of the last ``delay``; rows that arrive later than that
+    are dropped and counted by :func:`late_rows`.  Rows without a
+    readable stamp are left out; the load sets them aside.
+    """
+    stamped = events.withColumn("arrival", ingest_ts()).where("arrival is not null")
+    return stamped.withWatermark("arrival", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the query's state operators dropped because they came after the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
