@@ -157,3 +157,5 @@ scores as (
 select category, month, revenue, orders, avg_score from sales left join scores using (category, month)""",
 }
 SQL["mart_refresh"] = SQL["mart_payment_mix"]
+for _mart in ("daily_sales", "payment_mix", "delivery_sla", "order_funnel", "review_quality"):
+    SQL[f"mart_{_mart}_refresh"] = SQL[f"mart_{_mart}"]

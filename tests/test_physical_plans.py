@@ -121,3 +121,14 @@ def test_copies_collapse_before_the_shuffle(spark, star):
         text = plan_text(df)
         at = text.index(partial)
         assert "Exchange hashpartitioning" in text[:at]  # printed top down: the exchange is above
+
+
+def test_a_mart_refresh_opens_only_its_months(stored):
+    """Each dated fact of a mart is cut by its month folders; facts that bring no day are read whole."""
+    from tidemart.operators import curated
+
+    for name, facts in curated.DAY_OF.items():
+        text = plan_text(getattr(curated, name)(stored.in_months(["2020-02", "2020-03"], *facts)))
+        scans = re.findall(r"FileScan parquet .*?/(fact_\w+)\], PartitionFilters: \[(.*?)\], PushedFilters", text)
+        assert facts and {fact for fact, filters in scans if "event_month" in filters} == set(facts), name
+        assert all("event_month" in filters for fact, filters in scans if fact in facts)

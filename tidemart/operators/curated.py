@@ -12,7 +12,7 @@ from tidemart.functions.columns import mean, month_of, percent, ratio, total
 from tidemart.plans.observability import stack
 from tidemart.plans.overview import n_rows, orders_with_customer
 from tidemart.registry import plan
-from tidemart.sources.star import Star
+from tidemart.sources.star import Star, within
 
 SLA_HOURS = 48
 RESPONSE_SLA_HOURS = 24
@@ -187,22 +187,36 @@ def write_mart(mart: DataFrame, path: str) -> None:
     )
 
 
+#: The facts whose event_date is the day of a mart's rows; what else a mart joins is not cut to months.
+DAY_OF = {
+    "mart_daily_sales": ("fact_order_events",),
+    "mart_payment_mix": ("fact_payments",),
+    "mart_delivery_sla": ("fact_delivery_events",),
+    "mart_order_funnel": ("fact_order_events", "fact_delivery_events", "fact_reviews"),
+    "mart_review_quality": ("fact_reviews",),
+}
+
+
 def refresh_mart(star: Star, build: Callable[[Star], DataFrame], path: str, months: list[str]) -> None:
     """Replace the given months (yyyy-MM) of a stored mart as they are now, also those without rows any more.
 
-    The months are ranges of event_date, which reach the scan of the dated
-    facts; the other months are not touched.
+    Only the month folders of the mart's dated fact are opened, and only the
+    months' folders of the mart are replaced.  Emptied months go first, so a
+    run lost on the way leaves nothing that the next one does not put right.
     """
     spark = star.spark
-    touched = F.lit(False)
-    for m in months:
-        first = F.to_date(F.lit(f"{m}-01"))
-        touched = touched | F.col("event_date").between(first, F.last_day(first))
+    cut = star.in_months(months, *DAY_OF.get(build.__name__, ()))
     fresh = f"{path.rstrip('/')}_refresh-{uuid.uuid4().hex[:12]}"
-    write_mart(build(star).where(touched), fresh)
+    write_mart(build(cut).where(within(months)), fresh)
     rows = spark.read.schema(spark.read.parquet(path).schema).parquet(fresh)
     filled = {r.event_month for r in rows.select("event_month").distinct().collect()}  # at most the months named
-    write_mart(rows.drop("event_month"), path)
     folder = spark._jvm.org.apache.hadoop.fs.Path
-    for gone in [fresh, *(f"{path.rstrip('/')}/event_month={m}" for m in months if m not in filled)]:
-        folder(gone).getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder(gone), True)
+
+    def delete(name: str) -> None:
+        folder(name).getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder(name), True)
+
+    for month in months:
+        if month not in filled:
+            delete(f"{path.rstrip('/')}/event_month={month}")
+    write_mart(rows.drop("event_month"), path)
+    delete(fresh)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.sources.projection import BUILDERS, SourceTables
@@ -21,6 +21,19 @@ DIMS = tuple(t for t in BUILDERS if t.startswith("dim_"))
 DATED = tuple(t for t in FACTS if t != "fact_data_quality")
 
 
+#: The partition column of a stored fact.
+MONTH = "event_month"
+
+
+def within(months: list[str], day: str = "event_date") -> Column:
+    """Whether a day lies in one of the months, as ranges that reach a scan."""
+    out = F.lit(False)
+    for m in months:
+        first = F.to_date(F.lit(f"{m}-01"))
+        out = out | F.col(day).between(first, F.last_day(first))
+    return out
+
+
 class Star:
     """The twelve tables plus the row subsets most queries start from."""
 
@@ -39,11 +52,7 @@ class Star:
 
     @classmethod
     def stored(cls, spark: SparkSession, path: str) -> "Star":
-        def load(name: str) -> DataFrame:
-            df = spark.read.parquet(f"{path}/{name}")
-            return df.drop("event_month") if name in DATED else df
-
-        star = cls(spark, load)
+        star = cls(spark, lambda name: spark.read.parquet(f"{path}/{name}"))
         star.path = path
         return star
 
@@ -66,10 +75,24 @@ class Star:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
-            df = self._load(name)
+            df = self._load(name).drop(MONTH)
             self._frames[name] = F.broadcast(df) if name in BOUNDED else df
         return self._frames[name]
 
+    def in_months(self, months: list[str], *facts: str) -> "Star":
+        """The same tables, with the named facts cut to these months (yyyy-MM) of event_date.
+
+        A stored fact is cut by its month folders, so the others are not opened.
+        """
+
+        def load(name: str) -> DataFrame:
+            df = self._load(name)
+            if name not in facts:
+                return df
+            return df.where(F.col(MONTH).isin(months)) if MONTH in df.columns else df.where(within(months))
+
+        return Star(self.spark, load)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in BUILDERS:
             return self.table(name)
