@@ -161,12 +161,12 @@ DATED_MARTS: dict[str, Callable[[Star], DataFrame]] = {
 
 def staging_events_clean(raw_topics: list[DataFrame]) -> DataFrame:
     """Envelopes of all topics, typed, one row per event id, without broken rows."""
-    from tidemart.operators.facts import LATEST, latest_by, stamp
+    from tidemart.operators.facts import latest_by, read_order, stamp
 
     names = ("event_type", "schema_version", "source_system", "order_id", "customer_id", "seller_id")
     rows = stack(
         [
-            raw.select("event_id", "topic", *names, stamp("event_ts").alias("event_ts"), *LATEST)
+            raw.select("event_id", "topic", *names, stamp("event_ts").alias("event_ts"), *read_order())
             for raw in raw_topics
         ]
     )
