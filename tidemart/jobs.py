@@ -787,7 +787,7 @@ def batch_runs(p: Pipeline) -> DataFrame:
         some.repartition("topic", "dt", "hour").write.mode("append").partitionBy("topic", "dt", "hour").text(f"{base}/raw")
 
     load = Load(p.spark, f"{base}/raw", f"{base}/warehouse", as_of=as_of(), buckets=4)
-    runs = BatchRuns(load, f"{base}/progress")
+    runs = BatchRuns(load, f"{base}/progress", rows=200_000)
     land(~late)
     runs.until_done()
     land(late)  # files of hours that were read already
