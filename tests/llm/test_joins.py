@@ -192,3 +192,22 @@ def test_no_rows(spark):
 
 def test_shingles_need_enough_words():
     assert len(shingles(np.arange(4, dtype=np.uint64), 5)) == 0
+
+
+def test_a_pair_is_made_at_its_first_common_key(spark):
+    """Variants of one passage below the threshold share many keys; the last round makes each pair once."""
+    member = spark.createDataFrame([(d, k, 3) for d in range(20) for k in range(40) if (d + k) % 5], "doc long, key long, role int")
+    least = {r.doc: (r.indexed, r.looked) for r in jaccard_join._least_keys(member).collect()}
+    keys = {d: [k for k in range(40) if (d + k) % 5] for d in range(20)}
+    assert {d: (sorted(a), sorted(b)) for d, (a, b) in least.items()} == {d: (v[: jaccard_join.LEAST_KEYS],) * 2 for d, v in keys.items()}
+
+
+def test_many_variants_around_one_passage_match_brute_force(spark):
+    rng = random.Random(21)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for k in range(160):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(8, 40))]
+        rows.append((k, " ".join([*own, *passage])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert as_rows(jaccard_join.near_duplicates(docs), "doc_id", "n_shingles", "component_id") == sorted(brute.near_duplicates(rows), key=repr)

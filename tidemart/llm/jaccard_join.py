@@ -22,7 +22,10 @@ Keys are exchanged in packed blocks.  Of the sets that share a key in one block
 only the first goes on, so a key of a third of all rows reaches a task once per block.  Of the sets of a key first the pairs
 with one centre are verified; pairs within a component need no look.  Further
 centres follow as long as they halve the pairs across components, then all that
-are left.  Equal sets are one set from the start.  Nothing is capped.
+are left, each at the least key that both sets hold.  For that a row has the
+``LEAST_KEYS`` least keys of its set; a pair whose common keys lie all beyond
+those is made at each of them, so none is lost.  Equal sets are one set from the
+start.  Nothing is capped.
 
 Null and empty texts have an empty set, are linked with nothing and are their
 own component.  A row without id is returned with its set size and no component,
@@ -54,6 +57,8 @@ PACKED_DOCS = 4_000
 PARTS_PER_TASK = 4
 #: Open pairs for each row of the groups from which on they are first thinned out by centres.
 MOST_PAIRS = 2
+#: Least keys of a set that go with its rows, of those it is indexed by and of those it looks for.
+LEAST_KEYS = 8
 #: Bits of a set's parity bitmap, kept in columns of 64; of sets much larger than that it rules out little.
 BITS = 512
 MARKS = [f"bits{k}" for k in range(BITS // 64)]
@@ -401,15 +406,20 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
         stars = open_pairs > MOST_PAIRS * rows and (before is None or open_pairs < before / 2)
         before = open_pairs
+        if not stars:
+            told = kept(told.join(_least_keys(told), "doc"), "least-keys")
+        about = ["doc", "role", "low", "high", "component", *MARKS, *([] if stars else ["indexed", "looked"])]
         # the larger set looks for the smaller one's index
-        one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in ("doc", "role", "low", "high", "component", *MARKS)])
-        two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc", "role", "low", "high", "component", *MARKS)])
+        one = told.select("key", "centre", *[F.col(c).alias(f"{c}_a") for c in about])
+        two = told.select("key", *[F.col(c).alias(f"{c}_b") for c in about])
         met = "(role_a & 1 > 0 and role_b & 2 > 0 and low_a <= high_b or role_a & 2 > 0 and role_b & 1 > 0 and low_b <= high_a)"
         near = "4 * high_a >= 3 * low_b and 4 * high_b >= 3 * low_a"
         differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in MARKS)
         alike = f"coalesce(7 * ({differ}) <= high_a + high_b, true)"  # no bitmap: a document with several sets
-        pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near} and {alike}"))
-        pairs = pairs.where("doc_a = centre" if stars else "doc_a < doc_b")
+        earlier = "coalesce(array_min(if({}, array_intersect(indexed_{}, looked_{}), null)) < key, false)"
+        first = f"not {earlier.format('low_a <= high_b', 'a', 'b')} and not {earlier.format('low_b <= high_a', 'b', 'a')}"
+        chosen = "doc_a = centre" if stars else f"doc_a < doc_b and {first}"
+        pairs = one.join(two.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & F.expr(f"component_a <> component_b and {met} and {near} and {alike} and {chosen}"))
         rest = pairs.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
         rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
         proven = kept(proven.unionByName(verified(rest, sets)), "proven")
@@ -420,6 +430,15 @@ def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return proven, reps
 
 
+def _least_keys(member: DataFrame) -> DataFrame:
+    """(doc, indexed, looked): the least keys a set is indexed by and those it looks for."""
+    roles = member.select("doc", "key", F.explode(F.expr(f"filter(array({INDEX}, {PROBE}), x -> role & x > 0)")).alias("kind"))
+    place = F.row_number().over(Window.partitionBy("doc", "kind").orderBy("key"))
+    rows = roles.withColumn("place", place).where(F.col("place") <= LEAST_KEYS)
+    own = [F.collect_list(F.when(F.col("kind") == k, F.col("key"))).alias(c) for k, c in ((INDEX, "indexed"), (PROBE, "looked"))]
+    return rows.groupBy("doc").agg(*own)
+
+
 def _meeting(member: DataFrame) -> DataFrame:
     """Rows of keys that some sets are indexed by and others look for."""
     keys = member.groupBy("key").agg(F.bit_or("role").alias("roles"), F.min("doc").alias("least"), F.max("doc").alias("most"))
