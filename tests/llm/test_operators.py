@@ -168,6 +168,21 @@ def test_leaks_with_renamed_openers_other_case_and_lines_are_found(spark):
     assert all(c <= 1 for c, _ in rows.values()) and rows[1, 1] == (1.0, True) and not rows[0, 1][1]
 
 
+def test_tables_of_numbers_and_lists_of_names_are_no_leaks(spark):
+    """Windows of slots alone are no evidence: no leak, and no pair of windows for each pair of places."""
+    rng = random.Random(8)
+    numbers = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    names = lambda n: ", ".join(rng.choice("Anna Ben Carl Dora Emil Fritz Gerd Hugo Ida Jan".split()) for _ in range(n))
+    exact = numbers(60)
+    heading = "Here is the table of all the values that were measured: "
+    bench = [(k, numbers(60)) for k in range(20)] + [(20, "we met " + names(40)), (21, exact), (22, heading + numbers(30))]
+    docs = [(0, numbers(2000)), (1, "they saw " + names(500)), (2, f"{numbers(50)} {exact} {numbers(50)}"), (3, f"Some prose. {heading}{numbers(30)} and so on"), (4, numbers(300).upper()), (5, heading)]
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    rows = {(r.doc_id, r.item_id): (r.coverage, r.exact) for r in found.collect()}
+    assert set(rows) == {(2, 21), (3, 22)}
+    assert rows[2, 21] == (1.0, True) and rows[3, 22] == (1.0, False)
+
+
 def test_values_that_do_not_stay_the_same_are_no_leak(spark):
     item = "Add 5 apples to 5 pears then 5 plums to 5 figs and give 5 nuts to 5 boys so 5 girls keep 5 kites."
     mixed = item

@@ -6,7 +6,9 @@ inside a sentence a name slot.  A second template has the lower-cased words in
 place of the names, for copies in other case.  In a third one capitalised words
 that open a sentence or line are names as well and a run of names is one slot, for
 renamed or re-wrapped openers and names of another word count.  Five-word windows
-of all three are hash-joined with those of the benchmark.  The matched windows of a document and
+of all three that hold ``LITERALS`` words or more outside slots are hash-joined with those of the benchmark.  Other
+windows, as of number tables or lists of names, are no evidence as templates: they are joined by their
+words as they stand, and as templates only where they continue a diagonal that the join has found.  The matched windows of a document and
 an item that lie on one diagonal make an occurrence; it counts if its slots are
 consistent, that is each value of the item always stands for one value in the
 document; of the third template only values that change are judged.  A document
@@ -17,7 +19,7 @@ are not recognised.
 A bitmap of fixed size over the benchmark's windows drops other windows in the
 task that reads a document; the join behind it is exact, so the benchmark may
 have any size.  Items with fewer than five words are one window of all their
-words, and so are documents.  Null and empty texts have no window.  Rows that
+words, and so are documents; such an item is not looked for inside longer documents.  Null and empty texts have no window.  Rows that
 repeat an id are judged together; a null id is an id.  Repeated items are items
 of their own if their ids differ.
 """
@@ -39,6 +41,8 @@ from tidemart.llm.tokens import Words, mix, passes, shingles
 WINDOW = 5
 COVER = 0.75
 CONSISTENT = 0.75
+#: Words outside slots (of a shorter window: all its words, if fewer) that a window needs to be found as a template.
+LITERALS = 2
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x6E756D626572, 0x6E616D65, 0x756E6974))
 #: Units of measure and currencies that may follow a number.
 UNITS = (
@@ -53,6 +57,8 @@ _MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "%$"]
 
 #: The template with collapsed names has windows of its own.
 COLLAPSED = np.uint64(0x636F6C6C61707365)
+#: And so have windows compared by their words.
+AS_IT_STANDS = np.uint64(0x6173206974207374)
 
 
 class Template(NamedTuple):
@@ -62,8 +68,8 @@ class Template(NamedTuple):
     name: np.ndarray | None = None
 
 
-def templates(texts: list[bytes]) -> tuple[Words, tuple[Template, ...], np.ndarray, np.ndarray]:
-    """Words, the templates (value of each word and whether it is a slot), and start and end byte of the words' bare forms."""
+def templates(texts: list[bytes]) -> tuple[Words, tuple[Template, ...], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the templates (value of each word and whether it is a slot), and hash, start and end byte of the words' bare forms."""
     words = Words(texts)
     start, end = words.start.copy(), words.end.copy()
     for _ in range(4):  # marks at the ends, closing ones first; a word of marks keeps its last
@@ -92,7 +98,7 @@ def templates(texts: list[bytes]) -> tuple[Words, tuple[Template, ...], np.ndarr
         Template(plain, number | unit),
         Template(np.where(every, NAME, plain), number | every | unit, every),
     )
-    return words, forms, start, end
+    return words, forms, value, start, end
 
 
 def places_of(forms: tuple[Template, ...], i: int, j: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -116,19 +122,21 @@ def places_of(forms: tuple[Template, ...], i: int, j: int, width: int) -> Iterat
 
 
 def windows(rows: DataFrame, key: str, wanted: np.ndarray | None = None, width: int = WINDOW) -> DataFrame:
-    """(key, pos, hash, slots, n, first, stop, runs) of every template window of each text, or of those whose bit is in ``wanted``.
+    """(key, pos, hash, template, slots, n, first, stop, runs) of every template window of each text, or of those with a bit in ``wanted``.
 
+    ``template`` is the hash of the template; ``hash`` is the same in windows with enough literal words, that of the words
+    themselves in others, and null in others of which runs of names are one slot.
     ``slots`` has the values at the slots of the window, in order; ``n`` the number of plain windows of the text, of which
     this one stands for those from ``first`` up to ``stop``; ``runs`` if runs of names are one slot, and ``pos`` counts such.
     """
     spark = rows.sparkSession
     shared = None if wanted is None else spark.sparkContext.broadcast(wanted)
-    kinds = {key: pa.int64(), "pos": pa.int32(), "hash": pa.int64(), "slots": pa.list_(pa.string()), "n": pa.int32(), "first": pa.int32(), "stop": pa.int32(), "runs": pa.bool_()}
+    kinds = {key: pa.int64(), "pos": pa.int32(), "hash": pa.int64(), "template": pa.int64(), "slots": pa.list_(pa.string()), "n": pa.int32(), "first": pa.int32(), "stop": pa.int32(), "runs": pa.bool_()}
     schema = pa.schema(list(kinds.items()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in passes(batches):
-            words, forms, start, end = templates(texts)
+            words, forms, bare, start, end = templates(texts)
             ids = batch.column(key).cast(pa.int64()).to_pylist()
             out: list[list] = [[] for _ in schema]
             for k, i, j in words.texts():
@@ -138,26 +146,38 @@ def windows(rows: DataFrame, key: str, wanted: np.ndarray | None = None, width:
                 for number, hashes, places, begin in places_of(forms, i, j, width):
                     form = forms[number]
                     size = len(begin) - len(hashes)
+                    literal = np.concatenate(([0], np.cumsum(~form.slot[begin[:-1]])))
+                    weak = literal[size:] - literal[:-size] < min(LITERALS, size)
+                    # runs of names have no words of their own to be compared by
+                    seeds = hashes if form.name is not None else np.where(weak, shingles(bare[i:j], size) ^ AS_IT_STANDS, hashes)
                     if shared is not None:
-                        places = places[held(shared.value, hashes[places])]
+                        places = places[held(shared.value, hashes[places]) | held(shared.value, seeds[places])]
                     for p in places.tolist():
                         # a token goes up to the next one's first word
                         tokens = [(begin[q], begin[q + 1] if form.name is not None and form.name[begin[q]] else begin[q] + 1) for q in range(p, p + size)]
                         values = [" ".join(bytes(words.lower[start[w] : end[w]]).decode(errors="replace") for w in range(x, y)) for x, y in tokens if form.slot[x]]
                         stop = n if p + 1 == len(hashes) else min(n, int(begin[p + 1]) - i)
-                        for column, v in zip(out, (ids[k], p, int(hashes[p].astype(np.int64)), values, n, int(begin[p]) - i, stop, form.name is not None), strict=True):
+                        for column, v in zip(out, (ids[k], p, None if weak[p] and form.name is not None else int(seeds[p].astype(np.int64)), int(hashes[p].astype(np.int64)), values, n, int(begin[p]) - i, stop, form.name is not None), strict=True):
                             column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return rows.select(key, "text").mapInArrow(cut, f"{key} long, pos int, hash long, slots array<string>, n int, first int, stop int, runs boolean")
+    return rows.select(key, "text").mapInArrow(cut, f"{key} long, pos int, hash long, template long, slots array<string>, n int, first int, stop int, runs boolean")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, consistent: float = CONSISTENT) -> DataFrame:
     """(doc_id, item_id, coverage, exact): the items each document holds; ``exact`` if no slot has another value."""
-    items = kept(windows(benchmark, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots", "n": "item_n"}), "benchmark-windows")
-    place = ("first", "stop")
-    found = kept(windows(docs, "doc_id", bitmap(items.select("hash").distinct())).drop("n", "runs", *place), "document-windows")
-    matched = found.join(items.where("item_id is not null"), "hash").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
+    items = kept(windows(benchmark, "item_id").where("item_id is not null").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots", "n": "item_n"}), "benchmark-windows")
+    wanted = items.select(F.explode(F.array("hash", "template")).alias("hash")).where("hash is not null").distinct()
+    found = kept(windows(docs, "doc_id", bitmap(wanted)).drop("n", "first", "stop"), "document-windows")
+    seeds = found.drop("template", "runs").join(items.drop("template"), "hash").withColumn("diagonal", F.col("pos") - F.col("item_pos")).drop("hash", "pos", "item_pos")
+    seeds = kept(seeds, "seeds")
+    # windows of slots that continue a diagonal: the place in the document follows from that in the item
+    weak = "hash is null or hash <> template"
+    ahead = seeds.select("doc_id", "item_id", "runs", "diagonal").distinct().join(items.where(weak).drop("hash"), ["item_id", "runs"])
+    ahead = ahead.withColumn("pos", F.col("diagonal") + F.col("item_pos")).withColumnRenamed("doc_id", "seed_doc").drop("item_pos")
+    here = F.col("doc_id").eqNullSafe(F.col("seed_doc"))
+    more = found.where(weak).drop("hash").join(ahead, "template pos runs".split()).where(here)
+    matched = seeds.unionByName(more.select(seeds.columns))
     by = ("doc_id", "item_id", "runs", "diagonal")
     pairs = matched.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))
     bound = pairs.groupBy(*by, F.col("pair.item_slots").alias("was")).agg(F.min("pair.slots").alias("low"), F.max("pair.slots").alias("high"))
