@@ -167,13 +167,15 @@ def score(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFram
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in passes(batches):
             rows = pa.array(features(texts).tolist(), pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("trusted"), batch.column("web"), rows], names=["trusted", "web", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("chosen_id", "trusted", "web")), rows], names=["chosen_id", "trusted", "web", "x"])
 
     model = None
     if good:
-        joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("text", "trusted", "web")
-        sample = kept(joined.mapInArrow(describe, "trusted boolean, web boolean, x array<float>"), "quality-sample")
-        table = sample.limit(4 * most).toArrow()  # ids may repeat
+        joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("chosen_id", "text", "trusted", "web")
+        described = joined.mapInArrow(describe, "chosen_id long, trusted boolean, web boolean, x array<float>")
+        # one row for each chosen id, also where ids repeat, in an order of their own: reruns fit the same model
+        sample = kept(described.groupBy("chosen_id").agg(*[F.max(c).alias(c) for c in ("trusted", "web", "x")]), "quality-sample")
+        table = sample.orderBy("chosen_id").toArrow()
         x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(np.float64)
         is_p, is_u = (np.array([bool(v) for v in table.column(c).to_pylist()], bool) for c in ("trusted", "web"))
         if is_p.any() and is_u.any():
