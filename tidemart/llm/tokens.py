@@ -1,29 +1,32 @@
 """Words and shingles of many texts at once, as numpy arrays of 64-bit hashes.
 
 A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z.  Words
-and shingles are compared by a 64-bit hash of their whole content, so two texts
-differ in hash whenever they differ, up to a chance near 2**-64 per pair.
+and shingles are compared by a 64-bit hash of their whole content.  Words of the
+same length up to eight bytes never share one; two other words do with a chance
+near 2**-64.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k of eight bytes
 
 #: Bytes of text handled in one numpy pass; a longer text has a pass of its own.
 PASS_BYTES = 1 << 19
+#: Bytes searched for words, and words hashed, in one step: bounds the temporary arrays of a long text.
+STEP_BYTES = 1 << 19
+STEP_WORDS = 1 << 16
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,13 +40,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+def _turns(buffer: np.ndarray) -> Iterator[np.ndarray]:
+    inside = False
+    for begin in range(0, len(buffer), STEP_BYTES):
+        solid = ~_GAP[buffer[begin : begin + STEP_BYTES]]
+        yield np.flatnonzero(np.diff(solid, prepend=inside)) + begin
+        inside = bool(solid[-1])
+
+
+def _edges(buffer: np.ndarray) -> np.ndarray:
+    """Places where words start and end in turn, counted before they are kept; the buffer ends with a gap."""
+    edges = np.zeros(sum(map(len, _turns(buffer))), np.int64)
+    upto = 0
+    for turns in _turns(buffer):
+        edges[upto : upto + len(turns)] = turns
+        upto += len(turns)
+    return edges
 
 
 class Words:
@@ -53,26 +65,35 @@ class Words:
         self.buffer = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.text_start = np.concatenate(([0], np.cumsum(lengths + 1)))
-        gap = _GAP[self.buffer]
-        solid = np.concatenate(([False], ~gap, [False]))
-        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        edges = _edges(self.buffer)
         self.start, self.end = edges[::2], edges[1::2]
-        self.lower = _LOWER[self.buffer]
+        self.lower = np.zeros(len(self.buffer) + 8, np.uint8)  # eight bytes can be read from any place
+        self.lower[:-8] = self.buffer
+        self.lower += (self.lower - np.uint8(65) < 26).view(np.uint8) << np.uint8(5)
         self.hash = self.span_hash(self.start, self.end)
         self.first = np.searchsorted(self.start, self.text_start)
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the lower-cased bytes of each span."""
-        if not hasattr(self, "_sums"):
-            up, _ = _power_tables(len(self.lower) + 1)
-            self._sums = np.zeros(len(self.lower) + 1, np.uint64)
-            np.cumsum((self.lower.astype(np.uint64) + np.uint64(1)) * up[: len(self.lower)], out=self._sums[1:])
-        _, down = _power_tables(len(self.lower) + 1)
-        value = (self._sums[end] - self._sums[start]) * down[start]
-        return mix(value ^ (end - start).astype(np.uint64))
-
-    def drop_sums(self) -> None:
-        self.__dict__.pop("_sums", None)
+        value = np.zeros(len(start), np.uint64)
+        for k in range(0, len(start), STEP_WORDS):
+            value[k : k + STEP_WORDS] = self._hashes(start[k : k + STEP_WORDS], end[k : k + STEP_WORDS])
+        return value
+
+    def _hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Eight bytes at a time are mixed into a value that begins with the length."""
+        eight = np.ndarray(len(self.lower) - 7, "<u8", self.lower, strides=(1,))
+        value = mix((end - start).astype(np.uint64))
+        live = np.flatnonzero(end - start <= LONG_WORD)
+        place, left = start[live], (end - start)[live]
+        while len(live):
+            value[live] = mix(value[live] ^ (eight[place] & _KEEP[np.minimum(left, 8)]))
+            more = left > 8
+            live, place, left = live[more], place[more] + 8, left[more] - 8
+        for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+            digest = hashlib.blake2b(self.lower[start[k] : end[k]], digest_size=8).digest()
+            value[k] ^= np.uint64(int.from_bytes(digest, "little"))
+        return value
 
     def texts(self) -> Iterator[tuple[int, int, int]]:
         """Number, first word and end word of each text."""
