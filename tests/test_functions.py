@@ -67,6 +67,32 @@ def test_quantiles_of_nothing(spark):
     assert list(exact_quantiles(df, F.col("v"), (0.5,)).first()) == [None]
 
 
+def test_quantiles_of_one_crowded_slot(spark):
+    """All values within one slot, some equal: steps tell them apart."""
+    rng = random.Random(6)
+    values = [1.0 + rng.random() * 1e-3 for _ in range(5000)] + [1.0005] * 700
+    probs = (0.0, 0.01, 0.5, 0.5001, 0.999, 1.0)
+    got = exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), F.col("v"), probs).first()
+    assert list(got) == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+
+
+def test_counted_metrics_match_described_columns(spark):
+    """Metrics of many rows, one row, NULL alone and no row at all, against one pass per column."""
+    from tidemart.functions.quantiles import value_counts
+    from tidemart.plans.statistics import describe, describe_counts
+
+    rng = random.Random(2)
+    rows = [("many", Decimal(rng.randint(-5000, 90000)).scaleb(-2)) for _ in range(900)]
+    rows += [("many", None)] * 7 + [("one", Decimal("3.25")), ("unknown", None), ("zero", Decimal(0)), ("zero", Decimal(0))]
+    df = spark.createDataFrame(rows, "metric string, v decimal(18,2)")
+    names = ["many", "one", "unknown", "zero", "absent"]
+    metrics = spark.createDataFrame([(m,) for m in names], "metric string")
+    got = {r.metric: r for r in describe_counts(metrics, value_counts(df)).collect()}
+    assert sorted(got) == sorted(names)
+    for m in names:
+        assert got[m] == describe(df.where(F.col("metric") == m), "v", m).first()
+
+
 def test_week_of_year_starts_on_monday(spark):
     days = [date(2023, 1, 1), date(2023, 1, 2), date(2024, 1, 1), date(2024, 12, 31), date(2021, 1, 3), date(2021, 1, 4)]
     df = spark.createDataFrame([(d,) for d in days], "d date")

@@ -132,3 +132,12 @@ def test_a_mart_refresh_opens_only_its_months(stored):
         scans = re.findall(r"FileScan parquet .*?/(fact_\w+)\], PartitionFilters: \[(.*?)\], PushedFilters", text)
         assert facts and {fact for fact, filters in scans if "event_month" in filters} == set(facts), name
         assert all("event_month" in filters for fact, filters in scans if fact in facts)
+
+
+@pytest.mark.parametrize("name", ["descriptive_stats_all", "iqr_outliers", "box_plot_summary"])
+def test_metrics_share_one_scan_of_each_table(stored, name):
+    df = PLANS[name](stored)
+    assert len(df.collect()) == 5
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 4  # items, delivery, reviews, payments
+    assert "SinglePartition" not in final

@@ -196,18 +196,9 @@ def active_alerts(s: Star) -> DataFrame:
 @plan
 def box_plot_summary(s: Star) -> DataFrame:
     """Five-number summary with the 1.5 x IQR fences of each metric."""
-    stats = statistics.descriptive_stats_all(s)
+    stats = statistics.five_numbers(*statistics.measured(s))
     lower, upper = statistics.fences(stats)
-    return stats.select(
-        "metric",
-        F.col("min_val").alias("min"),
-        "q1",
-        "median",
-        "q3",
-        F.col("max_val").alias("max"),
-        round4(lower).alias("lower_fence"),
-        round4(upper).alias("upper_fence"),
-    )
+    return stats.select("*", round4(lower).alias("lower_fence"), round4(upper).alias("upper_fence"))
 
 
 @plan

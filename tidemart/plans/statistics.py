@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import mean, month_of, money_sum, on_time_pct, percent, ratio, round4
-from tidemart.functions.quantiles import exact_quantiles
+from tidemart.functions.quantiles import exact_quantiles, quantiles_by_metric, value_counts
 from tidemart.plans.overview import n_rows
 from tidemart.plans.products import category_months
 from tidemart.registry import plan
@@ -121,12 +121,69 @@ def stats_payment_value(s: Star) -> DataFrame:
     return describe(s.approved, "payment_value", "Payment Value")
 
 
-DESCRIBED = (stats_price, stats_freight, stats_delivery_delay, stats_review, stats_payment_value)
+def measured(s: Star) -> tuple[DataFrame, DataFrame]:
+    """The described metrics' names, and how often each value of each occurs.
+
+    Each table is read once for all its metrics, and their values are counted before the one shuffle.
+    """
+    sources = (
+        (s.fact_order_items, {"Price": "price", "Freight": "freight_value"}),
+        (s.timed, {"Delivery Delay (h)": "delivery_delay_hours"}),
+        (s.fact_reviews, {"Review Score": "review_score"}),
+        (s.approved, {"Payment Value": "payment_value"}),
+    )
+
+    def long(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        pairs = [F.struct(F.lit(m).alias("metric"), F.col(c).cast("decimal(18,2)").alias("v")) for m, c in columns.items()]
+        return df.select(F.inline(F.array(*pairs)))
+
+    values = reduce(DataFrame.unionByName, [long(*source) for source in sources])
+    names = F.array(*[F.lit(m) for _, columns in sources for m in columns])
+    return values.sparkSession.range(1).select(F.explode(names).alias("metric")), value_counts(values)
+
+
+def describe_counts(metrics: DataFrame, counts: DataFrame) -> DataFrame:
+    """The columns of :func:`describe`, one row per metric, from counted values."""
+    v, n = F.col("v"), F.col("n")
+    known = F.sum(F.when(v.isNotNull(), n))
+    sums = counts.groupBy("metric").agg(
+        F.sum("n").alias("n"),
+        ratio(F.sum(v * n.cast("decimal(20,0)")), known).alias("mean"),
+        F.min(v).cast("double").alias("min_val"),
+        F.max(v).cast("double").alias("max_val"),
+    )
+    # These have a row per metric: safe to broadcast at any size of the tables.
+    squares = F.sum(n * F.pow(v.cast("double") - F.col("mean"), 2))
+    spread = (
+        counts.join(F.broadcast(sums.select("metric", "mean")), "metric")
+        .groupBy("metric")
+        .agg(F.sqrt(F.try_divide(squares, (known - 1).cast("double"))).alias("stddev"))
+    )
+    parts = (sums, spread, quantiles_by_metric(counts, (0.25, 0.5, 0.75)))
+    joined = reduce(lambda left, part: left.join(F.broadcast(part), "metric", "left"), parts, metrics)
+    return joined.select(
+        "metric",
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
+        "mean",
+        round4(F.col("q1")).alias("median"),
+        round4(F.col("stddev")).alias("stddev"),
+        "min_val",
+        round4(F.col("q0")).alias("q1"),
+        round4(F.col("q2")).alias("q3"),
+        "max_val",
+    )
 
 
 @plan
 def descriptive_stats_all(s: Star) -> DataFrame:
-    return reduce(DataFrame.unionByName, [fn(s) for fn in DESCRIBED])
+    return describe_counts(*measured(s))
+
+
+def five_numbers(metrics: DataFrame, counts: DataFrame) -> DataFrame:
+    """Least value, quartiles and greatest value of each metric."""
+    found = quantiles_by_metric(counts, (0.0, 0.25, 0.5, 0.75, 1.0))
+    named = [F.col("q0").alias("min"), *[round4(F.col(f"q{i}")).alias(x) for i, x in ((1, "q1"), (2, "median"), (3, "q3"))]]
+    return metrics.join(F.broadcast(found), "metric", "left").select("metric", *named, F.col("q4").alias("max"))
 
 
 def fences(stats: DataFrame) -> list[Column]:
@@ -146,26 +203,21 @@ def outliers(df: DataFrame, column: str, label: str) -> DataFrame:
 @plan
 def iqr_outliers(s: Star) -> DataFrame:
     """Rows below and above the fences, per metric."""
-    sources = (
-        (s.fact_order_items, "price", "Price"),
-        (s.fact_order_items, "freight_value", "Freight"),
-        (s.timed, "delivery_delay_hours", "Delivery Delay (h)"),
-        (s.fact_reviews, "review_score", "Review Score"),
-        (s.approved, "payment_value", "Payment Value"),
+    metrics, counts = measured(s)
+    stats = describe_counts(metrics, counts)
+    edges = F.broadcast(stats.select("metric", "n", *fences(stats)))  # a row per metric
+    v = F.col("v").cast("double")
+    beyond = lambda cond: F.sum(F.when(cond, F.col("times")).otherwise(0))
+    outside = (
+        counts.withColumnRenamed("n", "times")
+        .join(edges, "metric")
+        .groupBy("metric")
+        .agg(beyond(v < F.col("lo")).alias("below"), beyond(v > F.col("hi")).alias("above"))
+    )
+    none = F.lit(0).cast("bigint")
+    return edges.join(F.broadcast(outside), "metric", "left").select(
+        "metric", "n", F.coalesce("below", none).alias("below"), F.coalesce("above", none).alias("above")
     )
-
-    def one(df: DataFrame, column: str, label: str) -> DataFrame:
-        stats = describe(df, column, label)
-        edges = stats.select(F.struct(*fences(stats))).scalar()
-        v = F.col(column).cast("double")
-        return df.withColumn("edges", edges).agg(
-            F.lit(label).alias("metric"),
-            n_rows().alias("n"),
-            F.count_if(v < F.col("edges.lo")).alias("below"),
-            F.count_if(v > F.col("edges.hi")).alias("above"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(*source) for source in sources])
 
 
 # ---- what-if -------------------------------------------------------------------
