@@ -49,7 +49,9 @@ def _turns(buffer: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _edges(buffer: np.ndarray) -> np.ndarray:
-    """Places where words start and end in turn, counted before they are kept; the buffer ends with a gap."""
+    """Places where words start and end in turn; the buffer ends with a gap.  Those of a long text are counted before they are kept."""
+    if len(buffer) <= STEP_BYTES:
+        return np.flatnonzero(np.diff(~_GAP[buffer], prepend=False))
     edges = np.zeros(sum(map(len, _turns(buffer))), np.int64)
     upto = 0
     for turns in _turns(buffer):
