@@ -76,6 +76,20 @@ def test_raw_in_is_good_plus_dead(spark, tmp_path):
     assert spark.read.text(f"{base}/raw_dead_letter").count() == 10
 
 
+def test_batches_bounded_by_bytes(spark, tmp_path):
+    """Files of a few kB each against a bound of two of them."""
+    log = tmp_path / "log"
+    for k in range(6):
+        publish(spark, log, [message(n) for n in range(10 * k, 10 * k + 10)])
+    sizes = [f.stat().st_size for f in log.rglob("*.parquet")]
+    bound = 2 * max(sizes)
+    query = landing.start_landing(landing.file_messages(spark, str(log), bytes_per_batch=bound), str(tmp_path / "zone"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    batches = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert sum(batches) == 60 and len(batches) >= sum(sizes) / bound
+    assert spark.read.text(f"{tmp_path}/zone/raw").count() == 60
+
+
 def test_audit(spark, tmp_path):
     log, base = tmp_path / "log", tmp_path / "zone"
     publish(spark, log, [message(n) for n in range(8)])

@@ -97,9 +97,14 @@ def land_batch(
     return land
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """A message log kept as Parquet files, read as a bounded-batch stream."""
-    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", "36500d").parquet(path)
+def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000, bytes_per_batch: int | None = None) -> DataFrame:
+    """A message log kept as Parquet files, read as a bounded-batch stream.
+
+    ``bytes_per_batch`` bounds a batch by the size of its files instead of their number;
+    a file larger than that is a batch of its own.
+    """
+    bound = ("maxFilesPerTrigger", files_per_batch) if bytes_per_batch is None else ("maxBytesPerTrigger", bytes_per_batch)
+    return spark.readStream.schema(MESSAGE).option(*bound).option("maxFileAge", "36500d").parquet(path)
 
 
 def kafka_messages(spark: SparkSession, servers: str, topics: list[str], offsets_per_batch: int = 5_000_000) -> DataFrame:
