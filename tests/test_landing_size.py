@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tests.test_streaming import land, message, publish
