@@ -7,7 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from tidemart import jobs
 from tidemart.registry import PLANS
+from tidemart.sources import star as star_tables
 from tidemart.sources.star import Star, write_bucketed_star, write_star
 from tools.plans import plan_text, summary
 
@@ -134,6 +136,15 @@ def test_a_mart_refresh_opens_only_its_months(stored):
         assert all("event_month" in filters for fact, filters in scans if fact in facts)
 
 
+def test_a_mart_refresh_stores_only_its_tables_and_once(spark, monkeypatch):
+    stored, plain = [], star_tables.store_table
+    monkeypatch.setattr(star_tables, "store_table", lambda name, *rest: stored.append(name) or plain(name, *rest))
+    monkeypatch.setattr(jobs.Pipeline, "_known", {})
+    for _ in range(2):
+        assert jobs.JOBS["mart_payment_mix_refresh"](spark, SF).count()
+    assert stored == ["fact_payments"]
+
+
 @pytest.mark.parametrize("name", ["descriptive_stats_all", "iqr_outliers", "box_plot_summary"])
 def test_metrics_share_one_scan_of_each_table(stored, name):
     df = PLANS[name](stored)
