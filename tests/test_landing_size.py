@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tests.test_streaming import land, message, publish
+from tidemart import jobs
 from tidemart.jobs import Pipeline
 
 
@@ -46,3 +48,22 @@ def test_a_query_lands_the_topics_it_reads(spark):
     lines = p.raw("review_events")
     assert lines.count() == 2 * lines.select("event_id").distinct().count() > 0
     assert p._landed == {"review_events"}
+
+
+def test_a_used_up_log_goes_and_copies_take_the_room_of_one(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "LOG_BYTES_PER_BATCH", 1)  # a batch for each file
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    log = f"{p.base}/messages/twice"
+    p.tables["orders"].selectExpr(
+        "cast(order_id as binary) as key", "cast('{}' as binary) as value", "'order_events' as topic", "0 as partition",
+        "monotonically_increasing_id() as offset", "cast('2024-01-01' as timestamp) as timestamp",
+    ).repartition(3).write.parquet(log)
+    expected = 2 * spark.read.parquet(log).count()
+    zone = p.land(log, "twice", "twice", deliveries=2, used_up=True, grain="month", spread=0)
+    dead = spark.read.json(f"{zone}/raw_dead_letter")
+    assert dead.count() == expected > 0  # no file went before it was landed
+    assert not os.path.exists(log)
+    lines = p.raw("review_events")
+    files = lines.groupBy("event_id").agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("files"))
+    assert {(r.n, r.files) for r in files.select("n", "files").distinct().collect()} == {(2, 1)}
+    assert not os.path.exists(f"{p.base}/messages/orders/review_events")
