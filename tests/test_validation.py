@@ -123,3 +123,25 @@ def test_payload_fields_have_the_types_of_their_topic(spark):
     assert drift["payment_events", "payment_value", "retyped to STRING"] == 1 and drift["payment_events", "payment_value", "absent"] == 1
     assert drift["review_events", "payment_value", "unknown"] == 1 and drift["unknown_topic", "review_score", "unknown"] == 1
     assert ("payment_events", "payment_installments", "retyped to BIGINT") not in drift
+
+
+def test_messages_of_a_topic_without_contract_are_told_plain(spark):
+    from tidemart.operators.validation import plainly_typed
+
+    envelope = {"event_id": "e", "event_type": "t", "schema_version": "1.0", "event_ts": "2024-01-01", "source_system": "s", "order_id": None, "payload": {"k": 1}}
+    cases = [
+        ({"channel": "web"}, True),
+        ({"channel": 1.5, "payload": {}}, True),
+        ({"event_id": 5}, False),
+        ({"trace_id": True}, False),
+        ({"channel": {"order_id": "nested"}, "order_id": 1}, False),
+        ({"payload": {"a: STRING>, order_id": "x"}, "seller_id": 2}, False),
+        ({"a: STRING, event_id": "x", "event_id": 1}, False),
+    ]
+    rows = [(k, json.dumps({**envelope, **more})) for k, (more, _) in enumerate(cases)]
+    message = F.parse_json("text")
+    df = spark.createDataFrame(rows, "id int, text string").withColumn("topic", F.lit("click_events"))
+    found = df.select("id", plainly_typed(message, F.schema_of_variant(message), F.col("topic")).alias("plain"), "topic", F.col("text").alias("value"))
+    assert {r.id: r.plain for r in found.collect()} == {k: plain for k, (_, plain) in enumerate(cases)}
+    reasons = {r.id: r.error_reason for r in checked(found, strict_types=True).collect()}
+    assert reasons == {0: None, 1: None, 2: "wrong_type: event_id", 3: "wrong_type: trace_id", 4: "wrong_type: order_id", 5: "wrong_type: seller_id", 6: "wrong_type: event_id"}
