@@ -145,3 +145,22 @@ def test_messages_of_a_topic_without_contract_are_told_plain(spark):
     assert {r.id: r.plain for r in found.collect()} == {k: plain for k, (_, plain) in enumerate(cases)}
     reasons = {r.id: r.error_reason for r in checked(found, strict_types=True).collect()}
     assert reasons == {0: None, 1: None, 2: "wrong_type: event_id", 3: "wrong_type: trace_id", 4: "wrong_type: order_id", 5: "wrong_type: seller_id", 6: "wrong_type: event_id"}
+
+
+def test_payload_drift_reads_the_messages_once(spark, tmp_path):
+    from tidemart.operators.validation import payload_drift
+
+    texts = ['{"payload":{}}', '{"payload":{"review_id":null,"review_score":"5"}}', '{"payload":[1]}', "not json"]
+    rows = [("review_events", t) for t in texts] + [("other", '{"payload":{"x":1}}'), ("other", '{"payload":{}}'), (None, '{"payload":{"x":1}}')]
+    spark.createDataFrame(rows, "topic string, text string").write.parquet(str(tmp_path / "messages"))
+    drift = payload_drift(spark.read.parquet(str(tmp_path / "messages")))
+    fields = ("review_created_ts", "review_answer_ts", "review_comment_title")
+    assert {tuple(r) for r in drift.collect()} == {
+        *(("review_events", f, "absent", 2) for f in fields),
+        ("review_events", "review_id", "absent", 1),
+        ("review_events", "review_score", "absent", 1),
+        ("review_events", "review_score", "retyped to STRING", 1),
+        ("other", "x", "unknown", 1),
+        (None, "x", "unknown", 1),
+    }
+    assert drift._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
