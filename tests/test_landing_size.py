@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tests.test_streaming import land, message, publish
 from tidemart import jobs
-from tidemart.jobs import Pipeline
+from tidemart.jobs import JOBS, Pipeline
+from tidemart.schemas import ENVELOPE
 
 
 def test_rows_are_landed_where_they_were_read(spark, tmp_path, monkeypatch):
@@ -67,3 +68,19 @@ def test_a_used_up_log_goes_and_copies_take_the_room_of_one(spark, monkeypatch):
     files = lines.groupBy("event_id").agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("files"))
     assert {(r.n, r.files) for r in files.select("n", "files").distinct().collect()} == {(2, 1)}
     assert not os.path.exists(f"{p.base}/messages/orders/review_events")
+
+
+def test_envelopes_are_read_back_without_their_payload(spark, tmp_path):
+    tables = {
+        "orders": "id o_orderkey, id % 3 o_custkey, 'F' o_orderstatus, 10.5D o_totalprice, timestamp_ntz'1995-01-01' o_orderdate",
+        "lineitem": "id l_orderkey, id l_partkey, id l_suppkey, 1 l_linenumber, 2D l_quantity, 9.5D l_extendedprice, 0D l_discount, 0D l_tax",
+        "customer": "id c_custkey, 'BUILDING' c_mktsegment, 1 c_nationkey",
+        "supplier": "id s_suppkey, 1 s_nationkey",
+        "part": "id p_partkey, 'b' p_brand, 't' p_type, 'n' p_name, 1 p_size",
+    }
+    for name, columns in tables.items():
+        spark.range(1, 6).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    read = JOBS["build_envelope"](spark, str(tmp_path))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(StructField(event_id" in plan and "StructField(payload,StringType,true)" not in plan
+    assert read.columns == ["topic", "key", *(f.split()[0] for f in ENVELOPE.split(", "))]
