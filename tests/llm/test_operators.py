@@ -119,6 +119,53 @@ def test_repeated_and_unnamed_rows_are_scored_one_by_one(small, small_docs):
     assert ngram_lm.score(small_docs.limit(0)).count() == 0
 
 
+def test_contexts_are_the_words_themselves():
+    words = [f"w{k}" for k in range(100_000)]
+    found = ngram_lm.tokens_of([" ".join(words).encode()])
+    assert len(set(found.one.tolist())) == len(set(found.two.tolist())) == len(words) + 1
+
+
+def plain_model(texts):
+    """Probability of a word after two others, from plain counts."""
+    counts = {}
+    for t in texts:
+        words = [None, None, *t.lower().split(), "</s>"]
+        for u, v, w in zip(words, words[1:], words[2:], strict=False):
+            for key in (("w", w), ("v", v), ("uv", u, v), ("vw", v, w), ("uvw", u, v, w)):
+                counts[key] = counts.get(key, 0) + 1
+    vocabulary = [k[1] for k in counts if k[0] == "w"]
+    n = sum(counts["w", w] for w in vocabulary)
+
+    def probability(u, v, w):
+        x, y = ngram_lm.WEIGHTS[0] * (("v", v) in counts), ngram_lm.WEIGHTS[1] * (("uv", u, v) in counts)
+        p = (1 - x - y) * (counts.get(("w", w), 0) + 0.5) / (n + 0.5 * (len(vocabulary) + 1))
+        return p + x * counts.get(("vw", v, w), 0) / counts.get(("v", v), 1) + y * counts.get(("uvw", u, v, w), 0) / counts.get(("uv", u, v), 1)
+
+    return probability, vocabulary
+
+
+@pytest.mark.parametrize("share", [ngram_lm.CODED_SHARE, 40, 4])
+def test_model_of_exact_contexts_with_counts_asked_for(spark, monkeypatch, share):
+    """Words known to every task or asked for, and a word before that is spread over parts."""
+    monkeypatch.setattr(ngram_lm, "CODED_SHARE", share)
+    rng = random.Random(3)
+    texts = [" ".join(w for _ in range(rng.randint(0, 40)) for w in ("the", f"w{int(rng.paretovariate(0.6)) % 900}")) for _ in range(150)]
+    rows = list(enumerate(texts))
+    probability, vocabulary = plain_model([t for k, t in rows if not ngram_lm.is_held_out(k)])
+    for u, v in ((None, None), (None, "the"), ("w1", "the"), ("the", "w1"), ("never", "the"), ("never", "seen")):
+        assert math.isclose(sum(probability(u, v, w) for w in [*vocabulary, "an unknown word"]), 1, rel_tol=1e-9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known = ngram_lm.totals(ngram_lm.counted(docs), ngram_lm.part_count(docs))
+    assert share == 4 or (known.spread > 1).any()
+    expected = brute.base_scores(rows)
+    for r in ngram_lm.score(docs).collect():
+        words = [None, None, *texts[r.doc_id].split(), "</s>"]
+        total = sum(math.log10(probability(*g)) for g in zip(words, words[1:], words[2:], strict=False))
+        assert total - 0.003 * r.n_tokens <= r.score <= total + 1e-9
+        assert (r.n_tokens, r.n_known) == expected[r.doc_id][:2]
+        assert math.isclose(r.base_score, expected[r.doc_id][3], rel_tol=1e-9)
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(1)
     for n, top in ((0, 8), (1, 1), (5, 64), (1000, 12), (5000, 40), (3000, 64)):

@@ -1,7 +1,7 @@
 """Monotone sequences in Elias-Fano form, searched many values at a time.
 
 The low bytes of each value are stored as they are; the high parts as unary gaps
-in a bit vector with a count of ones per 128 bits.  All arrays of a structure lie
+in a bit vector with a count of ones per 64 bits.  All arrays of a structure lie
 in one memory map.
 """
 
@@ -11,13 +11,6 @@ import mmap
 
 import numpy as np
 
-BLOCK = 16
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-#: Place of the k-th set bit (most significant first) of each byte.
-_PLACE = np.zeros((256, 8), np.uint8)
-for _b in range(256):
-    for _k, _p in enumerate(p for p in range(8) if _b >> (7 - p) & 1):
-        _PLACE[_b, _k] = _p
 CHUNK = 1 << 17
 
 
@@ -40,33 +33,34 @@ class Bits:
     """A bit vector with select of ones and zeros."""
 
     def __init__(self, set_bits: np.ndarray, length: int):
-        flags = np.zeros(-(-(length + 1) // (8 * BLOCK)) * 8 * BLOCK, bool)
+        flags = np.zeros(-(-(length + 1) // 64) * 64, bool)
         flags[set_bits] = True
-        self.bytes = np.packbits(flags)
-        per_block = _ONES[self.bytes].reshape(-1, BLOCK).sum(1, dtype=np.int64)
-        self.ones = np.concatenate(([0], np.cumsum(per_block)[:-1])).astype(np.uint32)
-
-    def arrays(self) -> tuple[str, ...]:
-        return ("bytes", "ones")
+        self.bits = np.packbits(flags, bitorder="little").view("<u8")
+        per_word = np.bitwise_count(self.bits).astype(np.int64)
+        self.ones = np.concatenate(([0], np.cumsum(per_word)[:-1])).astype(np.uint32)
 
     def select(self, rank: np.ndarray, bit: int) -> np.ndarray:
         """Place of the ``rank``-th (from 0) bit of that kind."""
         out = np.zeros(len(rank), np.int64)
         starts = self.ones.astype(np.int64)
         if not bit:
-            starts = np.arange(len(starts)) * 8 * BLOCK - starts
+            starts = np.arange(len(starts)) * 64 - starts
         for at in range(0, len(rank), CHUNK):
             want = rank[at : at + CHUNK]
-            block = np.searchsorted(starts, want, side="right") - 1
-            rest = want - starts[block]
-            rows = self.bytes.reshape(-1, BLOCK)[block]
+            word = np.searchsorted(starts, want, side="right") - 1
+            rest = (want - starts[word]).astype(np.uint8)
+            bits = self.bits[word]
             if not bit:
-                rows = ~rows
-            upto = np.cumsum(_ONES[rows], axis=1, dtype=np.uint8)
-            byte = (upto <= rest[:, None]).sum(1)
-            line = np.arange(len(want))
-            before = np.where(byte > 0, upto[line, np.maximum(byte - 1, 0)], 0)
-            out[at : at + CHUNK] = (block * BLOCK + byte) * 8 + _PLACE[rows[line, byte], rest - before]
+                bits = ~bits
+            place = word * 64
+            for half in (32, 16, 8, 4, 2, 1):  # skip the lower half if the bit lies above it
+                below = np.bitwise_count(bits & np.uint64((1 << half) - 1))
+                above = rest >= below
+                rest -= below * above
+                skip = above * np.uint8(half)
+                bits >>= skip
+                place += skip
+            out[at : at + CHUNK] = place
         return out
 
 
@@ -84,10 +78,10 @@ class EliasFano:
         self.high = Bits(high + np.arange(self.n), self.n + self.buckets)
 
     def nbytes(self) -> int:
-        return sum(-(-a.nbytes // 8) * 8 for a in (self.low, self.high.bytes, self.high.ones))
+        return sum(-(-a.nbytes // 8) * 8 for a in (self.low, self.high.bits, self.high.ones))
 
     def move(self, arena: Arena) -> EliasFano:
-        self.low, self.high.bytes, self.high.ones = (arena.put(a) for a in (self.low, self.high.bytes, self.high.ones))
+        self.low, self.high.bits, self.high.ones = (arena.put(a) for a in (self.low, self.high.bits, self.high.ones))
         return self
 
     def _low(self, at: np.ndarray) -> np.ndarray:

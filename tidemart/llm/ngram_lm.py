@@ -1,18 +1,25 @@
 """Score texts with an n-gram model held in Elias-Fano tries.
 
 Probabilities interpolate three orders: the word by its count (add one half), the
-word after the word before, and after the two before.  Contexts are hashed into
-a fixed number of classes, whose totals every task knows; counts of a word in a
-class are exact over the whole training corpus.
-
-Tokens travel to a task chosen by their word, with their context classes and
-document.  There the training tokens are counted into a trie rooted at the word,
-with a level per order.  A level holds child classes as a monotone
+word after the word before, and after the two before.  Contexts are the words
+themselves, as hashes: the model grows with the corpus, and the probabilities of
+all words after a context sum to one.
+
+Tokens travel to a task chosen by the word before, with their word, the word before that
+one and their document.  There the training tokens are counted into tries rooted at the word
+before: its children are the words that follow it, and the words before it, which have the words
+that follow both as children.  A level holds children as a monotone
 sequence, pointers to each node's children as another, and quantised (rounded
-down) discounted probabilities.  All tokens of the task are then looked up: a
+down) discounted probabilities.  The distinct n-grams of the task are then looked up: a
 node's pointers give the range of its children, and a search for the successor
-of the class in that range finds the child.  Words with at least one in
-``HOT_SHARE`` of all tokens are spread by word and class; their totals are known to every task.
+of the child in that range finds it.
+
+A task asks for the counts it cannot have, those of the words that follow: it sends each distinct word
+with its own count to a task chosen by that word, which adds them up and answers.  A word before
+with more tokens than a part should hold is spread by the two words before; the counts of its pairs are then
+asked for in the same way.  Words with at least one in ``CODED_SHARE`` of all tokens are known to every task and travel as numbers.
+
+Words are compared by 56 bits of their hash, words before by 48 within a part, those before them by 40 after the same word.
 
 Null and empty texts are one end token.  Rows that repeat an id are scored one by
 one and returned as often as they came.  A null id hashes as the empty string.
@@ -35,12 +42,16 @@ from tidemart.llm.elias_fano import Arena, EliasFano
 from tidemart.llm.scratch import kept, width
 from tidemart.llm.tokens import Words, mix, passes
 
-END, START = np.uint64(0x656E64), np.uint64(0x73746172)
-#: Bits of the context classes of one and of two words.
-CLASS_BITS = (16, 18)
+END, START = np.uint64(0x656E6400), np.uint64(0x73746100)
+#: Words are hashes without their last byte: it tells them from hashes of pairs.
+WORD_BITS = ~np.uint64(0xFF)
+PAIR_BIT = np.uint64(1)
+#: Bits of the word before within a part, and of the one before it after the same word (and one to tell if it is coded).
+BEFORE_BITS, CONTEXT_BITS = 48, 40
+CODED_CONTEXT = 1 << CONTEXT_BITS
 #: Interpolation weights of the two higher orders; the rest is the word's own.
-WEIGHTS = (0.15, 0.05)
-HOT_SHARE = 4096
+WEIGHTS = (0.3, 0.4)
+CODED_SHARE = 65_000
 PACKED_TOKENS = 800_000
 PACKED_TEXTS = 30_000
 PARTS_PER_TASK = 4
@@ -52,12 +63,13 @@ def is_held_out(doc_id: int | None) -> bool:
 
 
 class Tokens(NamedTuple):
-    """Tokens of some texts in order: word, the two context classes, and number of the text."""
+    """Tokens of some texts in order: word, the word before, hash of the two words before, number of the text, and the first of the two words before."""
 
     word: np.ndarray
     one: np.ndarray
     two: np.ndarray
     text: np.ndarray
+    first: np.ndarray
 
 
 def tokens_of(texts: list[bytes]) -> Tokens:
@@ -69,26 +81,24 @@ def tokens_of(texts: list[bytes]) -> Tokens:
     ends = np.cumsum(counts + 1) - 1
     inner = np.ones(len(text), bool)
     inner[ends] = False
-    word[inner] = words.hash
+    word[inner] = words.hash & WORD_BITS
     before, before2 = np.roll(word, 1), np.roll(word, 2)
     begins = np.concatenate(([0], ends[:-1] + 1)) if n else ends
     before[begins] = START
     before2[begins] = START
     second = begins[counts > 0] + 1
     before2[second] = START
-    one = mix(before ^ np.uint64(11)) >> np.uint64(64 - CLASS_BITS[0])
-    two = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(before2)) >> np.uint64(64 - CLASS_BITS[1])
-    return Tokens(word, one.astype(np.int64), two.astype(np.int64), text)
+    two = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(before2))
+    return Tokens(word, before, two, text, before2)
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(kind, slot, n) over training texts: 0 words, 1 and 2 context classes."""
+    """(word, n) over training texts."""
 
-    def rows(kind: int, slot: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(slot), 50_000):
+    def rows(words: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(words), 50_000):
             part = slice(at, at + 50_000)
-            k = len(slot[part])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int32)), pa.array(slot[part].astype(np.int64)), pa.array(n[part].astype(np.int64))], names=["kind", "slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(words[part].view(np.int64)), pa.array(n[part].astype(np.int64))], names=["word", "n"])
 
     def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         words, n = (np.concatenate([f[k] for f in found]) for k in (0, 1))
@@ -98,14 +108,11 @@ def counted(docs: DataFrame) -> DataFrame:
         return words[begin], np.add.reduceat(n, begin)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = [np.zeros(1 << bits, np.int64) for bits in CLASS_BITS]
         found, size = [], 0
         for batch, texts in passes(batches):
             train = np.array([not is_held_out(d) for d in batch.column("doc_id").to_pylist()], bool)
             tokens = tokens_of(texts)
             used = train[tokens.text]
-            classes[0] += np.bincount(tokens.one[used], minlength=len(classes[0]))
-            classes[1] += np.bincount(tokens.two[used], minlength=len(classes[1]))
             if used.any():
                 found.append(np.unique(tokens.word[used], return_counts=True))
                 size += len(found[-1][0])
@@ -113,40 +120,40 @@ def counted(docs: DataFrame) -> DataFrame:
                 found = [merged(found)]
                 size = 0
                 if len(found[0][0]) > 1_000_000:
-                    yield from rows(0, found[0][0].view(np.int64), found[0][1])
+                    yield from rows(*found[0])
                     found = []
         if found:
-            words, n = merged(found)
-            yield from rows(0, words.view(np.int64), n)
-        for kind, table in enumerate(classes, 1):
-            slot = np.flatnonzero(table)
-            yield from rows(kind, slot, table[slot])
+            yield from rows(*merged(found))
 
-    found = docs.select("doc_id", "text").mapInArrow(count, "kind int, slot long, n long")
-    return found.groupBy("kind", "slot").agg(F.sum("n").alias("n"))
+    found = docs.select("doc_id", "text").mapInArrow(count, "word long, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Totals(NamedTuple):
-    """What every task knows: corpus totals, class totals, and the hot words; of fixed size."""
+    """What every task knows: corpus totals, the coded words with their counts, and over how many parts each is spread as the word before."""
 
     tokens: int
     words: int
-    classes: list[np.ndarray]
-    hot: np.ndarray
-    hot_counts: np.ndarray
+    coded: np.ndarray
+    counts: np.ndarray
+    spread: np.ndarray
 
+    def place(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word among the coded ones, and whether it is one."""
+        at = np.minimum(np.searchsorted(self.coded, word), len(self.coded) - 1)
+        return at, self.coded[at] == word
 
-def totals(counts: DataFrame) -> Totals:
-    words = counts.where("kind = 0")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    hot = words.where(F.col("n") * HOT_SHARE >= n).select("slot", "n").toArrow()  # at most HOT_SHARE rows
-    classes = [np.zeros(1 << bits, np.int64) for bits in CLASS_BITS]
-    for kind, table in enumerate(classes, 1):
-        rows = counts.where(F.col("kind") == kind).select("slot", "n").toArrow()
-        table[np.asarray(rows.column("slot"))] = np.asarray(rows.column("n"))
-    slot, count = (np.asarray(hot.column(c)).astype(np.int64) for c in ("slot", "n"))
-    order = np.argsort(slot.view(np.uint64))
-    return Totals(n, v, classes, slot.view(np.uint64)[order], count[order])
+
+def totals(counts: DataFrame, parts: int) -> Totals:
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    found = counts.where((F.col("n") * CODED_SHARE >= n) | (F.col("word") == int(END))).toArrow()  # at most CODED_SHARE + 1 rows
+    word = np.asarray(found.column("word")).astype(np.int64).view(np.uint64)
+    count = np.asarray(found.column("n")).astype(np.int64)
+    # a text starts as often as it ends
+    word, count = np.append(word, START), np.append(count, count[word == END].sum())
+    order = np.argsort(word)
+    word, count = word[order], count[order]
+    return Totals(n, v, word, count, np.where(count * parts >= max(n, 1), np.minimum(count * parts // max(n, 1) + 1, parts), 1))
 
 
 class Level:
@@ -188,71 +195,132 @@ class Level:
 
 
 class Trie:
-    """The training tokens of some words: roots are the words, below them classes of one and of two words before."""
-
-    def __init__(self, roots: int, root: np.ndarray, one: np.ndarray, two: np.ndarray, known: Totals):
-        bits1, bits2 = (np.uint64(b) for b in CLASS_BITS)
-        key1 = (root.astype(np.uint64) << bits1) | one.astype(np.uint64)
-        nodes1, at1, n1 = np.unique(key1, return_inverse=True, return_counts=True)
-        classes = (nodes1 & ((np.uint64(1) << bits1) - np.uint64(1))).astype(np.int64)
-        first = Level(roots, int(bits1), nodes1, WEIGHTS[0] * n1 / np.maximum(known.classes[0][classes], 1))
-        # a class of two words counts with the word, whatever class of one it came by
-        _, at_pair, n_pair = np.unique((root.astype(np.uint64) << bits2) | two.astype(np.uint64), return_inverse=True, return_counts=True)
-        key2 = (at1.astype(np.uint64) << bits2) | two.astype(np.uint64)
-        nodes2, some = np.unique(key2, return_index=True)
-        classes = (nodes2 & ((np.uint64(1) << bits2) - np.uint64(1))).astype(np.int64)
-        second = Level(len(nodes1), int(bits2), nodes2, WEIGHTS[1] * n_pair[at_pair[some]] / np.maximum(known.classes[1][classes], 1))
-        self.levels = (first, second)
+    """Training n-grams by the word before: the words that follow it, and the words before it with the words that follow both."""
+
+    def __init__(self, roots: int, bits: int, follows: np.ndarray, p_follows: np.ndarray, contexts: np.ndarray, both: np.ndarray, p_both: np.ndarray):
+        self.levels = (Level(roots, bits, follows, p_follows), Level(roots, CONTEXT_BITS + 1, contexts, np.ones(len(contexts))), Level(len(contexts), bits, both, p_both))
         arena = Arena(sum(level.nbytes() for level in self.levels))
         for level in self.levels:
             level.move(arena)
 
-    def higher(self, root: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Summed weighted probability of the two higher orders."""
-        node, total = self.levels[0].find(root, one)
-        return total + self.levels[1].find(node, two)[1]
+
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on: these compress better."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def of_planes(raw: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def squeezed(*columns: np.ndarray) -> bytes:
+    return pa.compress(b"".join(map(planes, columns)), "zstd", asbytes=True)
+
+
+def of_squeezed(raw: bytes, *columns: tuple[int, type]) -> list[np.ndarray]:
+    """The columns, given their lengths and kinds."""
+    sizes = [n * np.dtype(kind).itemsize for n, kind in columns]
+    flat = np.frombuffer(pa.decompress(raw, sum(sizes), "zstd", asbytes=True), np.uint8)
+    return [of_planes(part, kind) for part, (_, kind) in zip(np.split(flat, np.cumsum(sizes)[:-1]), columns, strict=True)]
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending values, the first one from 0: their upper bytes are mostly empty."""
+    return np.diff(ascending, prepend=np.uint64(0))
+
+
+def cut_bytes(values: np.ndarray, begin: int, end: int) -> bytes:
+    """These bytes of each 64-bit value."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, begin:end].tobytes()
+
+
+def of_bytes(raw: np.ndarray, begin: int, end: int) -> np.ndarray:
+    out = np.zeros((len(raw) // (end - begin), 8), np.uint8)
+    out[:, begin:end] = raw.reshape(-1, end - begin)
+    return out.view("<u8").ravel()
+
+
+class Slice(NamedTuple):
+    """Tokens of a block in a part: distinct words before (ascending) with counts, then of each token its word and the first of the two before (number of the coded word, or 0 and next in ``rest``), and text."""
+
+    before: np.ndarray
+    count: np.ndarray
+    code: np.ndarray
+    first: np.ndarray
+    text: np.ndarray
+    rest: np.ndarray
+    rest_first: np.ndarray
+
+    def packed(self) -> bytes:
+        small = squeezed(steps(self.before), self.count, self.code, self.first, self.text)
+        sizes = np.array([len(self.before), len(self.code), len(self.rest), len(self.rest_first), len(small)], np.uint32)
+        return b"".join((sizes.tobytes(), small, cut_bytes(self.rest, 1, 8), cut_bytes(self.rest_first, 0, CONTEXT_BITS // 8)))
+
+    @classmethod
+    def of(cls, raw: bytes) -> Slice:
+        n_before, n, n_rest, n_first, n_small = np.frombuffer(raw, np.uint32, 5).tolist()
+        small = of_squeezed(raw[20 : 20 + n_small], (n_before, np.uint64), (n_before, np.uint32), *[(n, np.uint16)] * 3)
+        at = 20 + n_small
+        rest = of_bytes(np.frombuffer(raw, np.uint8, 7 * n_rest, at), 1, 8)
+        first = of_bytes(np.frombuffer(raw, np.uint8, CONTEXT_BITS // 8 * n_first, at + 7 * n_rest), 0, CONTEXT_BITS // 8)
+        return cls(np.cumsum(small[0], dtype=np.uint64), *small[1:], rest, first)
 
 
-BLOBS = ("words", "counts", "one", "two", "two_high", "text", "texts")
+def part_count(docs: DataFrame) -> int:
+    return min(PARTS_PER_TASK * width(docs.sparkSession), (1 << 16) - 1)
 
 
 def packed(docs: DataFrame, known: Totals) -> DataFrame:
-    """Tokens in blocks by part: distinct words with counts, classes and text of each token, and the texts' numbers in the block.
+    """Tokens in blocks by part, as slices.
 
-    ``block`` numbers the blocks; the document ids of a block are a row without words.
+    ``block`` numbers the blocks, whose first ``train`` texts are training texts; the document ids of a block are a row without tokens.
     """
-    parts = PARTS_PER_TASK * width(docs.sparkSession)
+    parts, tasks = part_count(docs), width(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(known)
+    names = ["task", "part", "block", "train", "tokens", "ids", "missing"]
+
+    def coded_words(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the coded words (else 0), the others, and how many of these come before each word."""
+        at, coded = shared.value.place(words)
+        return np.where(coded, at + 1, 0).astype(np.uint16), words[~coded], np.concatenate(([0], np.cumsum(~coded)))
 
     def block(pile: list[Tokens], ids: list[int | None], number: int) -> pa.RecordBatch:
-        word, one, two, text = (np.concatenate([t[k] for t in pile]) for k in range(4))
-        hot = shared.value.hot
-        route = mix(word ^ np.uint64(5))
-        if len(hot):
-            place = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
-            spread = hot[place] == word
-            route[spread] = mix(word[spread] + one[spread].astype(np.uint64))
-        part = (route >> np.uint64(20)) % np.uint64(parts)
-        order = np.lexsort((word, part))
-        word, one, two, text, part = word[order], one[order], two[order], text[order], part[order]
-        cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-        held = np.array([is_held_out(d) for d in ids], np.uint16)
-        known_ids = np.array([0 if d is None else d for d in ids], np.int64)
-        missing = np.array([d is None for d in ids], np.uint8)
-        columns: list[list] = [[number % parts], [number], [b""], [known_ids.tobytes()], [missing.tobytes()], [b""], [b""], [b""], [b""]]
-        for p in range(parts):
+        know = shared.value
+        word, before, two, text, first = (np.concatenate([t[k] for t in pile]) for k in range(5))
+        held = np.array([is_held_out(d) for d in ids], bool)
+        turn = np.argsort(held, kind="stable")
+        place = np.empty(len(ids), np.uint16)
+        place[turn] = np.arange(len(ids))
+        ids = [ids[k] for k in turn]
+        route = mix(before ^ np.uint64(5)) >> np.uint64(32)
+        part = route * np.uint64(parts) >> np.uint64(32)
+        at, coded = know.place(before)
+        wide = np.flatnonzero(coded & (know.spread[at] > 1))
+        part[wide] = (part[wide] + mix(two[wide]) % know.spread[at[wide]].astype(np.uint64)) % np.uint64(parts)
+        # the words before by the bits they are compared by
+        key = (part << np.uint64(BEFORE_BITS)) | (before >> np.uint64(64 - BEFORE_BITS))
+        order = np.argsort(key)
+        key = key[order]
+        word, first, text = word[order], first[order], place[text[order]]
+        (code, rest, upto), (code_first, rest_first, upto_first) = coded_words(word), coded_words(first)
+        rest_first >>= np.uint64(64 - CONTEXT_BITS)
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        many = np.diff(np.append(new, len(key))).astype(np.uint32)
+        own = key[new] & np.uint64((1 << BEFORE_BITS) - 1)
+        cuts = np.searchsorted(key >> np.uint64(BEFORE_BITS), np.arange(parts + 1, dtype=np.uint64))
+        cuts_new = np.searchsorted(new, cuts)
+        used = np.flatnonzero(np.diff(cuts)).tolist()
+        slices = []
+        for p in used:
             a, b = cuts[p], cuts[p + 1]
-            if a == b:
-                continue
-            new = np.flatnonzero(np.concatenate(([True], word[a + 1 : b] != word[a : b - 1])))
-            count = np.diff(np.append(new, b - a))
-            used, local = np.unique(text[a:b], return_inverse=True)
-            low = (two[a:b] & 0xFFFF).astype(np.uint16)
-            blobs = (word[a:b][new], count.astype(np.uint32), one[a:b].astype(np.uint16), low, (two[a:b] >> 16).astype(np.uint8), local.astype(np.uint16), used.astype(np.uint16) * 2 + held[used])
-            for column, v in zip(columns, (p, number, *(x.tobytes() for x in blobs)), strict=True):
-                column.append(v)
-        arrays = [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])]
-        return pa.RecordBatch.from_arrays(arrays, names=["part", "block", *BLOBS])
+            mine = slice(cuts_new[p], cuts_new[p + 1])
+            rests = rest[upto[a] : upto[b]], rest_first[upto_first[a] : upto_first[b]]
+            slices.append(Slice(own[mine], many[mine], code[a:b], code_first[a:b], text[a:b], *rests).packed())
+        none, k = [b""] * len(used), len(used)
+        columns = [[p % tasks for p in used] + [number % tasks], [*used, -1], [number] * (k + 1), [len(ids) - int(held.sum())] * (k + 1), [*slices, b""]]
+        columns += [[*none, np.array([0 if d is None else d for d in ids], np.int64).tobytes()], [*none, np.array([d is None for d in ids], np.uint8).tobytes()]]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pile, ids, size = [], [], 0
@@ -270,8 +338,141 @@ def packed(docs: DataFrame, known: Totals) -> DataFrame:
         if pile:
             yield block(pile, ids, number)
 
-    fields = ", ".join(f"{f} binary" for f in BLOBS)
-    return docs.select("doc_id", "text").mapInArrow(pack, f"part int, block long, {fields}")
+    return docs.select("doc_id", "text").mapInArrow(pack, "task int, part int, block long, train int, tokens binary, ids binary, missing binary")
+
+
+class Part:
+    """The tokens of a part: word before as a number (``root``), the one before it, word as a number, and text."""
+
+    def __init__(self, rows: list[tuple[int, int, bytes]], known: Totals):
+        slices = [Slice.of(raw) for _, _, raw in rows]
+        lengths = [len(s.code) for s in slices]
+        self.roots, at = np.unique(np.concatenate([s.before for s in slices]), return_inverse=True)
+        self.root = np.repeat(at, np.concatenate([s.count for s in slices]))
+        self.first = CODED_CONTEXT + np.concatenate([s.first for s in slices]).astype(np.int64)
+        self.first[self.first == CODED_CONTEXT] = np.concatenate([s.rest_first for s in slices]).astype(np.int64)
+        code = np.concatenate([s.code for s in slices])
+        self.train = np.concatenate([s.text for s in slices]) < np.repeat([train for _, train, _ in rows], lengths)
+        self.name = (np.repeat(np.array([block for block, _, _ in rows], np.int64), lengths) << 15) + np.concatenate([s.text for s in slices])
+        # words as numbers: the coded ones, then the others
+        rest, place = np.unique(np.concatenate([s.rest for s in slices]), return_inverse=True)
+        self.word = code.astype(np.int64) - 1
+        self.word[code == 0] = len(known.coded) + place
+        self.words = len(known.coded) + len(rest)
+        self.bits = max(1, self.words.bit_length())
+        before = known.coded >> np.uint64(64 - BEFORE_BITS)
+        at = np.minimum(np.searchsorted(before, self.roots), len(before) - 1)
+        coded = before[at] == self.roots
+        self.coded_root = np.where(coded, at, -1)
+        wide = coded & (known.spread[at] > 1)
+        # words and pairs whose count lies in other parts too
+        self.follows, self.at_follows = np.unique((self.root << self.bits) | self.word, return_inverse=True)
+        self.n_follows = np.bincount(self.at_follows[self.train], minlength=len(self.follows))
+        self.asked_pairs = np.flatnonzero(wide[self.follows >> self.bits])
+        pairs = self.follows[self.asked_pairs]
+        hashes = np.concatenate((known.coded, rest))
+        pairs = mix(self.roots[pairs >> self.bits] * np.uint64(0x9E3779B97F4A7C15) + mix(hashes[pairs & ((1 << self.bits) - 1)])) | PAIR_BIT
+        n_rest = np.bincount(place[self.train[code == 0]], minlength=len(rest))
+        asked = np.concatenate((rest, pairs))
+        self.order = np.argsort(asked, kind="stable")
+        self.asked = asked[self.order]
+        self.n_asked = np.concatenate((n_rest, self.n_follows[self.asked_pairs]))[self.order]
+
+    def sums(self, known: Totals, answer: np.ndarray) -> np.ndarray:
+        """Rows (text, sums) of the part; ``answer`` has the counts of what it asked for."""
+        n_asked = np.empty(len(answer), np.int64)
+        n_asked[self.order] = answer
+        n_rest = self.words - len(known.coded)
+        count = np.concatenate((known.counts, n_asked[:n_rest]))
+        p1 = (count + 0.5) / (known.tokens + 0.5 * (known.words + 1))
+        n_follows = self.n_follows.copy()
+        n_follows[self.asked_pairs] = n_asked[n_rest:]
+        n_root = np.bincount(self.root[self.train], minlength=len(self.roots))
+        n_root = np.where(self.coded_root >= 0, known.counts[self.coded_root], n_root)
+        contexts, at_context = np.unique((self.root << CONTEXT_BITS + 1) | self.first, return_inverse=True)
+        n_context = np.bincount(at_context[self.train], minlength=len(contexts))
+        both, at_both = np.unique((at_context << self.bits) | self.word, return_inverse=True)
+        n_both = np.bincount(at_both[self.train], minlength=len(both))
+        # the trie holds the training n-grams, its contexts numbered among themselves
+        held = [np.flatnonzero(n) for n in (n_follows, n_context, n_both)]
+        number = np.cumsum(n_context > 0) - 1
+        mask = (1 << self.bits) - 1
+        context_of = both >> self.bits
+        trie = Trie(
+            len(self.roots),
+            self.bits,
+            self.follows[held[0]].astype(np.uint64),
+            WEIGHTS[0] * n_follows[held[0]] / np.maximum(n_root[self.follows[held[0]] >> self.bits], 1),
+            contexts[held[1]].astype(np.uint64),
+            ((number[context_of[held[2]]] << self.bits) | (both[held[2]] & mask)).astype(np.uint64),
+            WEIGHTS[1] * n_both[held[2]] / np.maximum(n_context[context_of[held[2]]], 1),
+        )
+        _, p2 = trie.levels[0].find(self.follows >> self.bits, self.follows & mask)
+        node, _ = trie.levels[1].find(contexts >> CONTEXT_BITS + 1, contexts & (2 * CODED_CONTEXT - 1))
+        _, p3 = trie.levels[2].find(node[context_of], both & mask)
+        # an order whose context was never seen leaves its weight to the word's own probability
+        some = np.empty(len(both), np.int64)
+        some[at_both] = np.arange(len(at_both))
+        own = 1 - WEIGHTS[0] * (n_root > 0)[self.root[some]] - WEIGHTS[1] * (node >= 0)[context_of]
+        p = own * p1[self.word[some]] + p2[self.at_follows[some]] + p3
+        names, text = np.unique(self.name, return_inverse=True)
+        tokens = (None, (count > 0)[self.word], np.log10(p1)[self.word], np.log10(p)[at_both])
+        sums = [np.bincount(text, weights, len(names)) for weights in tokens]
+        return np.stack([names, *(s.view(np.int64) if s.dtype == float else s for s in sums)])
+
+
+def answered(blocks: DataFrame, known: Totals) -> DataFrame:
+    """(task, part, giver, counts): the corpus counts of all that the parts ask for, in the order they ask."""
+    givers = width(blocks.sparkSession)
+    shared = blocks.sparkSession.sparkContext.broadcast(known)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(task: int, number: int, pile: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+            part = Part(pile, shared.value)
+            giver = (part.asked >> np.uint64(32)) * np.uint64(givers) >> np.uint64(32)
+            cuts = np.searchsorted(giver, np.arange(givers + 1, dtype=np.uint64))
+            used = np.flatnonzero(np.diff(cuts)).tolist()
+            n = part.n_asked.astype(np.uint32)
+            columns = [np.diff(cuts)[used].tolist(), [squeezed(steps(part.asked[cuts[g] : cuts[g + 1]]), n[cuts[g] : cuts[g + 1]]) for g in used]]
+            arrays = [pa.array(c, pa.int32()) for c in ([task] * len(used), [number] * len(used), used, columns[0])]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[1], pa.binary())], names=["task", "part", "giver", "n", "asked"])
+
+        now, pile = None, []
+        for batch in batches:
+            for row in range(batch.num_rows):
+                task, number, *raw = (batch.column(c)[row].as_py() for c in range(5))
+                if number < 0:
+                    continue
+                if (task, number) != now and pile:
+                    yield rows(*now, pile)
+                    pile = []
+                now = (task, number)
+                pile.append(tuple(raw))
+        if pile:
+            yield rows(*now, pile)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads, keys, counts = [], [], []
+        for batch in batches:
+            heads += zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)
+            for n, raw in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                key, count = of_squeezed(raw, (n, np.uint64), (n, np.uint32))
+                keys.append(np.cumsum(key, dtype=np.uint64))
+                counts.append(count)
+        if not heads:
+            return
+        found, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, np.concatenate(counts), len(found)).astype(np.uint32)[place]
+        cuts = np.cumsum([0, *map(len, keys)])
+        for at in range(0, len(heads), 1000):
+            some = range(at, min(at + 1000, len(heads)))
+            blobs = [squeezed(total[cuts[k] : cuts[k + 1]]) for k in some]
+            arrays = [pa.array([heads[k][c] for k in some], pa.int32()) for c in range(3)] + [pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["task", "part", "giver", "counts"])
+
+    # all rows and columns as they were sent: then the exchange is read again, not made again
+    asked = blocks.sortWithinPartitions("task", "part").mapInArrow(ask, "task int, part int, giver int, n int, asked binary")
+    return asked.repartition(givers, "giver").mapInArrow(answer, "task int, part int, giver int, counts binary")
 
 
 SUMS = ("n_tokens", "n_known", "base_score", "score")
@@ -281,38 +482,10 @@ def scored_parts(blocks: DataFrame, known: Totals) -> DataFrame:
     """Per task and block: the block's texts with token and known-word counts and the sums of base and model logarithms; and each block's ids once."""
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast(known)
+    names = ["block", "texts", "sums", "ids", "missing"]
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
 
-    def evaluate(pile: list[tuple[int, list[bytes]]]) -> np.ndarray:
-        """Rows (text, sums) of one part; a text is its block's number and its own."""
-        know = shared.value
-        kinds = (np.uint64, np.uint32, np.uint16, np.uint16, np.uint8, np.uint16, np.uint16)
-        word, one, two, text, names = [], [], [], [], []
-        texts = 0
-        for number, raw in pile:
-            distinct, count, a, b, c, local, used = (np.frombuffer(r, k) for r, k in zip(raw, kinds, strict=True))
-            word.append(np.repeat(distinct, count))
-            one.append(a)
-            two.append(b.astype(np.uint32) | c.astype(np.uint32) << np.uint32(16))
-            text.append(local.astype(np.int64) + texts)
-            names.append((np.int64(number) << 16) + used)
-            texts += len(used)
-        name = np.concatenate(names)
-        word, one, two, text = (np.concatenate(x) for x in (word, one, two, text))
-        train = (name & 1 == 0)[text]
-        roots, root = np.unique(word, return_inverse=True)
-        count = np.bincount(root[train], minlength=len(roots)).astype(np.float64)
-        if len(know.hot):
-            place = np.minimum(np.searchsorted(know.hot, roots), len(know.hot) - 1)
-            count = np.where(know.hot[place] == roots, know.hot_counts[place], count)
-        trie = Trie(len(roots), root[train], one[train], two[train], know)
-        p1 = ((count + 0.5) / (know.tokens + 0.5 * (know.words + 1)))[root]
-        # an order whose class was never seen leaves its weight to the word's own probability
-        own = 1 - sum(w * (table[c] > 0) for w, table, c in zip(WEIGHTS, know.classes, (one, two), strict=True))
-        p = own * p1 + trie.higher(root, one, two)
-        sums = [np.bincount(text, weights, texts) for weights in (None, (count > 0)[root], np.log10(p1), np.log10(p))]
-        return np.stack([name >> 1, *(s.view(np.int64) if s.dtype == float else s for s in sums)])
-
-    def rows(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def rows(found: list[np.ndarray]) -> Iterator[tuple]:
         """The parts of a task, summed by text; a row for each block."""
         table = np.concatenate(found, axis=1)
         name, place = np.unique(table[0], return_inverse=True)
@@ -321,29 +494,35 @@ def scored_parts(blocks: DataFrame, known: Totals) -> DataFrame:
         cuts = np.append(begin, len(name))
         for k, block in enumerate(number.tolist()):
             part = slice(cuts[k], cuts[k + 1])
-            blobs = [(name[part] & 0x7FFF).astype(np.uint16).tobytes(), np.stack([x[part] for x in sums]).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([x], pa.binary()) for x in (*blobs, b"", b""))], names=["block", "texts", "sums", "ids", "missing"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, pile, found = None, [], []
-        for batch in batches:
-            for row in range(batch.num_rows):
-                part, number, *raw = (c[row].as_py() for c in batch.columns)
-                if not raw[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([x], pa.binary()) for x in (b"", b"", raw[1], raw[2]))], names=["block", "texts", "sums", "ids", "missing"])
-                    continue
-                if part != now and pile:
-                    found.append(evaluate(pile))
-                    pile = []
-                now = part
-                pile.append((number, raw))
-        if pile:
-            found.append(evaluate(pile))
+            counts = [x[part].astype(np.uint32) for x in sums[:2]]
+            yield block, (name[part] & 0x7FFF).astype(np.uint16).tobytes(), squeezed(*counts, *(x[part] for x in sums[2:])), b"", b""
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        piles: dict[int, list[tuple[int, int, bytes]]] = {}
+        out, found = [], []
+        for number, block, train, tokens, ids, missing in zip(*(left.column(c).to_pylist() for c in ("part", "block", "train", "tokens", "ids", "missing")), strict=True):
+            if number < 0:
+                out.append((block, b"", b"", ids, missing))
+            else:
+                piles.setdefault(number, []).append((block, train, tokens))
+        answers: dict[int, list[tuple[int, bytes]]] = {}
+        for number, giver, counts in zip(*(right.column(c).to_pylist() for c in ("part", "giver", "counts")), strict=True):
+            answers.setdefault(number, []).append((giver, counts))
+        for number, pile in piles.items():
+            part = Part(pile, shared.value)
+            givers = (part.asked >> np.uint64(32)) * np.uint64(tasks) >> np.uint64(32)
+            sizes = np.bincount(givers.astype(np.int64), minlength=tasks)
+            given = [of_squeezed(c, (int(sizes[g]), np.uint32))[0] for g, c in sorted(answers.get(number, []))]
+            found.append(part.sums(shared.value, np.concatenate([np.zeros(0, np.uint32), *given])))
         if found:
-            yield from rows(found)
+            out += rows(found)
+        return pa.table([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names=names)
 
+    tasks = width(spark)
+    sent = blocks.repartition(tasks, "task")
+    replies = answered(sent, known).repartition(tasks, "task")
     schema = "block long, texts binary, sums binary, ids binary, missing binary"
-    return blocks.repartition(width(spark), "part").sortWithinPartitions("part").mapInArrow(score, schema)
+    return sent.groupBy("task").cogroup(replies.groupBy("task")).applyInArrow(score, schema)
 
 
 def merged_texts(parts: DataFrame) -> DataFrame:
@@ -356,7 +535,8 @@ def merged_texts(parts: DataFrame) -> DataFrame:
         for texts, own, *_ in pile:
             if texts:
                 # a text occurs once in what a task has
-                sums[:, np.frombuffer(texts, np.uint16)] += np.frombuffer(own, float).reshape(len(SUMS), -1)
+                n = len(texts) // 2
+                sums[:, np.frombuffer(texts, np.uint16)] += np.stack(of_squeezed(own, *[(n, np.uint32)] * 2, *[(n, float)] * 2))
         arrays = [pa.array(np.frombuffer(ids, np.int64), mask=np.frombuffer(missing, np.uint8).astype(bool))]
         arrays += [pa.array(s.astype(np.int64) if k < 2 else s) for k, s in enumerate(sums)]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *SUMS])
@@ -380,7 +560,7 @@ def merged_texts(parts: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document, learnt from those not held out."""
-    known = totals(kept(counted(docs), "ngram-counts"))
+    known = totals(kept(counted(docs), "ngram-counts"), part_count(docs))
     total = merged_texts(scored_parts(packed(docs, known), known))
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
     return total.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
