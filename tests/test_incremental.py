@@ -33,6 +33,26 @@ def test_bootstrap_admits_whole_files(raw, size, files):
     assert {r["rows"] for r in admitted.collect()} == {10}
 
 
+def test_bootstrap_admits_its_size_of_what_waits(raw, monkeypatch):
+    monkeypatch.setattr(I, "BOOTSTRAP_MIN", 5)
+    assert names(I.admit_bootstrap(I.files_of(raw))) == ["f00", "f01"]  # a fifth of sixty rows, in whole files
+
+
+@pytest.mark.parametrize("least,most", [(5, 200_000), (15, 200_000), (1, 3), (10_000, 200_000)])
+def test_bootstrap_runs_admit_every_file_once(raw, monkeypatch, least, most):
+    monkeypatch.setattr(I, "BOOTSTRAP_MIN", least)
+    monkeypatch.setattr(I, "BOOTSTRAP_MAX", most)
+    undated = raw.withColumn("dt", F.when(F.col("_source_file") != "f00", F.col("dt")))  # without a readable partition
+    files = I.files_of(undated)
+    found, left, run = {r["_source_file"]: r["run"] for r in I.bootstrap_runs(files).collect()}, files, 0
+    while not left.isEmpty():
+        run += 1
+        admitted = names(I.admit_bootstrap(left))
+        assert admitted == sorted(f for f, n in found.items() if n == run)
+        left = left.where(~F.col("_source_file").isin(admitted))
+    assert len(found) == 6 and set(found.values()) == set(range(1, run + 1))
+
+
 def test_bootstrap_size(spark):
     df = spark.createDataFrame([(1,), (60_000,), (9_000_000,)], "n bigint")
     assert [r[0] for r in df.select(I.bootstrap_size(F.col("n"))).collect()] == [10_000, 12_000, 200_000]
