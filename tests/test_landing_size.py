@@ -70,6 +70,32 @@ def test_a_used_up_log_goes_and_copies_take_the_room_of_one(spark, monkeypatch):
     assert not os.path.exists(f"{p.base}/messages/orders/review_events")
 
 
+def test_each_delivery_is_read_from_the_log(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "LOG_BYTES_PER_TASK", 1)  # a task for each part of a delivery
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    seen = []
+    original = jobs.landing.start_landing
+    monkeypatch.setattr(jobs.landing, "start_landing", lambda *a, **k: seen.append(original(*a, **k)) or seen[-1])
+    lines = p.raw("review_events")
+    logged = sum(progress.numInputRows for progress in seen[0].recentProgress)
+    events = lines.select("event_id").distinct().count()
+    files = lines.groupBy("event_id").agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("files"))
+    assert {(r.n, r.files) for r in files.select("n", "files").distinct().collect()} == {(2, 2)}
+    assert logged >= 2 * events > 0
+    assert not os.path.exists(f"{p.base}/messages/orders/review_events")
+
+
+def test_a_log_is_dealt_to_the_cores_and_a_large_one_in_rounds(spark, monkeypatch):
+    p, cores = Pipeline(spark, "/root/testdata/sf0.001"), spark.sparkContext.defaultParallelism
+    p.spark.range(1000).write.parquet(f"{p.base}/some")
+    path, fs = p._file(f"{p.base}/some")
+    size = fs.getContentSummary(path).getLength()
+    for small, full, tasks in ((size, 2 * size, 3), (1, size, cores), (1, -(-2 * size // (3 * cores)), 3 * cores)):
+        monkeypatch.setattr(jobs, "LOG_BYTES_PER_TASK", small)
+        monkeypatch.setattr(jobs, "LOG_BYTES_PER_FULL_TASK", full)
+        assert p.log_tasks(f"{p.base}/some", deliveries=2) == tasks
+
+
 def test_envelopes_are_read_back_without_their_payload(spark, tmp_path):
     tables = {
         "orders": "id o_orderkey, id % 3 o_custkey, 'F' o_orderstatus, 10.5D o_totalprice, timestamp_ntz'1995-01-01' o_orderdate",
