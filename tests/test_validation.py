@@ -164,3 +164,44 @@ def test_payload_drift_reads_the_messages_once(spark, tmp_path):
         (None, "x", "unknown", 1),
     }
     assert drift._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_a_plain_message_breaks_no_rule_and_needs_no_parser(spark):
+    from tidemart.operators.validation import plainly_written
+
+    head = '"event_id":"e","event_type":"t","schema_version":"1.0","event_ts":"2024-01-02T03:04:05"'
+    tail = '"source_system":"s","source_table":null,"order_id":"o","seller_id":"a\u00e9\u20ac"'
+    body = '"payment_sequential":1,"payment_type":"x","payment_installments":null,"payment_value":-12.50,"payment_status":"ok"'
+    message = lambda payload=body, head=head, tail=tail: f'{{{head},{tail},"payload":{{{payload}}}}}'
+    plain = [message(), message(""), message('"payment_value":0'), message('"payment_type":null,"payment_status":"}"'), message(head=head + ',"ingestion_hint_ts":null')]
+    others = [  # with the reason that the rules find
+        (message('"payment_type":"a\\n"'), None),
+        (message(body + ',"coupon":1'), None),
+        (message('"payment_value":1e2'), None),
+        (message('"payment_status":"ok","payment_type":"x"'), None),
+        (" " + message(), None),
+        (message().replace(":", ": ", 1), None),
+        (message('"payment_sequential":999999999999'), "wrong_type: payload.payment_sequential"),
+        (message('"payment_value":12345678901234567.5'), "wrong_type: payload.payment_value"),
+        (message('"payment_type":1'), "wrong_type: payload.payment_type"),
+        (message(head=head.replace('"e"', "7")), "wrong_type: event_id"),
+        (message(head=head.replace("T", "x")), "event_ts_not_iso8601"),
+        (message(tail='"source_system":"s"'), "missing_required_fields: order_id"),
+        (message('"payment_type":"x","payment_type":"y"'), "invalid_json"),
+        (message(',"payment_type":"x"'), "invalid_json"),
+        (message('"payment_type":"x",'), "invalid_json"),
+        (message('"payment_type":"a\tb"'), "invalid_json"),
+        (message('"payment_value":01'), "invalid_json"),
+        (message()[:-1], "invalid_json"),
+        (message().replace(',"payload"', ',"event_ts":"2024-01-02T03:04:05","payload"'), "invalid_json"),
+    ]
+    rows = [(n, text, "payment_events") for n, text in enumerate(plain + [t for t, _ in others])]
+    df = spark.createDataFrame(rows, "n int, value string, topic string").withColumn("value", F.col("value").cast("binary"))
+    told = {r.n: r.plain for r in df.select("n", plainly_written(F.col("value").cast("string"), F.col("topic")).alias("plain")).collect()}
+    assert [n for n, yes in sorted(told.items()) if yes] == list(range(len(plain)))
+    judged = {r.n: r for r in checked(df, strict_types=True, keep=True).collect()}
+    assert [judged[n].error_reason for n in sorted(judged)] == [None] * len(plain) + [reason for _, reason in others]
+    assert {judged[n]._event_ts for n in range(len(plain))} == {"2024-01-02T03:04:05"}
+    # the rules alone, as for a topic without a contract, find nothing wrong with a plain message
+    free = checked(df.where(F.col("n") < len(plain)).withColumn("topic", F.lit("other")), strict_types=True, keep=True).collect()
+    assert {(r.error_reason, r._plain, r._event_ts) for r in free} == {(None, False, "2024-01-02T03:04:05")}
